@@ -6,11 +6,12 @@ from public_tokenizers import path as tokenizer_file
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threshline.llm import bpe, langid, urlfilter
+from threshline.llm import bpe, langid, lattice, urlfilter
 from threshline.llm.common import held_out
 from threshline.session import table
 
 TOKENIZER = tokenizer_file("word_bpe_49k.json")
+PIECES = tokenizer_file("piece_bpe_32k.model")
 URL_RULES = [
     ("block", "com", "/en/"),
     ("allow", "example.com", "/en/7"),
@@ -20,6 +21,13 @@ URL_RULES = [
 ]
 
 
+def op1_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's marginal probability, and its add-one unigram baseline."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = lattice.score_corpus(docs, PIECES, ~held_out("doc_id", 7))
+    return scored.select("doc_id", held_out("doc_id", 7).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op2_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's language by a model of the rows that are not held out."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
@@ -46,7 +54,7 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op2_langid": op2_langid, "op7_url_cascade": op7_url_cascade, "op8_bpe": op8_bpe}
+QUERIES = {"op1_lattice": op1_lattice, "op2_langid": op2_langid, "op7_url_cascade": op7_url_cascade, "op8_bpe": op8_bpe}
 
 _HOST = r"translate(regexp_extract(url, '^(?s:.*?)://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 ORACLES = {
