@@ -46,3 +46,8 @@ def held_out(column: str, mod: int) -> Column:
 def broadcast_if(df: DataFrame, rows: int, limit: int) -> DataFrame:
     """Broadcast ``df`` only if its counted rows stay within ``limit``."""
     return F.broadcast(df) if rows <= limit else df
+
+
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Rows handed to Python at once: long texts times the default would be too much."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))

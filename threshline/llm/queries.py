@@ -6,8 +6,8 @@ from public_tokenizers import path as tokenizer_file
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threshline.llm import bpe, langid, lattice, urlfilter
-from threshline.llm.common import held_out
+from threshline.llm import bpe, langid, lattice, topk, urlfilter, winnow
+from threshline.llm.common import held_out, small_batches
 from threshline.session import table
 
 TOKENIZER = tokenizer_file("word_bpe_49k.json")
@@ -21,16 +21,22 @@ URL_RULES = [
 ]
 
 
+def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """The documents; texts can be long, so few go to Python at once."""
+    small_batches(spark)
+    return table(spark, sf_dir, "documents").select(*columns)
+
+
 def op1_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's marginal probability, and its add-one unigram baseline."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = documents(spark, sf_dir, "doc_id", "text")
     scored = lattice.score_corpus(docs, PIECES, ~held_out("doc_id", 7))
     return scored.select("doc_id", held_out("doc_id", 7).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
 def op2_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's language by a model of the rows that are not held out."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    docs = documents(spark, sf_dir, "doc_id", "text", "lang")
     langs, model = langid.fit(docs, ~held_out("doc_id", 4))
     return langid.predict(docs.select("doc_id", "text"), langs, model).select("doc_id", held_out("doc_id", 4).alias("held_out"), "lang_pred", "score")
 
@@ -43,7 +49,7 @@ def op7_url_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's tokens, and what they decode to, as digests."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = documents(spark, sf_dir, "doc_id", "text")
     lexicon = bpe.train_lexicon(docs, TOKENIZER)
     coded = bpe.decode(bpe.encode(docs, TOKENIZER, lexicon).drop("text"), TOKENIZER)
     return coded.select(
@@ -54,7 +60,33 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op1_lattice": op1_lattice, "op2_langid": op2_langid, "op7_url_cascade": op7_url_cascade, "op8_bpe": op8_bpe}
+
+def op9_winnow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's share of words inside benchmark windows."""
+    docs = documents(spark, sf_dir, "doc_id", "text")
+    found = winnow.find_spans(docs, table(spark, sf_dir, "benchmark"))
+    counted = found.select(
+        "doc_id", "_text_hash", "n_words", "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        winnow.contaminated(F.col("n_hit"), F.col("n_words")).alias("contaminated"),
+    )
+    return counted.drop("_text_hash")
+
+
+def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best rows for every hundredth vector."""
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+QUERIES = {
+    "op1_lattice": op1_lattice,
+    "op2_langid": op2_langid,
+    "op7_url_cascade": op7_url_cascade,
+    "op8_bpe": op8_bpe,
+    "op9_winnow": op9_winnow,
+    "op10_topk": op10_topk,
+}
 
 _HOST = r"translate(regexp_extract(url, '^(?s:.*?)://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 ORACLES = {
@@ -71,5 +103,40 @@ fits AS (
   FROM numbered JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p))
 SELECT page_id, host, path, rule, coalesce(kind, 'allow') AS verdict
 FROM numbered LEFT JOIN fits ON fits.n = numbered.n AND k = 1
+""",
+    "op10_topk": """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scores AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id),
+ranked AS (
+  SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score
+  FROM scores)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
+""",
+    "op9_winnow": r"""
+WITH words AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w
+  FROM documents),
+docs AS (SELECT row_number() OVER () AS r, doc_id, w, len(w) AS n FROM words),
+items AS (
+  SELECT item_id, w, len(w) AS n, least(len(w), 13) AS k FROM (
+    SELECT item_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w
+    FROM benchmark) WHERE len(w) > 0),
+asked AS (
+  SELECT DISTINCT item_id, k, array_to_string(w[p0:p0 + k - 1], ' ') AS span
+  FROM (SELECT *, unnest(range(1, n - k + 2)) AS p0 FROM items)),
+own AS (
+  SELECT r, k, p0, array_to_string(w[p0:p0 + k - 1], ' ') AS span
+  FROM (SELECT r, w, k, unnest(range(1, n - k + 2)) AS p0 FROM docs, (SELECT DISTINCT k FROM asked) WHERE n >= k)),
+hits AS (SELECT r, p0, k, item_id FROM own JOIN asked USING (k, span)),
+cover AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(p0, p0 + k)) AS p FROM (SELECT DISTINCT r, p0, k FROM hits)) GROUP BY r),
+listed AS (SELECT r, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids FROM hits GROUP BY r)
+SELECT doc_id, n AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= n AS contaminated
+FROM docs LEFT JOIN cover USING (r) LEFT JOIN listed USING (r)
 """,
 }
