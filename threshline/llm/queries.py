@@ -6,7 +6,7 @@ from public_tokenizers import path as tokenizer_file
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threshline.llm import bpe, langid, lattice, topk, urlfilter, winnow
+from threshline.llm import bpe, langid, lattice, minhash, topk, urlfilter, winnow
 from threshline.llm.common import held_out, small_batches
 from threshline.session import table
 
@@ -41,6 +41,12 @@ def op2_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs.select("doc_id", "text"), langs, model).select("doc_id", held_out("doc_id", 4).alias("held_out"), "lang_pred", "score")
 
 
+def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's group of near copies, on 3-word shingles at 85 percent."""
+    docs = documents(spark, sf_dir, "doc_id", "text")
+    return minhash.near_duplicates(docs, 3, 85).select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op7_url_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page's verdict by the url rules."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
@@ -82,6 +88,7 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_lattice": op1_lattice,
     "op2_langid": op2_langid,
+    "op3_minhash": op3_minhash,
     "op7_url_cascade": op7_url_cascade,
     "op8_bpe": op8_bpe,
     "op9_winnow": op9_winnow,
