@@ -6,7 +6,7 @@ from public_tokenizers import path as tokenizer_file
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threshline.llm import bpe, langid, lattice, minhash, topk, urlfilter, winnow
+from threshline.llm import bpe, langid, lattice, minhash, prefixfree, suffixtree, topk, urlfilter, winnow
 from threshline.llm.common import held_out, small_batches
 from threshline.session import table
 
@@ -47,6 +47,18 @@ def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(docs, 3, 85).select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op4_suffixtree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the words of repeated 35-word windows."""
+    left = suffixtree.drop_repeats(documents(spark, sf_dir, "doc_id", "text"))
+    return left.select("doc_id", F.col("n_units").alias("n_words"), "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op6_prefixfree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the bytes of repeated 400-byte strings."""
+    left = prefixfree.drop_repeats(documents(spark, sf_dir, "doc_id", "text"))
+    return left.select("doc_id", F.col("n_units").alias("n_bytes"), "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op7_url_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page's verdict by the url rules."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
@@ -89,6 +101,8 @@ QUERIES = {
     "op1_lattice": op1_lattice,
     "op2_langid": op2_langid,
     "op3_minhash": op3_minhash,
+    "op4_suffixtree": op4_suffixtree,
+    "op6_prefixfree": op6_prefixfree,
     "op7_url_cascade": op7_url_cascade,
     "op8_bpe": op8_bpe,
     "op9_winnow": op9_winnow,
