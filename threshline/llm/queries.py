@@ -6,7 +6,7 @@ from public_tokenizers import path as tokenizer_file
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threshline.llm import bpe, langid, lattice, minhash, prefixfree, suffixtree, topk, urlfilter, winnow
+from threshline.llm import bpe, langid, lattice, lines, minhash, prefixfree, suffixtree, topk, urlfilter, winnow
 from threshline.llm.common import held_out, small_batches
 from threshline.session import table
 
@@ -53,6 +53,13 @@ def op4_suffixtree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return left.select("doc_id", F.col("n_units").alias("n_words"), "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op5_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines that an earlier line repeats."""
+    left = lines.dedup_lines(documents(spark, sf_dir, "doc_id", "text"))
+    kept = F.sha2(F.coalesce("text", F.lit("")), 256)
+    return left.select("doc_id", "n_lines", F.col("n_lines_removed").alias("n_removed"), kept.alias("kept_sha256"))
+
+
 def op6_prefixfree(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the bytes of repeated 400-byte strings."""
     left = prefixfree.drop_repeats(documents(spark, sf_dir, "doc_id", "text"))
@@ -102,6 +109,7 @@ QUERIES = {
     "op2_langid": op2_langid,
     "op3_minhash": op3_minhash,
     "op4_suffixtree": op4_suffixtree,
+    "op5_lines": op5_lines,
     "op6_prefixfree": op6_prefixfree,
     "op7_url_cascade": op7_url_cascade,
     "op8_bpe": op8_bpe,
