@@ -14,16 +14,16 @@ each give a row; an empty table gives an empty table.
 
 from __future__ import annotations
 
-import heapq
 import json
 import mmap
+import re
 import tempfile
+import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,10 +32,24 @@ from tokenizers import Tokenizer
 #: Words compiled into the lexicon, the most frequent of the corpus.
 LEXICON_WORDS = 50_000
 #: Words that a worker remembers before it forgets them all.
-CACHE_WORDS = 400_000
-#: Below U+0250 all is in normal form C and lower-cases character by character.
-_PLAIN = regex.compile(r"[\x00-ɏ]*")
-_SPLIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\p{White_Space}\p{L}\p{N}]+")
+CACHE_WORDS = 200_000
+#: What the pre-tokenizer cuts words by, in Latin-1: letters, numbers, white space.
+_LATIN = "".join(map(chr, range(256)))
+_LETTERS = "".join(c for c in _LATIN if unicodedata.category(c)[0] == "L")
+_NUMBERS = "".join(c for c in _LATIN if unicodedata.category(c)[0] == "N")
+_SPACES = "\t-\r \x85\xa0"
+_SPLIT = re.compile(f"[{_LETTERS}]+|'s|'t|'re|'ve|'m|'ll|'d|[{_NUMBERS}]|[^{_SPACES}{_LETTERS}{_NUMBERS}]+")
+
+
+def is_latin(text: str) -> bool:
+    """Latin-1 is in normal form C and lower-cases character by character."""
+    if text.isascii():
+        return True
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
 
 
 def byte_alphabet() -> list[str]:
@@ -51,41 +65,19 @@ def byte_alphabet() -> list[str]:
 
 
 class Merger:
-    """Exact BPE of single words, by the ranks of a tokenizer file."""
+    """Exact BPE of single words by the tokenizer file's merges, and its tokens' strings."""
 
     def __init__(self, spec: str):
         data = json.loads(spec)
-        model = data["model"]
-        self.end = model["end_of_word_suffix"]
-        self.vocab: dict[str, int] = model["vocab"]
-        self.names = {i: s for s, i in self.vocab.items()} | {t["id"]: t["content"] for t in data["added_tokens"]}
+        self.model = Tokenizer.from_str(spec).model
+        self.names = {i: s for s, i in data["model"]["vocab"].items()} | {t["id"]: t["content"] for t in data["added_tokens"]}
         self.special = {t["content"]: t["id"] for t in data["added_tokens"]}
-        self.ranks = {}
-        for rank, (a, b) in enumerate(model["merges"]):
-            self.ranks[self.vocab[a], self.vocab[b]] = (rank, self.vocab[a + b])
         self.alphabet = byte_alphabet()
 
     def merge(self, word: str) -> list[int]:
-        """Ids of one pre-token; the lowest rank first, of equal ranks the leftmost."""
-        chars = [self.alphabet[b] for b in word.encode()]
-        ids = [self.vocab[c] for c in chars[:-1]] + [self.vocab[chars[-1] + self.end]]
-        n, ranks = len(ids), self.ranks
-        nxt, prev, alive = list(range(1, n + 1)), list(range(-1, n - 1)), [True] * n
-        heap = [(*ranks[pair], i, pair) for i, pair in enumerate(zip(ids, ids[1:], strict=False)) if pair in ranks]
-        heap = [(rank, i, new, pair) for rank, new, i, pair in heap]
-        heapq.heapify(heap)
-        while heap:
-            _, i, new, pair = heapq.heappop(heap)
-            j = nxt[i]
-            if not alive[i] or j >= n or (ids[i], ids[j]) != pair:
-                continue
-            ids[i], alive[j], nxt[i] = new, False, nxt[j]
-            if nxt[i] < n:
-                prev[nxt[i]] = i
-            for a, b in ((prev[i], i), (i, nxt[i])):
-                if a >= 0 and b < n and (got := ranks.get((ids[a], ids[b]))):
-                    heapq.heappush(heap, (got[0], a, got[1], (ids[a], ids[b])))
-        return [x for x, keep in zip(ids, alive, strict=True) if keep]
+        """Ids of one pre-token."""
+        alphabet = self.alphabet
+        return [t.id for t in self.model.tokenize("".join([alphabet[b] for b in word.encode()]))]
 
 
 class PreTokenizer:
@@ -94,15 +86,14 @@ class PreTokenizer:
     def __init__(self, spec: str, special: dict[str, int]):
         self.library = Tokenizer.from_str(spec)
         self.special = special
-        self.marks = regex.compile("(" + "|".join(map(regex.escape, special)) + ")") if special else None
+        self.marks = re.compile("(" + "|".join(map(re.escape, special)) + ")") if special else None
 
     def words(self, text: str) -> list[str]:
-        if _PLAIN.fullmatch(text):
+        if is_latin(text):
             return _SPLIT.findall(text.lower())
         # Other scripts: normalization and classes by the library's own tables.
         text = self.library.normalizer.normalize_str(text)
-        whole = [text[a:b] for _, (a, b) in self.library.pre_tokenizer.pre_tokenize_str(text)]
-        return whole
+        return [text[a:b] for _, (a, b) in self.library.pre_tokenizer.pre_tokenize_str(text)]
 
     def parts(self, text: str) -> Iterator[tuple[int | None, list[str]]]:
         """(id of a special token, []) or (None, words), in the text's order."""
@@ -287,10 +278,13 @@ def decode(encoded: DataFrame, tokenizer_path: str, ids: str = "ids", decoded: s
     at = encoded.columns.index(ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = Merger(spec.value).names
+        known = Merger(spec.value).names
+        names = np.empty(max(known) + 1, object)
+        for i, name in known.items():
+            names[i] = name
         for batch in batches:
             col = batch.column(at)
-            texts = [" ".join(map(names.__getitem__, row.values.to_numpy().tolist())) if row.is_valid else "" for row in col]
+            texts = [" ".join(names[row.values.to_numpy()].tolist()) if row.is_valid else "" for row in col]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, decoded])
 
     return encoded.mapInArrow(run, T.StructType([*encoded.schema.fields, T.StructField(decoded, T.StringType())]))
