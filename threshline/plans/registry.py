@@ -6,6 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
-FLAGSHIP = ""
+from threshline.plans import entry_queries
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**entry_queries.QUERIES}
+ORACLES: dict[str, str] = {**entry_queries.ORACLES}
+#: Filter, buckets, distinct counts, left joins and a total in one report.
+FLAGSHIP = "report_contributions"
