@@ -114,7 +114,7 @@ def batch_stats(batches: DataFrame) -> DataFrame:
 def coverage(batches: DataFrame) -> DataFrame:
     """Batches that lack an attribute's entry, a flip or an unchanged entry."""
     per = batches.groupBy("batch_id").agg(F.count_if(E.is_flip()).alias("flips"), F.count_if(E.is_no_change()).alias("same"), F.count_if(E.bucket() == "high").alias("high"))
-    return per.agg(F.count("*").alias("batches"), F.count_if("flips = 0").alias("without_flip"), F.count_if("same = 0").alias("without_no_change"), F.count_if("high = 0").alias("without_high"))
+    return per.agg(F.count("*").alias("batches"), F.count_if(F.col("flips") == 0).alias("without_flip"), F.count_if(F.col("same") == 0).alias("without_no_change"), F.count_if(F.col("high") == 0).alias("without_high"))
 
 
 def attr_batch_stats(batches: DataFrame) -> DataFrame:
@@ -131,7 +131,7 @@ def batch_lengths(batches: DataFrame) -> DataFrame:
     per = batches.groupBy("batch_id").agg(F.sum(F.length("prompt")).cast("double").alias("length"), F.count_if(E.is_no_change()).alias("same"))
     return per.agg(
         F.sum("length").cast("long").alias("length_sum"), *_spread(per, "length", "length"),
-        F.min("same").alias("same_min"), F.max("same").alias("same_max"), F.count_if("same = 0").alias("same_missing"),
+        F.min("same").alias("same_min"), F.max("same").alias("same_max"), F.count_if(F.col("same") == 0).alias("same_missing"),
     )
 
 

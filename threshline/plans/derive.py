@@ -63,3 +63,38 @@ def event_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
         metrics.cast(S.LOSS_METRICS).alias("loss_metrics"), F.lit(None).cast("string").alias("expected_value"), F.lit(None).cast("string").alias("original_subject_id"),
         F.lit(None).cast("string").alias("completion"), F.lit(None).cast("string").alias("response"), F.col("event_id").alias("_ord"),
     )
+
+
+_CLEAN = "regexp_replace(coalesce(text, ''), '[^0-9A-Za-z .]', ''{g})"
+_TURNS = """SELECT conv_id, role, {clean} AS body, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS t FROM conversations"""
+_BLOCKS = """SELECT conv_id, t, role, concat('c', cast(conv_id AS VARCHAR(20)), '.txt') AS file,
+  concat('<previousMessage from="', lag(role) OVER w, '">', lag(body) OVER w, '</previousMessage>') AS prev,
+  concat('<augment duplicate="', cast(t % 3 AS VARCHAR(20)), '" />') AS aug,
+  concat('<stats character="', role, '" pose="p', cast((t - 1) % 2 AS VARCHAR(20)), '" location="l', cast(conv_id % 5 AS VARCHAR(20)), '" outfit="o" />') AS before,
+  '<stats character="Eve" pose="p0" />' AS eve,
+  concat('<message from="', role, '">', body, '</message>') AS msg,
+  concat('pose="p', cast(t % 2 AS VARCHAR(20)), '"') AS pose, concat('location="l', cast(conv_id % 5 AS VARCHAR(20)), '"') AS loc,
+  concat('fixtures="f', cast(t AS VARCHAR(20)), '"') AS fix, concat('items="i', cast(conv_id % 3 AS VARCHAR(20)), '"') AS items
+  FROM turns WINDOW w AS (PARTITION BY conv_id ORDER BY t)"""
+_SPANS = """SELECT *, concat('<stats character="', role, '" ', pose, ' ', loc, ' outfit="o" />') AS cha, concat('<stats scene="hall" ', fix, ' ', items, ' />') AS sce,
+  concat(file, ':', cast(7 * (t - 2) + 1 AS VARCHAR(20))) AS source_id FROM blocks WHERE t > 1"""
+
+
+def _with(g: str) -> str:
+    return f"turns AS ({_TURNS.format(clean=_CLEAN.format(g=g))}), blocks AS ({_BLOCKS}), spans AS ({_SPANS})"
+
+
+#: One row per block of annotated dialogue, its parts as columns.
+BLOCKS_SQL = _with(", 'g'")
+
+
+def blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.sql(f"WITH {_with('').replace('FROM conversations', 'FROM {conversations}')} SELECT * FROM spans", conversations=table(spark, sf_dir, "conversations"))
+
+
+def annotated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(file, value): a whole annotated text per conversation, a block per answer."""
+    block = F.concat_ws("\n", "prev", "aug", "before", "eve", "msg", "cha", "sce")
+    rows = blocks(spark, sf_dir).select("file", "t", block.alias("block"))
+    whole = rows.groupBy("file").agg(F.array_sort(F.collect_list(F.struct("t", "block"))).alias("all"))
+    return whole.select("file", F.array_join(F.transform("all", lambda x: x["block"]), "\n").alias("value"))
