@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -223,7 +224,8 @@ def wrap_values(line: Column) -> Column:
 
 def merge_attrs(maps: Iterable[Column]) -> Column:
     """One map of several; later values win."""
-    out = F.create_map().cast("map<string,string>")
-    for m in maps:
-        out = F.map_concat(F.map_filter(out, lambda k, _, m=m: ~F.map_contains_key(m, k)), m)
-    return out
+
+    def over(out: Column, m: Column) -> Column:
+        return F.map_concat(F.map_filter(out, lambda k, _: ~F.map_contains_key(m, k)), m)
+
+    return reduce(over, maps, F.create_map().cast("map<string,string>"))

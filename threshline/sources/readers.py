@@ -41,8 +41,10 @@ def jsonl(spark: SparkSession, paths: str | list[str]) -> DataFrame:
 def jsonl_lenient(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """Entries of JSONL files without the lines that are no JSON."""
     schema = T.StructType([*S.ENTRY.fields, T.StructField("_corrupt_record", T.StringType())])
-    rows = spark.read.schema(schema).option("mode", "PERMISSIVE").json(paths)
-    return _ordered(rows).filter("_corrupt_record IS NULL").drop("_corrupt_record")
+    rows = _ordered(spark.read.schema(schema).option("mode", "PERMISSIVE").json(paths))
+    # Spark reads the mark of a bad line only beside a column of the data.
+    whole = F.col("_corrupt_record").isNull() & (F.col("prompt").isNull() | F.col("prompt").isNotNull())
+    return rows.filter(whole).drop("_corrupt_record")
 
 
 def prompts(spark: SparkSession, path: str, limit: int | None = None) -> DataFrame:
