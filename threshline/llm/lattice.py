@@ -43,6 +43,8 @@ ROUNDS = 2
 PRIOR_WEIGHT = 2_000.0
 #: Mass that the single bytes share before training.
 BYTE_MASS = 1e-3
+#: Words taken together, so that many have one length and share a matrix.
+WORDS = 65_536
 #: Longer words are walked one by one, not in a matrix.
 MATRIX_BYTES = 48
 _SPACE = "▁".encode()
@@ -201,6 +203,18 @@ def _log_sum(x: np.ndarray) -> np.ndarray:
         return np.log(np.exp(x - safe).sum(axis=0)) + safe
 
 
+def _gathered(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+    """Batches of ``rows`` rows or more, but for the last."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held.append(batch)
+        if sum(x.num_rows for x in held) >= rows:
+            yield pa.concat_batches(held)
+            held = []
+    if held:
+        yield pa.concat_batches(held)
+
+
 def tokens(text: str | None) -> list[bytes]:
     """Words of a text, A-Z lowered, cut at ASCII white space."""
     return (text or "").encode().lower().split()
@@ -248,7 +262,7 @@ def score_corpus(docs: DataFrame, vocabulary: str, training: Column, key: str =
 
         def expect(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             lattice, sums = Lattice(*shared.value), np.zeros(len(shared.value[0]))
-            for batch in batches:
+            for batch in _gathered(batches, WORDS):
                 sums += lattice.expected([_SPACE + w for w in batch.column(0).to_pylist()], np.ones(batch.num_rows))
             at = np.flatnonzero(sums)
             yield pa.RecordBatch.from_pydict({"piece": pa.array(at.astype(np.int32)), "n": pa.array(sums[at])})
@@ -267,7 +281,7 @@ def score_corpus(docs: DataFrame, vocabulary: str, training: Column, key: str =
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lattice = Lattice(*shared.value)
-        for batch in batches:
+        for batch in _gathered(batches, WORDS):
             c = batch.column(1).to_numpy()
             spelled = lattice.log_marginal([_SPACE + w for w in batch.column(0).to_pylist()])
             if total > ends:
