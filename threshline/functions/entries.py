@@ -159,4 +159,4 @@ def seed_of(key: Column) -> Column:
 
 def order_key(uid: Column, seed: int | Column) -> Column:
     """Where a row stands in the shuffle of a seed, on any cluster and in any SQL."""
-    return F.sha1(F.concat_ws("#", uid, (F.lit(seed) if isinstance(seed, int) else seed).cast("string")))
+    return F.sha1(F.concat_ws("#", uid.cast("string"), (F.lit(seed) if isinstance(seed, int) else seed).cast("string")))

@@ -142,8 +142,8 @@ def warnings_of(files: DataFrame, text: str = "value", name: str = "file") -> Da
     return files.select(text, name).mapInArrow(run, "file string, warning string")
 
 
-def to_entries(datapoints: DataFrame) -> DataFrame:
-    """Entries as they are written to JSONL, with the order columns."""
+def to_entries(datapoints: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Entries as they are written to JSONL, with the order columns and those to ``keep``."""
     target, state, before = F.col("target"), F.col("state"), F.col("previous_state")
     original = F.coalesce(F.col("original_subject_id"), N.infer_subject(target, state, before, F.col("state_context")))
     prompted = datapoints.withColumn("prompt", N.prompt_of()).withColumn("_original", original)
@@ -152,7 +152,7 @@ def to_entries(datapoints: DataFrame) -> DataFrame:
         "prompt", N.build_id(F.col("source_id"), F.col("_original"), target).alias("id"), "source_id", "target",
         F.lit(None).cast(S.LOSS_METRICS).alias("loss_metrics"), N.expected_value(target, state, before, F.col("prompt")).alias("expected_value"),
         F.col("_original").alias("original_subject_id"), F.lit(None).cast("string").alias("completion"), F.lit(None).cast("string").alias("response"),
-        F.struct("_file", "_line", "_part", *copies).alias("_ord"),
+        F.struct("_file", "_line", "_part", *copies).alias("_ord"), *keep,
     )
 
 
