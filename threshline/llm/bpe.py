@@ -29,8 +29,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
-#: Words compiled into the lexicon, the most frequent of the corpus.
-LEXICON_WORDS = 50_000
+from threshline.llm.common import materialize
+
+#: A word is compiled into the lexicon if it is one of so many, or more often, in the
+#: running words of the corpus. So the lexicon has at most as many words, for any corpus.
+LEXICON_ONE_IN = 200_000
 #: Words that a worker remembers before it forgets them all.
 CACHE_WORDS = 200_000
 #: What the pre-tokenizer cuts words by, in Latin-1: letters, numbers, white space.
@@ -217,13 +220,15 @@ def _counted(found: Counter) -> pa.RecordBatch:
     return pa.RecordBatch.from_pydict({"word": pa.array(list(found.keys()), pa.string()), "n": pa.array(list(found.values()), pa.int64())})
 
 
-def train_lexicon(docs: DataFrame, tokenizer_path: str, words: int = LEXICON_WORDS, text: str = "text") -> bytes:
-    """The lexicon image of the corpus's ``words`` most frequent words (ties by word)."""
+def train_lexicon(docs: DataFrame, tokenizer_path: str, one_in: int = LEXICON_ONE_IN, text: str = "text") -> bytes:
+    """The lexicon image of the corpus's frequent words, ``one_in`` of them at most."""
     spec = _spec(tokenizer_path)
     merger = Merger(spec)
     shared = docs.sparkSession.sparkContext.broadcast(spec)
-    top = count_words(docs, shared, text).orderBy(F.desc("n"), "word").limit(words).collect()
-    return compile_lexicon({r.word: merger.merge(r.word) for r in top})
+    counts = materialize(count_words(docs, shared, text), "counts")
+    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    frequent = counts.filter(F.col("n") * one_in >= total).select("word").toArrow()
+    return compile_lexicon({w: merger.merge(w) for w in frequent["word"].to_pylist()})
 
 
 def _spec(path: str) -> str:
@@ -234,7 +239,7 @@ def _spec(path: str) -> str:
 def encode(docs: DataFrame, tokenizer_path: str, lexicon: bytes, text: str = "text", ids: str = "ids") -> DataFrame:
     """``docs`` with the column ``ids`` (array of int) after its own columns.
 
-    The vocabulary and the lexicon have a fixed size (``LEXICON_WORDS``), so they
+    The vocabulary and the lexicon have a fixed size (``LEXICON_ONE_IN``), so they
     are broadcast. No shuffle.
     """
     docs = docs.drop(ids)
