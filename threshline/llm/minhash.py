@@ -9,9 +9,10 @@ threshold is confirmed on the full sets, which are made from the texts anew.
 
 Equal sets are one class, represented by its smallest doc_id, so copies are never
 paired. In a band's bucket every class is first paired with the smallest one (a
-star); classes that are in one component already need no further pair. Only where
-a bucket still holds more than one component, the pairs between its components are
-estimated, in blocks, and the likely ones confirmed. A link at the threshold is in no common
+star), then with its middle one; classes of one component need no further pair. Only
+where a bucket still holds several components, the members that may be linked across
+them are compared on their full sets in one place, which gives no pairs but the links
+that join components. A link at the threshold is in no common
 band with probability below 1e-9 for 80 percent and above.
 
 Defined results: null or blank text has an empty set and is linked with nothing;
@@ -37,10 +38,11 @@ BANDS, ROWS, BITS = 40, 4, 2
 MARGIN = 0.24
 #: Members confirmed against one copy of a leader's text.
 MEMBERS = 64
-#: Members of a bucket that are compared with each other in memory.
+#: Members of a bucket that are compared with each other in memory; a larger bucket is
+#: compared chunk against chunk.
 CHUNK = 512
 BROADCAST_ROWS = 500_000
-CACHE_WORDS = 300_000
+CACHE_WORDS = 100_000
 _SEEDS = np.random.default_rng(20240229)
 _A = (_SEEDS.integers(0, 1 << 32, BANDS * ROWS, dtype=np.uint64) | 1).astype(np.uint32)[:, None]
 _C = _SEEDS.integers(0, 1 << 32, BANDS * ROWS, dtype=np.uint64).astype(np.uint32)[:, None]
@@ -178,46 +180,161 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), -1)
 
 
-def across(members: DataFrame, percent: int) -> DataFrame:
-    """Likely pairs between different components of one bucket.
+def medoids(members: DataFrame, percent: int) -> DataFrame:
+    """Likely pairs of each bucket's middle member and members of other components: the
+    middle is the member nearest to the bits that most members have."""
 
-    ``members``: (key, node, root, planes). A bucket is read in chunks; each chunk is
-    compared with the bucket's earlier ones, which are planes only, not texts.
+    def pairs(nodes: list, roots: list, sigs: list, _) -> list[tuple[int, int]]:
+        s = np.frombuffer(b"".join(sigs), np.uint8).reshape(len(nodes), -1)
+        common = np.packbits(np.unpackbits(s, axis=1).mean(axis=0) >= 0.5)
+        m = int(estimate(s, common[None]).argmax())
+        near = np.flatnonzero(estimate(s, s[m][None]) >= percent / 100 - MARGIN)
+        return [(min(nodes[m], nodes[i]), max(nodes[m], nodes[i])) for i in near if roots[i] != roots[m]]
+
+    return _per_bucket(members, pairs, "a long, b long").distinct()
+
+
+def units(members: DataFrame, percent: int) -> DataFrame:
+    """(unit, node): members to compare in full, by pairs of chunks of a bucket.
+
+    Only members with a likely partner in another component come, and a pair's partners
+    come for the first band that they share, not for each.
     """
 
+    def wanted(nodes: list, roots: list, sigs: list, row: tuple) -> list[tuple[int, int]]:
+        key, keys = row
+        r = np.array(roots)
+        s = np.frombuffer(b"".join(sigs), np.uint8).reshape(len(r), -1)
+        k = np.frombuffer(b"".join(keys), np.uint32).reshape(len(r), -1)
+        here = int(np.flatnonzero((k == k[0]).all(axis=0))[0]) if len(k) else 0
+        out = []
+        for i in range(0, len(r), CHUNK):
+            for j in range(0, i + 1, CHUNK):
+                used: set[int] = set()
+                for at in range(i, min(i + CHUNK, len(r)), 64):
+                    rows = slice(at, min(at + 64, i + CHUNK, len(r)))
+                    near = estimate(s[rows, None], s[None, j : j + CHUNK]) >= percent / 100 - MARGIN
+                    x, y = np.nonzero(near & (r[rows, None] != r[None, j : j + CHUNK]))
+                    x, y = x + at, y + j
+                    first = ~(k[x, :here] == k[y, :here]).any(axis=1)
+                    used.update(x[first].tolist(), y[first].tolist())
+                unit = xxhash.xxh3_64_intdigest(f"{key}/{i}/{j}") - (1 << 63)
+                out += [(unit, nodes[n]) for n in sorted(used)]
+        return out
+
+    return _per_bucket(members, wanted, "unit long, node long", keys=True)
+
+
+def _per_bucket(members: DataFrame, found, schema: str, keys: bool = False) -> DataFrame:
+    """Run ``found`` on each bucket that holds several components. What a bucket holds in
+    memory is signatures, not texts."""
+    names = [x.split()[0] for x in schema.split(", ")]
+    columns = ["key", "node", "root", "planes", *(["short"] if keys else [])]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, nodes, roots, sigs = None, [], [], []
+        key, held = None, []
+
+        def done() -> pa.RecordBatch:
+            several = len({h[1] for h in held}) > 1
+            out = found([h[0] for h in held], [h[1] for h in held], [h[2] for h in held], (key, [h[3] for h in held])) if several else []
+            return pa.RecordBatch.from_pydict({n: pa.array([o[i] for o in out], pa.int64()) for i, n in enumerate(names)})
+
         for batch in batches:
-            found: list[tuple[int, int]] = []
-            rows = zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True)
-            for k, node, root, sig in rows:
+            for k, *row in zip(*(batch.column(i).to_pylist() for i in range(batch.num_columns)), *([[None] * batch.num_rows] if not keys else []), strict=True):
                 if k != key:
-                    found += _cross(nodes, roots, sigs, percent)
-                    key, nodes, roots, sigs = k, [], [], []
-                nodes.append(node), roots.append(root), sigs.append(sig)
-            yield _pairs(found)
-        yield _pairs(_cross(nodes, roots, sigs, percent))
-
-    stream = members.select("key", "node", "root", "planes").repartition("key").sortWithinPartitions("key", "node")
-    return stream.mapInArrow(run, "a long, b long").distinct()
-
-
-def _cross(nodes: list, roots: list, sigs: list, percent: int) -> list[tuple[int, int]]:
-    if len(set(roots)) < 2:
-        return []
-    n, r = np.array(nodes), np.array(roots)
-    s, out = np.frombuffer(b"".join(sigs), np.uint8).reshape(len(n), -1), []
-    for i in range(0, len(n), CHUNK):
-        for j in range(0, i + 1, CHUNK):
-            near = estimate(s[i : i + CHUNK, None], s[None, j : j + CHUNK]) >= percent / 100 - MARGIN
-            near &= r[i : i + CHUNK, None] != r[None, j : j + CHUNK]
-            x, y = np.nonzero(near)
-            out += [(a, b) for a, b in zip(n[j + y].tolist(), n[i + x].tolist(), strict=True) if a < b]
-    return out
+                    if held:
+                        yield done()
+                    key, held = k, []
+                held.append(row)
+        if held:
+            yield done()
+
+    return members.select(*columns).repartition("key").sortWithinPartitions("key", "node").mapInArrow(run, schema)
+
+
+def shingle_sets(texts: DataFrame, k: int) -> DataFrame:
+    """(node, shingles): the full sets as sorted 64-bit hashes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingle = Shingler(k)
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([shingle(t.as_py()).tobytes() for t in batch.column(1)], pa.binary())], names=["node", "shingles"])
+
+    return texts.select("node", "text").mapInArrow(run, "node long, shingles binary")
+
+
+def confirm_units(units: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) that join the components of each unit's members, on their full sets.
+
+    ``units``: (unit, node, root, shingles). Shingles that several members have become bits,
+    so an intersection is a bit count. A unit gives fewer links than it has members.
+    """
+
+    def links(rows: list[tuple[int, int, bytes]]) -> list[tuple[int, int]]:
+        sets = [np.frombuffer(x, np.uint64) for _, _, x in rows]
+        sizes = np.array([len(x) for x in sets])
+        _, at, df = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        common = df > 1
+        bit = np.cumsum(common) - 1
+        bits = np.zeros((len(rows), (int(common.sum()) + 7) // 8), np.uint8)
+        for i, part in enumerate(np.split(at, np.cumsum(sizes)[:-1])):
+            row = np.zeros(bits.shape[1] * 8, np.uint8)
+            row[bit[part[common[part]]]] = 1
+            bits[i] = np.packbits(row)
+        bits = np.pad(bits, ((0, 0), (0, -bits.shape[1] % 8))).view(np.uint64)
+        parent = {r: r for _, r, _ in rows}
+
+        def top(x: int) -> int:
+            while parent[x] != x:
+                parent[x] = parent[parent[x]]
+                x = parent[x]
+            return x
+
+        out = []
+        for i in range(1, len(rows)):
+            both = np.bitwise_count(bits[i] & bits[:i]).sum(axis=1, dtype=np.int64)
+            for j in np.flatnonzero(100 * both >= percent * (sizes[i] + sizes[:i] - both)).tolist():
+                x, y = top(rows[i][1]), top(rows[j][1])
+                if x != y:
+                    parent[x] = y
+                    out.append((rows[i][0], rows[j][0]))
+        return out
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unit, rows = None, []
+
+        def done() -> pa.RecordBatch:
+            found = links(rows) if len(rows) > 1 else []
+            return pa.RecordBatch.from_pydict({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
+
+        for batch in batches:
+            for u, *row in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
+                if u != unit:
+                    if rows:
+                        yield done()
+                    unit, rows = u, []
+                rows.append(tuple(row))
+        if rows:
+            yield done()
+
+    stream = units.select("unit", "node", "root", "shingles").repartition("unit").sortWithinPartitions("unit", "node")
+    return stream.mapInArrow(run, "a long, b long")
+
+
+def _open(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """(key, node, root) of the buckets that hold several components."""
+    placed = members.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
+    split = placed.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y").select("key")
+    return placed.join(split, "key")
+
+
+def _links_of(roots: DataFrame) -> DataFrame:
+    return roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
 
 
-def _pairs(found: list[tuple[int, int]]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_pydict({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
+def _short_keys(bands: str):
+    """The low 32 bits of all band keys, packed: enough to find two rows' first common band."""
+    return F.unhex(F.array_join(F.transform(bands, lambda b: F.lpad(F.hex(b.bitwiseAND(F.lit(0xFFFFFFFF))), 8, "0")), ""))
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -250,13 +367,16 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, doc_id: str
 
     links = materialize(confirm(star, texts, k, percent).unionByName(same), "confirmed")
     roots = components(links)
-    # Buckets of three and more that still hold several components.
-    large = buckets.filter("size > 2").join(roots, "node", "left").select("key", "node", "leader", F.coalesce("root", "node").alias("root"))
-    split = large.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y").select("key")
-    more = across(large.join(split, "key").join(planes_of, "node"), percent)
-    more = materialize(more.join(star, ["a", "b"], "left_anti"), "more")
-    if not more.isEmpty():
-        roots = components(confirm(more, texts, k, percent).unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
+    # Buckets of three and more that still hold several components: first a star around
+    # their middle, then all pairs of components, compared where they are.
+    large = materialize(buckets.filter("size > 2").select("key", "node"), "large")
+    middle = materialize(medoids(_open(large, roots).join(planes_of, "node"), percent).join(star, ["a", "b"], "left_anti"), "medoids")
+    roots = components(confirm(middle, texts, k, percent).unionByName(_links_of(roots)))
+    short = classes.select("node", "planes", _short_keys("bands").alias("short")).dropDuplicates(["node"])
+    compared = materialize(units(_open(large, roots).join(short, "node"), percent), "units")
+    sets_of = shingle_sets(texts.join(compared.select("node").distinct(), "node", "left_semi"), k)
+    whole = compared.join(materialize(sets_of, "full"), "node").join(roots, "node", "left").select("unit", "node", F.coalesce("root", "node").alias("root"), "shingles")
+    roots = components(materialize(confirm_units(whole, percent), "more").unionByName(_links_of(roots)))
 
     placed = classes.select("print", "node").join(roots, "node", "left").select("print", F.coalesce("root", "node").alias("component"))
     out = sets.select("doc_id", "text_hash", "n_shingles", "print").join(placed, "print", "left")
