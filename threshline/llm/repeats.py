@@ -37,8 +37,8 @@ from threshline.llm.common import materialize
 #: Windows of one text looked at together; bounds memory for very long texts.
 CHUNK = 1 << 19
 #: Distinct phrases that a task's dictionary holds before it is sent on.
-DICTIONARY = 20_000
-CACHE_WORDS = 300_000
+DICTIONARY = 5_000
+CACHE_WORDS = 100_000
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0xD6E8FEB86659FD93))
 _PLACE = np.uint64((1 << 20) - 1)
 _BYTE_CODES = np.random.default_rng(7).integers(0, 1 << 63, 256, dtype=np.uint64)
@@ -147,9 +147,9 @@ class Finder:
     def repeated(self, docs: DataFrame, doc_id: str, text: str) -> DataFrame:
         """(_id, _hash, spans): the starts that repeat, as a flat array of first, last."""
         rows = docs.select(*row_keys(doc_id, text), F.col(text).alias("_text"))
-        marks = materialize(rows.mapInArrow(self._anchor_rows(), "h long, _id long, _hash long"), "anchors")
-        often = marks.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1").select("h")
-        mine = marks.join(often, "h").groupBy("_id", "_hash").agg(F.collect_set("h").alias("hs"))
+        marks = materialize(rows.mapInArrow(self._anchor_rows(), "h long, n int, _id long, _hash long"), "anchors")
+        often = marks.groupBy("h").agg(F.sum("n").alias("n")).filter("n > 1").select("h")
+        mine = marks.join(often, "h").groupBy("_id", "_hash").agg(F.collect_list("h").alias("hs"))
         cut = rows.join(mine, ["_id", "_hash"]).select("_id", "_hash", "_text", "hs")
         phrases = materialize(cut.mapInArrow(self._phrase_rows(), "h long, ph binary, n long, content binary, starts int, _id long, _hash long, at int"), "phrases")
 
@@ -182,13 +182,15 @@ class Finder:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             kind = unit()
             for batch in batches:
-                hashes, owner = [], []
+                hashes, counts, owner = [], [], []
                 for i, t in enumerate(batch.column(2)):
-                    for h, _, _ in anchors(kind.codes(kind.units(t.as_py())), length, gram):
-                        hashes.append(h), owner.append(np.full(len(h), i))
+                    found = [h for h, _, _ in anchors(kind.codes(kind.units(t.as_py())), length, gram)]
+                    if found:  # a text's copies of one anchor are one row
+                        h, n = np.unique(np.concatenate(found), return_counts=True)
+                        hashes.append(h), counts.append(n.astype(np.int32)), owner.append(np.full(len(h), i))
                 if hashes:
                     at = pa.array(np.concatenate(owner))
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(hashes)), batch.column(0).take(at), batch.column(1).take(at)], names=["h", "_id", "_hash"])
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(hashes)), pa.array(np.concatenate(counts)), batch.column(0).take(at), batch.column(1).take(at)], names=["h", "n", "_id", "_hash"])
 
         return run
 

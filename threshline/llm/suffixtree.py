@@ -24,7 +24,7 @@ from threshline.llm.repeats import Finder, Words, classes_to_depth
 #: Words of a window, and of the strings whose hash can be its anchor.
 WINDOW, GRAM = 35, 8
 #: Words of the subtrees that a task builds at once.
-SUBTREE_WORDS = 1_000_000
+SUBTREE_WORDS = 400_000
 
 
 def deep_leaves(contents: list[bytes], starts: list[int], group: np.ndarray, window: int) -> list[np.ndarray]:
