@@ -33,8 +33,8 @@ from threshline.llm.common import broadcast_if, materialize
 
 #: Shorter lines are left alone: headings, list marks, blank lines.
 MIN_WORDS = 6
-BROADCAST_ROWS = 200_000
-CACHE_WORDS = 300_000
+BROADCAST_ROWS, BROADCAST_KEYS = 200_000, 1_000_000
+CACHE_WORDS = 100_000
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _LAST = (1 << 63) - 1
 
@@ -111,16 +111,19 @@ def repeated_lines(docs: DataFrame, doc_id: str, text: str, min_words: int) -> D
     rows = docs.select(*row_keys(doc_id, text), F.col(text).alias("_text"))
     found = materialize(rows.mapInArrow(_line_rows(min_words), "_id long, _hash long, line int, lid binary, halves array<long>"), "lines")
     place = F.struct("_id", "line", "_hash")
-    lines = materialize(found.groupBy("lid").agg(F.min(place).alias("first"), F.first("halves").alias("halves")), "distinct")
+    lines = materialize(found.groupBy("lid").agg(F.min(place).alias("first"), F.count("*").alias("copies")), "distinct")
 
-    halves = lines.select("lid", F.explode("halves").alias("key"))
-    shared = halves.groupBy("key").agg(F.min("lid").alias("x"), F.max("lid").alias("y")).filter("x <> y").select("key")
-    chosen = materialize(halves.join(shared, "key").select("lid").distinct().join(lines.select("lid", "first"), "lid"), "chosen")
+    halves = found.select("lid", F.explode("halves").alias("key"))
+    shared = materialize(_of_several(halves), "shared")
+    near_half = halves.join(broadcast_if(shared, shared.count(), BROADCAST_KEYS), "key").select("lid").distinct()
+    chosen = materialize(lines.join(near_half, "lid").select("lid", "first"), "chosen")
     wanted = chosen.select("first._id", "first._hash", F.struct("first.line", "lid").alias("w")).groupBy("_id", "_hash").agg(F.collect_list("w").alias("wanted"))
     with_text = rows.join(broadcast_if(wanted, chosen.count(), BROADCAST_ROWS), ["_id", "_hash"]).dropDuplicates(["_id", "_hash"])
     variants = materialize(with_text.select("_id", "_hash", "_text", "wanted").mapInArrow(_variant_rows(), "key long, own boolean, lid binary, first struct<_id:long,line:int,_hash:long>, words binary"), "variants")
 
-    keyed = variants.filter("key IS NOT NULL").select("key", "own", "lid", "first")
+    # Most variants are of one line alone; those go before anything but keys is shuffled.
+    met = materialize(_of_several(variants.filter("key IS NOT NULL")), "met")
+    keyed = materialize(variants.join(broadcast_if(met, met.count(), BROADCAST_KEYS), "key").select("key", "own", "lid", "first"), "keyed")
     least = keyed.groupBy("key").agg(
         F.min(F.when(F.coalesce("own", F.lit(True)), F.struct("first", "lid"))).alias("of_own"),
         F.min(F.when(~F.coalesce("own", F.lit(False)), F.struct("first", "lid"))).alias("of_cut"),
@@ -132,11 +135,19 @@ def repeated_lines(docs: DataFrame, doc_id: str, text: str, min_words: int) -> D
     texts = pairs.join(words, "lid").join(words.select(F.col("lid").alias("early"), F.col("words").alias("early_words")), "early")
     near = texts.select("lid", "words", "early_words").mapInArrow(_verified(), "lid binary").distinct()
 
-    marked = lines.select("lid", "first").join(near.withColumn("near", F.lit(True)), "lid", "left")
-    gone = found.select("_id", "_hash", "line", "lid").join(marked, "lid").filter(F.coalesce("near", F.lit(False)) | (place != F.col("first")))
+    marked = lines.join(near.withColumn("near", F.lit(True)), "lid", "left").filter("near OR copies > 1").select("lid", "first", "near")
+    marked = materialize(marked, "marked")
+    some = broadcast_if(marked, marked.count(), BROADCAST_ROWS)
+    gone = found.select("_id", "_hash", "line", "lid").join(some, "lid").filter(F.coalesce("near", F.lit(False)) | (place != F.col("first")))
     return gone.groupBy("_id", "_hash").agg(F.collect_set("line").alias("lines"))
 
 
+def _of_several(keyed: DataFrame) -> DataFrame:
+    """The keys that more than one line has."""
+    ids = keyed.select("key", F.xxhash64("lid").alias("x"))
+    return ids.groupBy("key").agg(F.min("x").alias("a"), F.max("x").alias("b")).filter("a <> b").select("key")
+
+
 def _line_rows(min_words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = Coder()
@@ -186,10 +197,11 @@ def _verified():
 def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """``docs`` with ``text`` less its repeated lines, and n_lines, n_lines_removed."""
     docs = docs.drop("n_lines", "n_lines_removed")
-    gone = repeated_lines(docs, doc_id, text, min_words)
+    gone = materialize(repeated_lines(docs, doc_id, text, min_words), "gone")
+    removed = gone.agg(F.coalesce(F.sum(F.size("lines")), F.lit(0))).first()[0]
     fields = docs.schema.fields
     keyed = docs.select(*[F.col(f"`{f.name}`") for f in fields], *row_keys(doc_id, text))
-    joined = keyed.join(gone, ["_id", "_hash"], "left").select(*[F.col(f"`{f.name}`") for f in fields], F.col("lines").alias("_lines"))
+    joined = keyed.join(broadcast_if(gone, removed, BROADCAST_KEYS), ["_id", "_hash"], "left").select(*[F.col(f"`{f.name}`") for f in fields], F.col("lines").alias("_lines"))
     at = docs.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
