@@ -63,7 +63,7 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     small_batches(spark)
     texts = docs.select("doc_id", "text")
     lexicon = bpe.train_lexicon(texts, TOKENIZER)
-    coded = bpe.decode(bpe.encode(texts, TOKENIZER, lexicon).drop("text"), TOKENIZER)
+    coded = bpe.encode(texts, TOKENIZER, lexicon, keep=["doc_id"], decoded="decoded")
     return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", "decoded")
 
 

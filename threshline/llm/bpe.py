@@ -35,7 +35,7 @@ from threshline.llm.common import materialize
 #: running words of the corpus. So the lexicon has at most as many words, for any corpus.
 LEXICON_ONE_IN = 200_000
 #: Words that a worker remembers before it forgets them all.
-CACHE_WORDS = 200_000
+CACHE_WORDS = 100_000
 #: What the pre-tokenizer cuts words by, in Latin-1: letters, numbers, white space.
 _LATIN = "".join(map(chr, range(256)))
 _LETTERS = "".join(c for c in _LATIN if unicodedata.category(c)[0] == "L")
@@ -77,6 +77,13 @@ class Merger:
         self.special = {t["content"]: t["id"] for t in data["added_tokens"]}
         self.alphabet = byte_alphabet()
 
+    def strings(self) -> np.ndarray:
+        """Every token's string, at its id."""
+        out = np.full(max(self.names) + 1, "", object)
+        for i, name in self.names.items():
+            out[i] = name
+        return out
+
     def merge(self, word: str) -> list[int]:
         """Ids of one pre-token."""
         alphabet = self.alphabet
@@ -236,20 +243,22 @@ def _spec(path: str) -> str:
         return f.read()
 
 
-def encode(docs: DataFrame, tokenizer_path: str, lexicon: bytes, text: str = "text", ids: str = "ids") -> DataFrame:
-    """``docs`` with the column ``ids`` (array of int) after its own columns.
+def encode(docs: DataFrame, tokenizer_path: str, lexicon: bytes, text: str = "text", ids: str = "ids", keep: list[str] | None = None, decoded: str | None = None) -> DataFrame:
+    """The columns ``keep`` (all, unless named) and ``ids`` (array of int) of every row;
+    with ``decoded`` also the text that the ids decode to, in the same pass.
 
-    The vocabulary and the lexicon have a fixed size (``LEXICON_ONE_IN``), so they
+    The vocabulary and the lexicon have a bounded size (``LEXICON_ONE_IN``), so they
     are broadcast. No shuffle.
     """
-    docs = docs.drop(ids)
     context = docs.sparkSession.sparkContext
     spec, image = context.broadcast(_spec(tokenizer_path)), context.broadcast(lexicon)
-    at = docs.columns.index(text)
+    made = [ids, *([decoded] if decoded else [])]
+    carried = [c for c in (docs.columns if keep is None else keep) if c not in made]
+    fields = [docs.schema[c] for c in carried]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         merger, lex = Merger(spec.value), Lexicon(image.value)
-        pre, cache = PreTokenizer(spec.value, merger.special), {}
+        pre, cache, names = PreTokenizer(spec.value, merger.special), {}, merger.strings()
 
         def learn(word: str) -> tuple[int, ...]:
             if len(cache) >= CACHE_WORDS:
@@ -259,8 +268,8 @@ def encode(docs: DataFrame, tokenizer_path: str, lexicon: bytes, text: str = "te
             return got
 
         for batch in batches:
-            flat, ends = [], [0]
-            for t in batch.column(at):
+            flat, ends, texts = [], [0], []
+            for t in batch.column(batch.num_columns - 1):
                 row: list[int] = []
                 for mark, words in pre.parts(t.as_py() or ""):
                     if mark is not None:
@@ -269,10 +278,14 @@ def encode(docs: DataFrame, tokenizer_path: str, lexicon: bytes, text: str = "te
                         row += cache.get(w) or learn(w)
                 flat.append(np.array(row, np.int32))
                 ends.append(ends[-1] + len(row))
-            col = pa.ListArray.from_arrays(pa.array(np.array(ends, np.int32)), pa.array(np.concatenate([*flat, np.zeros(0, np.int32)])))
-            yield pa.RecordBatch.from_arrays([*batch.columns, col], names=[*batch.schema.names, ids])
+                if decoded:
+                    texts.append(" ".join(names[flat[-1]].tolist()))
+            out = [pa.ListArray.from_arrays(pa.array(np.array(ends, np.int32)), pa.array(np.concatenate([*flat, np.zeros(0, np.int32)])))]
+            out += [pa.array(texts, pa.string())] if decoded else []
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *out], names=[*carried, *made])
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(ids, T.ArrayType(T.IntegerType()))]))
+    kinds = [T.StructField(ids, T.ArrayType(T.IntegerType())), T.StructField(decoded or "", T.StringType())][: len(made)]
+    return docs.select(*[F.col(f"`{c}`") for c in carried], F.col(f"`{text}`").alias("_text")).mapInArrow(run, T.StructType([*fields, *kinds]))
 
 
 def decode(encoded: DataFrame, tokenizer_path: str, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
@@ -283,10 +296,7 @@ def decode(encoded: DataFrame, tokenizer_path: str, ids: str = "ids", decoded: s
     at = encoded.columns.index(ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Merger(spec.value).names
-        names = np.empty(max(known) + 1, object)
-        for i, name in known.items():
-            names[i] = name
+        names = Merger(spec.value).strings()
         for batch in batches:
             col = batch.column(at)
             texts = [" ".join(names[row.values.to_numpy()].tolist()) if row.is_valid else "" for row in col]

@@ -76,7 +76,7 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's tokens, and what they decode to, as digests."""
     docs = documents(spark, sf_dir, "doc_id", "text")
     lexicon = bpe.train_lexicon(docs, TOKENIZER)
-    coded = bpe.decode(bpe.encode(docs, TOKENIZER, lexicon).drop("text"), TOKENIZER)
+    coded = bpe.encode(docs, TOKENIZER, lexicon, keep=["doc_id"], decoded="decoded")
     return coded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
