@@ -11,7 +11,9 @@ The vocabulary's existing scores give the prior of the piece probabilities; roun
 expectation maximization over the training words refine it, each distinct word
 once, as pieces have to spell the words that training has not seen. A whole word
 that it has seen is one more edge of its lattice, weighted by the word's count; the
-pieces' edges share the mass of the words seen once (Good and Turing). The pieces are of fixed number, so they are
+pieces' edges share the mass of the words seen once (Good and Turing). Training rows
+of different languages have probabilities of their own, and a text's probability
+is the mixture of the languages', each by its share of the training rows. The pieces are of fixed number, so they are
 collected and broadcast. Word counts grow with the corpus: they stay in Spark, and
 every block of documents is joined with its own distinct words only.
 
@@ -25,6 +27,7 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -43,6 +46,8 @@ ROUNDS = 2
 PRIOR_WEIGHT = 2_000.0
 #: Mass that the single bytes share before training.
 BYTE_MASS = 1e-3
+#: Classes of training rows with probabilities of their own.
+MAX_CLASSES = 16
 #: Words taken together, so that many have one length and share a matrix.
 WORDS = 65_536
 #: Longer words are walked one by one, not in a matrix.
@@ -98,8 +103,8 @@ class Lattice:
             h = (h * int(_BASE) + int(_CODES[b])) & 0xFFFFFFFFFFFFFFFF
         return h
 
-    def edges(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """For (W, n) bytes: (n, longest, W) piece numbers, -1 for none, and log p."""
+    def edges(self, words: np.ndarray) -> np.ndarray:
+        """For (W, n) bytes: (n, longest, W) piece numbers, -1 for none."""
         w, n = words.shape
         deep = min(n, self.longest)
         prefix = np.zeros((n + 1, w), np.uint64)
@@ -115,7 +120,7 @@ class Lattice:
             got = h[at]
             k = np.minimum(np.searchsorted(self.keys, got), len(self.keys) - 1)
             number[at[0], length - 1, at[1]] = np.where(self.keys[k] == got, self.order[k], -1)
-        return number, np.where(number >= 0, self.logp[number], -np.inf)
+        return number
 
     def forward(self, logs: np.ndarray) -> np.ndarray:
         n, deep, w = logs.shape
@@ -150,27 +155,33 @@ class Lattice:
                 part = group[i : i + step]
                 yield part, np.frombuffer(b"".join(words[j] for j in part), np.uint8).reshape(len(part), n)
 
-    def log_marginal(self, words: list[bytes]) -> np.ndarray:
-        """Log marginal probabilities of words (bytes, with their space mark)."""
-        out = np.zeros(len(words))
+    def log_marginal(self, words: list[bytes], weights: np.ndarray | None = None) -> np.ndarray:
+        """Log marginal probabilities of words (bytes, with their space mark); with
+        ``weights``, (classes, pieces) log probabilities, a row for each class."""
+        every = self.logp[None] if weights is None else weights
+        out = np.zeros((len(every), len(words)))
         for at, matrix in self.batches(words):
-            out[at] = self._walk(words[at[0]])[0][-1] if matrix is None else self.forward(self.edges(matrix)[1])[-1]
-        return out
+            number = None if matrix is None else self.edges(matrix)
+            for k, logp in enumerate(every):
+                out[k, at] = self._walk(words[at[0]], logp)[0][-1] if number is None else self.forward(_weighted(number, logp))[-1]
+        return out[0] if weights is None else out
 
-    def expected(self, words: list[bytes], weight: np.ndarray) -> np.ndarray:
+    def expected(self, words: list[bytes], weight: np.ndarray, logp: np.ndarray | None = None) -> np.ndarray:
         """Expected piece counts, words weighted."""
-        out = np.zeros(len(self.logp))
+        logp = self.logp if logp is None else logp
+        out = np.zeros(len(logp))
         for at, matrix in self.batches(words):
             if matrix is None:
-                a, found = self._walk(words[at[0]])
+                a, found = self._walk(words[at[0]], logp)
                 b = [-math.inf] * len(a)
                 b[-1] = 0.0
                 for i, j, k in reversed(found):
-                    b[i] = np.logaddexp(b[i], b[j] + self.logp[k])
+                    b[i] = np.logaddexp(b[i], b[j] + logp[k])
                 for i, j, k in found:
-                    out[k] += weight[at[0]] * math.exp(a[i] + self.logp[k] + b[j] - a[-1])
+                    out[k] += weight[at[0]] * math.exp(a[i] + logp[k] + b[j] - a[-1])
                 continue
-            number, logs = self.edges(matrix)
+            number = self.edges(matrix)
+            logs = _weighted(number, logp)
             a, b = self.forward(logs), self.backward(logs)
             n, deep, _ = logs.shape
             for d in range(1, deep + 1):
@@ -179,8 +190,8 @@ class Lattice:
                 out += np.bincount(number[: n + 1 - d, d - 1][used], share[used], minlength=len(out))
         return out
 
-    def _walk(self, word: bytes) -> tuple[list[float], list[tuple[int, int, int]]]:
-        n = len(word)
+    def _walk(self, word: bytes, logp: np.ndarray | None = None) -> tuple[list[float], list[tuple[int, int, int]]]:
+        n, logp = len(word), self.logp if logp is None else logp
         a, found = [-math.inf] * (n + 1), []
         a[0] = 0.0
         for i in range(n):
@@ -189,13 +200,17 @@ class Lattice:
                 k = self.table.get(part)
                 if k is not None:
                     found.append((i, j, k))
-                    x, y = a[j], a[i] + self.logp[k]
+                    x, y = a[j], a[i] + logp[k]
                     a[j] = max(x, y) + math.log1p(math.exp(-abs(x - y))) if x > -math.inf else y
                 if part not in self.heads:
                     break
         return a, found
 
 
+def _weighted(number: np.ndarray, logp: np.ndarray) -> np.ndarray:
+    return np.where(number >= 0, logp[number], -np.inf)
+
+
 def _log_sum(x: np.ndarray) -> np.ndarray:
     top = x.max(axis=0)
     safe = np.where(np.isfinite(top), top, 0)
@@ -220,94 +235,119 @@ def tokens(text: str | None) -> list[bytes]:
     return (text or "").encode().lower().split()
 
 
-def score_corpus(docs: DataFrame, vocabulary: str, training: Column, key: str = "doc_id", text: str = "text", rounds: int = ROUNDS) -> DataFrame:
+def class_names(docs: DataFrame, column: str) -> list[str]:
+    """The commonest values of the training rows, ``MAX_CLASSES`` - 1 at most; equally
+    common ones by name. All others, and null, are one more class."""
+    rows = docs.filter("__train").filter(F.col(column).isNotNull()).groupBy(F.col(column).cast("string").alias("name"))
+    return [r.name for r in rows.count().orderBy(F.desc("count"), "name").limit(MAX_CLASSES - 1).collect()]
+
+
+def score_corpus(docs: DataFrame, vocabulary: str, training: Column, key: str = "doc_id", text: str = "text", classes: str | None = None, rounds: int = ROUNDS) -> DataFrame:
     """``docs`` with n_tokens, n_known, train_tokens, base_score and score (log10).
 
-    ``training`` marks the rows to learn from; ``key`` only spreads rows over blocks.
+    ``training`` marks the rows to learn from; ``key`` only spreads rows over blocks. With
+    ``classes``, a column of the training rows (their language), each class has
+    probabilities of its own, and a text's is their mixture: what a scored row holds in that
+    column is never looked at.
     """
-    spark, context = docs.sparkSession, docs.sparkSession.sparkContext
+    context = docs.sparkSession.sparkContext
     out = ["n_tokens", "n_known", "train_tokens", "base_score", "score"]
     docs = docs.drop(*out)
+    fields = docs.schema.fields
     blocks = max(1, math.ceil(text_bytes(docs, text) / BLOCK_BYTES))
-    docs = docs.withColumns({"_train": F.coalesce(training, F.lit(False)), "_block": F.pmod(F.xxhash64(key, text), F.lit(blocks)).cast("int")})
+    docs = docs.withColumns({"__train": F.coalesce(training, F.lit(False)), "__block": F.pmod(F.xxhash64(key, text), F.lit(blocks)).cast("int")})
+    names = class_names(docs, classes) if classes else []
+    n_classes = len(names) + 1
+    number = F.coalesce(F.nullif(F.array_position(F.array(*map(F.lit, names)), F.col(classes).cast("string")), F.lit(0)) - 1, F.lit(len(names))) if names else F.lit(0)
+    counted = [f"c{k}" for k in range(n_classes)]
     pieces, prior = read_vocabulary(vocabulary)
 
     def count(group: pa.Table) -> pa.Table:
-        seen: Counter = Counter()
-        other: set[bytes] = set()
-        for t, train in zip(group.column("_text"), group.column("_train").to_pylist(), strict=True):
+        seen = [Counter() for _ in range(n_classes)]
+        words: set[bytes] = set()
+        for t, train, k in zip(group.column("_text"), group.column("__train").to_pylist(), group.column("_class").to_pylist(), strict=True):
             if train:
-                seen.update(tokens(t.as_py()))
-                seen[b""] += 1  # the end
+                seen[k].update(tokens(t.as_py()))
+                seen[k][b""] += 1  # the end
             else:
-                other.update(tokens(t.as_py()))
-        other.difference_update(seen)
-        n = len(seen) + len(other)
-        return pa.table({"block": pa.array(np.full(n, group.column("_block")[0].as_py(), np.int32)), "word": pa.array([*seen, *other], pa.binary()), "n": pa.array([*seen.values(), *[0] * len(other)], pa.int64())})
-
-    words = materialize(docs.select("_block", "_train", F.col(text).alias("_text")).groupBy("_block").applyInArrow(count, "block int, word binary, n long"), "words")
-    vocab = materialize(words.groupBy("word").agg(F.sum("n").alias("c")), "vocab")
+                words.update(tokens(t.as_py()))
+        every = list(words.union(*seen))
+        block = np.full(len(every), group.column("__block")[0].as_py(), np.int32)
+        return pa.table({"block": pa.array(block), "word": pa.array(every, pa.binary())} | {c: pa.array([seen[k][w] for w in every], pa.int64()) for k, c in enumerate(counted)})
+
+    kinds = ", ".join(f"{c} long" for c in counted)
+    texts = docs.select("__block", "__train", F.col(text).alias("_text"), number.cast("int").alias("_class"))
+    words = materialize(texts.groupBy("__block").applyInArrow(count, f"block int, word binary, {kinds}"), "words")
+    vocab = materialize(words.groupBy("word").agg(*[F.sum(c).alias(c) for c in counted]).withColumn("c", reduce(Column.__add__, map(F.col, counted))), "vocab")
     known = vocab.filter("c > 0")
-    nothing = F.lit(0)
-    total, distinct, ends, once = known.agg(
-        F.coalesce(F.sum("c"), nothing),
-        F.count("*"),
-        F.coalesce(F.sum(F.when(F.length("word") == 0, F.col("c"))), nothing),
-        F.count_if(F.col("c") == 1),
-    ).first()
-
-    logp = prior
-    for _ in range(rounds if total > ends else 0):
+    is_end = F.length("word") == 0
+    figures = [x for c in counted for x in (F.sum(c), F.sum(F.when(is_end, F.col(c))), F.count_if((F.col(c) == 1) & ~is_end))]
+    total, distinct, *rest = (x or 0 for x in known.agg(F.sum("c"), F.count("*"), *figures).first())
+    per_class = np.array(rest, np.float64).reshape(n_classes, 3)
+    used = np.flatnonzero(per_class[:, 1] > 0) if total else np.array([0])
+    sums, ends, once = per_class[used].T
+    end_c = int(ends.sum())
+    n_words = np.maximum(1, sums - ends)
+    unseen = np.minimum(0.5, np.maximum(1, once) / n_words)
+    # Per token: the end, a whole known word, or pieces.
+    p_end = (ends + 1) / (sums + 2)
+    share = np.log(np.maximum(ends, 1) / max(1, end_c))
+
+    logp = np.repeat(prior[None], len(used), axis=0)
+    for _ in range(rounds if total > end_c else 0):
         shared = context.broadcast((pieces, logp))
 
         def expect(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            lattice, sums = Lattice(*shared.value), np.zeros(len(shared.value[0]))
+            lattice, weights = Lattice(shared.value[0], prior), shared.value[1]
+            sums = np.zeros_like(weights)
             for batch in _gathered(batches, WORDS):
-                sums += lattice.expected([_SPACE + w for w in batch.column(0).to_pylist()], np.ones(batch.num_rows))
-            at = np.flatnonzero(sums)
-            yield pa.RecordBatch.from_pydict({"piece": pa.array(at.astype(np.int32)), "n": pa.array(sums[at])})
-
-        got = known.filter(F.length("word") > 0).select("word").mapInArrow(expect, "piece int, n double").groupBy("piece").agg(F.sum("n").alias("n")).toArrow()
-        sums = PRIOR_WEIGHT * np.exp(prior)
-        sums[got["piece"].to_numpy()] += got["n"].to_numpy()
-        logp = np.log(sums / sums.sum())
-    # Per token: the end, a whole known word, or pieces. The end and the words have
-    # their shares of all tokens; an unseen corpus ends after one token in two.
-    p_end = (ends + 1) / (total + 2)
-    log_word = math.log(1 - p_end)
-    n_words = max(1, total - ends)
-    unseen = min(0.5, max(1, once) / n_words)
+                found = [_SPACE + w for w in batch.column(0).to_pylist()]
+                for i in range(len(used)):
+                    mine = [found[j] for j in np.flatnonzero(batch.column(i + 1).to_numpy())]
+                    if mine:
+                        sums[i] += lattice.expected(mine, np.ones(len(mine)), weights[i])
+            i, at = np.nonzero(sums)
+            yield pa.RecordBatch.from_pydict({"class": pa.array(i.astype(np.int32)), "piece": pa.array(at.astype(np.int32)), "n": pa.array(sums[i, at])})
+
+        spelled = known.filter(~is_end).select("word", *[counted[k] for k in used])
+        got = spelled.mapInArrow(expect, "class int, piece int, n double").groupBy("class", "piece").agg(F.sum("n").alias("n")).toArrow()
+        weight = np.repeat(PRIOR_WEIGHT * np.exp(prior)[None], len(used), axis=0)
+        weight[got["class"].to_numpy(), got["piece"].to_numpy()] += got["n"].to_numpy()
+        logp = np.log(weight / weight.sum(axis=1, keepdims=True))
     shared = context.broadcast((pieces, logp))
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lattice = Lattice(*shared.value)
+        lattice, weights = Lattice(shared.value[0], prior), shared.value[1]
         for batch in _gathered(batches, WORDS):
-            c = batch.column(1).to_numpy()
-            spelled = lattice.log_marginal([_SPACE + w for w in batch.column(0).to_pylist()])
-            if total > ends:
+            lp = lattice.log_marginal([_SPACE + w for w in batch.column(0).to_pylist()], weights)
+            c = np.array([batch.column(i + 2).to_numpy() for i in range(len(used))], np.float64)
+            if total > end_c:
                 with np.errstate(divide="ignore"):
-                    spelled = np.logaddexp(math.log(unseen) + spelled, math.log(1 - unseen) + np.log(c / n_words))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array((log_word + spelled) / math.log(10))], names=["word", "c", "lp"])
-
-    scored = vocab.filter(F.length("word") > 0).select("word", "c").mapInArrow(mark, "word binary, c long, lp double")
-    looked = words.filter(F.length("word") > 0).select("block", "word").join(scored, "word")
-    base_all, end_c = math.log10(total + distinct + 1), ends
+                    lp = np.logaddexp(np.log(unseen)[:, None] + lp, np.log(1 - unseen)[:, None] + np.log(c / n_words[:, None]))
+            lp += np.log(1 - p_end)[:, None]
+            packed = np.ascontiguousarray(lp.T, np.float32).tobytes()
+            width = 4 * len(used)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([packed[j : j + width] for j in range(0, len(packed), width)], pa.binary())], names=["word", "c", "lp"])
+
+    scored = vocab.filter(~is_end).select("word", "c", *[counted[k] for k in used]).mapInArrow(mark, "word binary, c long, lp binary")
+    looked = words.filter(~is_end).select("block", "word").join(scored, "word")
+    base_all = math.log10(total + distinct + 1)
     at_text = docs.columns.index(text)
 
     def score(rows: pa.Table, words: pa.Table) -> pa.Table:
         place = {w: i for i, w in enumerate(words.column("word").to_pylist())}
-        c, lp = words.column("c").to_numpy(), words.column("lp").to_numpy()
+        c = words.column("c").to_numpy()
+        lp = np.frombuffer(b"".join(words.column("lp").to_pylist()), np.float32).reshape(-1, len(used)).astype(np.float64)
         log_c = np.log10(c + 1.0)
-        n_tokens, n_known, base, total_score = [], [], [], []
+        n_tokens, n_known, base, marginal = [], [], [], []
         for t in rows.column(at_text):
             at = np.array([place[w] for w in tokens(t.as_py())], np.int64)
             n_tokens.append(len(at) + 1)
             n_known.append(int((c[at] > 0).sum()) + (end_c > 0))
             base.append(float(log_c[at].sum()) + math.log10(end_c + 1) - (len(at) + 1) * base_all)
-            total_score.append(float(lp[at].sum()) + math.log10(p_end))
-        made = [pa.array(n_tokens, pa.int64()), pa.array(n_known, pa.int64()), pa.array([total] * len(base), pa.int64()), pa.array(base, pa.float64()), pa.array(total_score, pa.float64())]
+            marginal.append(float(np.logaddexp.reduce(share + lp[at].sum(axis=0) + np.log(p_end))) / math.log(10))
+        made = [pa.array(n_tokens, pa.int64()), pa.array(n_known, pa.int64()), pa.array([int(total)] * len(base), pa.int64()), pa.array(base, pa.float64()), pa.array(marginal, pa.float64())]
         return pa.Table.from_arrays([*rows.columns[: len(fields)], *made], names=[*[f.name for f in fields], *out])
 
-    fields = [f for f in docs.schema.fields if f.name not in ("_train", "_block")]
     schema = T.StructType(fields + [T.StructField(n, T.LongType() if n in out[:3] else T.DoubleType()) for n in out])
-    return docs.groupBy("_block").cogroup(looked.groupBy("block")).applyInArrow(score, schema)
+    return docs.groupBy("__block").cogroup(looked.groupBy("block")).applyInArrow(score, schema)

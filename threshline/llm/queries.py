@@ -29,8 +29,8 @@ def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
 
 def op1_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's marginal probability, and its add-one unigram baseline."""
-    docs = documents(spark, sf_dir, "doc_id", "text")
-    scored = lattice.score_corpus(docs, PIECES, ~held_out("doc_id", 7))
+    docs = documents(spark, sf_dir, "doc_id", "text", "lang")
+    scored = lattice.score_corpus(docs, PIECES, ~held_out("doc_id", 7), classes="lang")
     return scored.select("doc_id", held_out("doc_id", 7).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
