@@ -204,22 +204,27 @@ def units(members: DataFrame, percent: int) -> DataFrame:
     def wanted(nodes: list, roots: list, sigs: list, row: tuple) -> list[tuple[int, int]]:
         key, keys = row
         r = np.array(roots)
-        s = np.frombuffer(b"".join(sigs), np.uint8).reshape(len(r), -1)
-        k = np.frombuffer(b"".join(keys), np.uint32).reshape(len(r), -1)
-        here = int(np.flatnonzero((k == k[0]).all(axis=0))[0]) if len(k) else 0
+        # Members of the largest component come last: its own pairs are never looked at.
+        names, sizes = np.unique(r, return_counts=True)
+        largest = r == names[sizes.argmax()]
+        order = np.argsort(largest, kind="stable")
+        minor, r, n = int((~largest).sum()), r[order], np.array(nodes)[order]
+        s = np.frombuffer(b"".join(sigs), np.uint8).reshape(len(r), -1)[order]
+        k = np.frombuffer(b"".join(keys), np.uint32).reshape(len(r), -1)[order]
+        here = int(np.flatnonzero((k == k[0]).all(axis=0))[0])
         out = []
-        for i in range(0, len(r), CHUNK):
-            for j in range(0, i + 1, CHUNK):
+        for i in range(0, minor, CHUNK):
+            for j in range(i, len(r), CHUNK):
                 used: set[int] = set()
-                for at in range(i, min(i + CHUNK, len(r)), 64):
-                    rows = slice(at, min(at + 64, i + CHUNK, len(r)))
+                for at in range(i, min(i + CHUNK, minor), 64):
+                    rows = slice(at, min(at + 64, i + CHUNK, minor))
                     near = estimate(s[rows, None], s[None, j : j + CHUNK]) >= percent / 100 - MARGIN
                     x, y = np.nonzero(near & (r[rows, None] != r[None, j : j + CHUNK]))
                     x, y = x + at, y + j
                     first = ~(k[x, :here] == k[y, :here]).any(axis=1)
                     used.update(x[first].tolist(), y[first].tolist())
                 unit = xxhash.xxh3_64_intdigest(f"{key}/{i}/{j}") - (1 << 63)
-                out += [(unit, nodes[n]) for n in sorted(used)]
+                out += [(unit, x) for x in n[sorted(used)].tolist()]
         return out
 
     return _per_bucket(members, wanted, "unit long, node long", keys=True)
