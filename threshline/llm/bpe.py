@@ -34,8 +34,8 @@ from threshline.llm.common import materialize
 #: A word is compiled into the lexicon if it is one of so many, or more often, in the
 #: running words of the corpus. So the lexicon has at most as many words, for any corpus.
 LEXICON_ONE_IN = 200_000
-#: Words that a worker remembers before it forgets them all.
-CACHE_WORDS = 100_000
+#: Words beyond the lexicon's that a worker remembers before it forgets them.
+CACHE_WORDS = 200_000
 #: What the pre-tokenizer cuts words by, in Latin-1: letters, numbers, white space.
 _LATIN = "".join(map(chr, range(256)))
 _LETTERS = "".join(c for c in _LATIN if unicodedata.category(c)[0] == "L")
@@ -86,8 +86,10 @@ class Merger:
 
     def merge(self, word: str) -> list[int]:
         """Ids of one pre-token."""
-        alphabet = self.alphabet
-        return [t.id for t in self.model.tokenize("".join([alphabet[b] for b in word.encode()]))]
+        if not (word.isascii() and word.isprintable()):  # those stand for themselves
+            alphabet = self.alphabet
+            word = "".join([alphabet[b] for b in word.encode()])
+        return [t.id for t in self.model.tokenize(word)]
 
 
 class PreTokenizer:
@@ -260,11 +262,16 @@ def encode(docs: DataFrame, tokenizer_path: str, lexicon: bytes, text: str = "te
         merger, lex = Merger(spec.value), Lexicon(image.value)
         pre, cache, names = PreTokenizer(spec.value, merger.special), {}, merger.strings()
 
+        frequent: dict[str, tuple[int, ...]] = {}
+
         def learn(word: str) -> tuple[int, ...]:
-            if len(cache) >= CACHE_WORDS:
+            if len(cache) >= CACHE_WORDS + len(frequent):
                 cache.clear()
-            got = lex.get(word.encode())
-            cache[word] = got = tuple(merger.merge(word) if got is None else got)
+                cache.update(frequent)
+            if (known := lex.get(word.encode())) is not None:
+                frequent[word] = cache[word] = got = tuple(known)
+            else:
+                cache[word] = got = tuple(merger.merge(word))
             return got
 
         for batch in batches:
