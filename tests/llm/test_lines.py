@@ -1,6 +1,8 @@
 import random
 
 import numpy as np
+import pytest
+from pyspark.sql import functions as F
 
 from threshline.llm import lines
 
@@ -25,7 +27,11 @@ def brute(rows):
     return sorted(out, key=str)
 
 
-def test_against_brute_force(spark):
+@pytest.mark.parametrize("few", [True, False])
+def test_against_brute_force(spark, monkeypatch, few):
+    if not few:  # the ways of tables too large to broadcast
+        monkeypatch.setattr(lines, "BROADCAST_ROWS", -1)
+        monkeypatch.setattr(lines, "BROADCAST_KEYS", -1)
     rng = random.Random(4)
     vocabulary = [f"w{i}" for i in range(60)]
     pool = [[rng.choice(vocabulary) for _ in range(rng.randrange(1, 14))] for _ in range(40)]
@@ -40,7 +46,7 @@ def test_against_brute_force(spark):
 
     rows = [(i, "\n".join(line() for _ in range(rng.randrange(0, 8)))) for i in range(60)]
     rows += [(70, None), (71, ""), (72, "\n\n"), (5, rows[5][1]), (None, rows[3][1]), (73, "a b c d e f " * 3000)]
-    got = lines.dedup_lines(spark.createDataFrame([(i, t, "x") for i, t in rows], SCHEMA).repartition(3)).collect()
+    got = lines.dedup_lines(spark.createDataFrame([(i, t, "x") for i, t in rows], SCHEMA).withColumn("_id", F.lit(1)).withColumn("_hash", F.lit("h")).withColumn("lines", F.lit(2)).repartition(3)).collect()
     assert sorted(((str(r.doc_id), r.text, r.n_lines, r.n_lines_removed) for r in got), key=str) == brute(rows)
 
 
@@ -59,3 +65,14 @@ def test_variant_keys_meet():
         assert met == same == lines.within_one_edit(a, b)
         if same:
             assert set(lines.half_keys(a)) & set(lines.half_keys(b))
+
+
+def test_filter_takes_all_its_keys(spark):
+    from threshline.llm.common import filter_of
+
+    keys = spark.range(-3000, 3000, 3).select("id")
+    made = filter_of(keys, "id", 2000)
+    every = np.arange(-3000, 3000)
+    took = made.takes(every)
+    assert took[::3].all() and took.mean() < 0.45
+    assert not filter_of(keys.limit(0), "id", 0).takes(every).any()

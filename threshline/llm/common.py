@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,6 +21,10 @@ def shared_dir(spark: SparkSession) -> str:
     return at.rstrip("/")
 
 
+#: Tables that this process has written, by path, the oldest first.
+_WRITTEN: list[str] = []
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Cut lineage: write ``df`` into the shared folder and read it back.
 
@@ -25,9 +32,24 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _WRITTEN.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def tables_written() -> int:
+    return len(_WRITTEN)
+
+
+def drop_tables(spark: SparkSession, since: int, keep: DataFrame) -> None:
+    """Delete what ``materialize`` wrote after its first ``since`` tables, but not the
+    files that ``keep`` reads; for callers whose own result is written."""
+    kept = keep.inputFiles()
+    for path in _WRITTEN[since:]:
+        if not any(f"/{path.rsplit('/', 1)[1]}/" in f for f in kept):
+            target = spark._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def text_bytes(docs: DataFrame, column: str = "text") -> int:
     """Total UTF-8 bytes of a text column, for choosing numbers of blocks."""
     return docs.agg(F.sum(F.octet_length(column))).first()[0] or 0
@@ -51,3 +73,46 @@ def broadcast_if(df: DataFrame, rows: int, limit: int) -> DataFrame:
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:
     """Rows handed to Python at once: long texts times the default would be too much."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
+#: Bits of a filter at most: 16 MB to collect and to broadcast, whatever it is made of.
+FILTER_BITS = 1 << 27
+
+
+class LongFilter:
+    """A Bloom filter of longs: it takes all its keys, and few others while it isn't full.
+
+    It thins rows before an exact join, so it changes what is shuffled, never a result.
+    """
+
+    hashes = 4
+
+    def __init__(self, bits: int, words: np.ndarray | None = None):
+        self.bits, self.words = bits, words
+
+    def places(self, keys: np.ndarray) -> np.ndarray:
+        k = keys.view(np.uint64)[:, None]
+        x = (k ^ (np.arange(1, self.hashes + 1, dtype=np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))) * np.uint64(0x9E3779B97F4A7C15)
+        x ^= x >> np.uint64(32)
+        return x * np.uint64(0xD6E8FEB86659FD93) >> np.uint64(20) & np.uint64(self.bits - 1)
+
+    def takes(self, keys: np.ndarray) -> np.ndarray:
+        p = self.places(np.ascontiguousarray(keys, np.int64))
+        return (self.words[(p >> np.uint64(6)).astype(np.int64)] >> (p & np.uint64(63)) & np.uint64(1)).all(axis=1)
+
+
+def filter_of(keys: DataFrame, column: str, n: int) -> LongFilter:
+    """The filter of the ``n`` longs of a column; tasks set bits, Spark OR-s them."""
+    made = LongFilter(min(FILTER_BITS, 1 << max(10, (12 * n).bit_length())))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            p = np.unique(made.places(batch.column(0).to_numpy()))
+            word, at = np.unique((p >> np.uint64(6)).astype(np.int64), return_index=True)
+            bits = np.bitwise_or.reduceat(np.uint64(1) << (p & np.uint64(63)), at) if len(p) else np.zeros(0, np.uint64)
+            yield pa.RecordBatch.from_pydict({"word": pa.array(word), "bits": pa.array(bits.view(np.int64))})
+
+    got = keys.select(column).mapInArrow(run, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
+    words = np.zeros(made.bits // 64, np.uint64)
+    words[got["word"].to_numpy()] = got["bits"].to_numpy().view(np.uint64)
+    return LongFilter(made.bits, words)

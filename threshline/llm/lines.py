@@ -11,6 +11,8 @@ pair a line; the pairs' edit distance is verified on the words themselves.
 Copies are first counted as one line, with their earliest place. A line within one
 edit of another shares the first or the second half of its words with it, so only
 lines whose half some other line has emit their variants; none is lost by that.
+Keys that matter are broadcast while they are counted to be few; beyond that, Bloom
+filters of bounded size thin the rows before the exact joins.
 
 Defined results: lines of fewer than ``MIN_WORDS`` words always stay; null text has
 no lines and stays null; a document all of whose lines go has empty text; rows with
@@ -29,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from threshline.llm.common import broadcast_if, materialize
+from threshline.llm.common import broadcast_if, filter_of, materialize
 
 #: Shorter lines are left alone: headings, list marks, blank lines.
 MIN_WORDS = 6
@@ -115,15 +117,14 @@ def repeated_lines(docs: DataFrame, doc_id: str, text: str, min_words: int) -> D
 
     halves = found.select("lid", F.explode("halves").alias("key"))
     shared = materialize(_of_several(halves), "shared")
-    near_half = halves.join(broadcast_if(shared, shared.count(), BROADCAST_KEYS), "key").select("lid").distinct()
-    chosen = materialize(lines.join(near_half, "lid").select("lid", "first"), "chosen")
-    wanted = chosen.select("first._id", "first._hash", F.struct("first.line", "lid").alias("w")).groupBy("_id", "_hash").agg(F.collect_list("w").alias("wanted"))
-    with_text = rows.join(broadcast_if(wanted, chosen.count(), BROADCAST_ROWS), ["_id", "_hash"]).dropDuplicates(["_id", "_hash"])
-    variants = materialize(with_text.select("_id", "_hash", "_text", "wanted").mapInArrow(_variant_rows(), "key long, own boolean, lid binary, first struct<_id:long,line:int,_hash:long>, words binary"), "variants")
+    near_half = _joined(found.select("lid", "halves"), shared, _taken_halves, "lid binary, key long", halves).select("lid").distinct()
+    chosen = materialize(lines.join(near_half, "lid").select("lid", "first", F.xxhash64("lid").alias("x")), "chosen")
+    texts = materialize(_texts(rows, chosen, min_words), "texts")
+    variants = materialize(texts.mapInArrow(_variant_rows(), "key long, own boolean, lid binary, first struct<_id:long,line:int,_hash:long>"), "variants")
 
     # Most variants are of one line alone; those go before anything but keys is shuffled.
-    met = materialize(_of_several(variants.filter("key IS NOT NULL")), "met")
-    keyed = materialize(variants.join(broadcast_if(met, met.count(), BROADCAST_KEYS), "key").select("key", "own", "lid", "first"), "keyed")
+    met = materialize(_of_several(variants), "met")
+    keyed = materialize(_joined(variants, met, _taken, variants.schema, variants), "keyed")
     least = keyed.groupBy("key").agg(
         F.min(F.when(F.coalesce("own", F.lit(True)), F.struct("first", "lid"))).alias("of_own"),
         F.min(F.when(~F.coalesce("own", F.lit(False)), F.struct("first", "lid"))).alias("of_cut"),
@@ -131,9 +132,9 @@ def repeated_lines(docs: DataFrame, doc_id: str, text: str, min_words: int) -> D
     # own is null for a replacement's key, where all are alike; else a line meets the other kind.
     meets = F.when(F.col("own"), F.col("of_cut")).when(~F.col("own"), F.col("of_own")).otherwise(F.least("of_own", "of_cut"))
     pairs = keyed.join(least, "key").withColumn("m", meets).filter("m.first < first").select("lid", F.col("m.lid").alias("early")).distinct()
-    words = variants.filter("key IS NULL").select("lid", "words")
-    texts = pairs.join(words, "lid").join(words.select(F.col("lid").alias("early"), F.col("words").alias("early_words")), "early")
-    near = texts.select("lid", "words", "early_words").mapInArrow(_verified(), "lid binary").distinct()
+    words = texts.select("lid", "words")
+    both = pairs.join(words, "lid").join(words.select(F.col("lid").alias("early"), F.col("words").alias("early_words")), "early")
+    near = both.select("lid", "words", "early_words").mapInArrow(_verified(), "lid binary").distinct()
 
     marked = lines.join(near.withColumn("near", F.lit(True)), "lid", "left").filter("near OR copies > 1").select("lid", "first", "near")
     marked = materialize(marked, "marked")
@@ -142,6 +143,30 @@ def repeated_lines(docs: DataFrame, doc_id: str, text: str, min_words: int) -> D
     return gone.groupBy("_id", "_hash").agg(F.collect_set("line").alias("lines"))
 
 
+def _joined(rows: DataFrame, keys: DataFrame, thin, schema, plain: DataFrame) -> DataFrame:
+    """``plain`` joined with the keys: broadcast while they are counted to be few, else
+    ``rows`` are thinned by a filter of the keys before they are shuffled."""
+    n = keys.count()
+    if n <= BROADCAST_KEYS:
+        return plain.join(F.broadcast(keys), "key")
+    some = rows.sparkSession.sparkContext.broadcast(filter_of(keys, "key", n))
+    return rows.mapInArrow(thin(some), schema).join(keys, "key")
+
+
+def _texts(rows: DataFrame, chosen: DataFrame, min_words: int) -> DataFrame:
+    """(lid, first, words) of the chosen lines. Few are read where they are first; for
+    many, all lines are thinned by a filter, as any copy of a line has its words."""
+    n = chosen.count()
+    if n <= BROADCAST_ROWS:
+        wanted = chosen.select("first._id", "first._hash", F.struct("first", "lid").alias("w")).groupBy("_id", "_hash").agg(F.collect_list("w").alias("wanted"))
+        here = rows.join(F.broadcast(wanted), ["_id", "_hash"]).select("_text", "wanted")
+        found = here.mapInArrow(_wanted_lines(), "lid binary, first struct<_id:long,line:int,_hash:long>, words binary")
+        return found.dropDuplicates(["lid"])
+    some = rows.sparkSession.sparkContext.broadcast(filter_of(chosen, "x", n))
+    copies = rows.select("_text").mapInArrow(_taken_lines(some, min_words), "lid binary, words binary")
+    return copies.join(chosen, "lid").groupBy("lid").agg(F.first("first").alias("first"), F.first("words").alias("words"))
+
+
 def _of_several(keyed: DataFrame) -> DataFrame:
     """The keys that more than one line has."""
     ids = keyed.select("key", F.xxhash64("lid").alias("x"))
@@ -164,6 +189,61 @@ def _line_rows(min_words: int):
     return run
 
 
+def _taken_halves(some):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(1)
+            keys = lists.flatten()
+            owner = np.repeat(np.arange(batch.num_rows), lists.value_lengths().to_numpy())
+            keep = some.value.takes(keys.to_numpy())
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(owner[keep])), keys.filter(pa.array(keep))], names=["lid", "key"])
+
+    return run
+
+
+def _wanted_lines():
+    place = pa.struct([("_id", pa.int64()), ("line", pa.int32()), ("_hash", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder = Coder()
+        for batch in batches:
+            out = []
+            for row in batch.to_pylist():
+                lines = row["_text"].split("\n")
+                out += [(w["lid"], w["first"], b" ".join(coder.words(lines[w["first"]["line"]]))) for w in row["wanted"]]
+            yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], kind) for i, kind in enumerate((pa.binary(), place, pa.binary()))], names=["lid", "first", "words"])
+
+    return run
+
+
+def _taken_lines(some, min_words: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder = Coder()
+        for batch in batches:
+            found = {}
+            for t in batch.column(0):
+                for line in (t.as_py() or "").split("\n"):
+                    words = coder.words(line)
+                    if len(words) >= min_words:
+                        text = b" ".join(words)
+                        found[xxhash.xxh3_128_digest(text)] = text
+            lids = list(found)
+            # as Spark's xxhash64 of the id has it
+            keep = some.value.takes(np.array([xxhash.xxh64_intdigest(x, seed=42) for x in lids], np.uint64).view(np.int64))
+            lids = [x for x, k in zip(lids, keep.tolist(), strict=True) if k]
+            yield pa.RecordBatch.from_pydict({"lid": pa.array(lids, pa.binary()), "words": pa.array([found[x] for x in lids], pa.binary())})
+
+    return run
+
+
+def _taken(some):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(some.value.takes(batch.column(0).to_numpy())))
+
+    return run
+
+
 def _variant_rows():
     place = pa.struct([("_id", pa.int64()), ("line", pa.int32()), ("_hash", pa.int64())])
 
@@ -171,16 +251,11 @@ def _variant_rows():
         coder = Coder()
         for batch in batches:
             for row in batch.to_pylist():
-                lines = (row["_text"] or "").split("\n")
-                for w in row["wanted"]:
-                    words = coder.words(lines[w["line"]])
-                    replaced, cut, own = variant_keys(coder.codes(words))
-                    n = len(words)
-                    keys = pa.concat_arrays([pa.array(replaced), pa.array(np.append(cut, own)), pa.nulls(1, pa.int64())])
-                    kinds = pa.array([None] * n + [False] * n + [True, None], pa.bool_())
-                    first = pa.array([{"_id": row["_id"], "line": w["line"], "_hash": row["_hash"]}] * len(keys), place)
-                    text = pa.array([None] * (2 * n + 1) + [b" ".join(words)], pa.binary())
-                    yield pa.RecordBatch.from_arrays([keys, kinds, pa.array([w["lid"]] * len(keys), pa.binary()), first, text], names=["key", "own", "lid", "first", "words"])
+                replaced, cut, own = variant_keys(coder.codes(row["words"].split()))
+                n = len(replaced)
+                keys = pa.array(np.concatenate([replaced, cut, [own]]))
+                kinds = pa.array([None] * n + [False] * n + [True], pa.bool_())
+                yield pa.RecordBatch.from_arrays([keys, kinds, pa.array([row["lid"]] * len(keys), pa.binary()), pa.array([row["first"]] * len(keys), place)], names=["key", "own", "lid", "first"])
 
     return run
 
@@ -194,14 +269,18 @@ def _verified():
     return run
 
 
-def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
-    """``docs`` with ``text`` less its repeated lines, and n_lines, n_lines_removed."""
-    docs = docs.drop("n_lines", "n_lines_removed")
+def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS, counts: tuple[str, str] = ("n_lines", "n_lines_removed")) -> DataFrame:
+    """``docs`` with ``text`` less its repeated lines, and two ``counts``: of its lines, and
+    of those removed."""
+    docs = docs.drop(*counts)
     gone = materialize(repeated_lines(docs, doc_id, text, min_words), "gone")
     removed = gone.agg(F.coalesce(F.sum(F.size("lines")), F.lit(0))).first()[0]
     fields = docs.schema.fields
-    keyed = docs.select(*[F.col(f"`{f.name}`") for f in fields], *row_keys(doc_id, text))
-    joined = keyed.join(broadcast_if(gone, removed, BROADCAST_KEYS), ["_id", "_hash"], "left").select(*[F.col(f"`{f.name}`") for f in fields], F.col("lines").alias("_lines"))
+    names = dict(zip(("_id", "_hash", "lines"), (f"__line_{x}" for x in ("id", "hash", "numbers")), strict=True))
+    own = [k.alias(n) for k, n in zip(row_keys(doc_id, text), names.values(), strict=False)]
+    keyed = docs.select(*[F.col(f"`{f.name}`") for f in fields], *own)
+    some = broadcast_if(gone.withColumnsRenamed(names), removed, BROADCAST_KEYS)
+    joined = keyed.join(some, [names["_id"], names["_hash"]], "left").select(*[F.col(f"`{f.name}`") for f in fields], names["lines"])
     at = docs.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -213,6 +292,6 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min
                 total.append(len(parts)), removed.append(len(out))
             columns = [*batch.columns[:-1], pa.array(total, pa.int64()), pa.array(removed, pa.int64())]
             columns[at] = pa.array(texts, pa.string())
-            yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names[:-1], "n_lines", "n_lines_removed"])
+            yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names[:-1], *counts])
 
-    return joined.mapInArrow(run, T.StructType([*fields, T.StructField("n_lines", T.LongType()), T.StructField("n_lines_removed", T.LongType())]))
+    return joined.mapInArrow(run, T.StructType([*fields, *[T.StructField(c, T.LongType()) for c in counts]]))
