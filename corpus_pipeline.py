@@ -9,11 +9,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from threshline.llm import bpe, langid, lines, minhash, winnow
-from threshline.llm.common import broadcast_if, held_out, materialize, small_batches
+from threshline.llm.common import broadcast_if, drop_tables, held_out, materialize, small_batches, tables_written
 from threshline.llm.queries import TOKENIZER
 from threshline.session import table
 
@@ -22,39 +22,43 @@ LEAST_SCORE = 0.5
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def own_columns(docs: DataFrame) -> list[Column]:
+    """A stage's input columns, whatever their names."""
+    return [F.col(f"`{c}`") for c in docs.columns]
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a learned language stay; those without a letter, or of no likely language, go."""
     small_batches(spark)
     langs, model = langid.fit(docs, ~held_out("doc_id", 4))
-    found = langid.predict(docs, langs, model, out="_lang", score="_score")
-    return found.filter((F.col("_lang") != langid.UNDETERMINED) & (F.col("_score") >= LEAST_SCORE)).select(*docs.columns)
+    found = langid.predict(docs, langs, model, out="__language", score="__score")
+    return found.filter((F.col("__language") != langid.UNDETERMINED) & (F.col("__score") >= LEAST_SCORE)).select(*own_columns(docs))
 
 
 def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that an earlier line repeats go, and documents that have no other lines."""
     small_batches(spark)
-    left = lines.dedup_lines(docs).filter((F.col("n_lines_removed") == 0) | (F.trim("text") != ""))
-    length = F.when(F.col("n_lines_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
-    return left.withColumn("n_chars", length).select(*docs.columns)
+    left = lines.dedup_lines(docs, counts=("__lines", "__removed")).filter((F.col("__removed") == 0) | (F.trim("text") != ""))
+    length = F.when(F.col("__removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
+    return left.withColumn("n_chars", length).select(*own_columns(docs))
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of every group of near duplicates the document with the smallest id stays."""
     small_batches(spark)
-    gone = minhash.near_duplicates(docs).filter(~F.col("kept")).select("doc_id", "text_hash").distinct()
+    gone = minhash.near_duplicates(docs).filter(~F.col("kept")).select(F.col("doc_id").alias("__copy"), F.col("text_hash").alias("__hash")).distinct()
     gone = materialize(gone, "copies")
     some = broadcast_if(gone, gone.count(), minhash.BROADCAST_ROWS)
-    left = docs.withColumn("text_hash", F.xxhash64("text")).join(some, ["doc_id", "text_hash"], "left_anti")
-    return left.select(*docs.columns)
+    return docs.join(some, (F.col("doc_id") == F.col("__copy")) & (F.xxhash64("text") == F.col("__hash")), "left_anti")
 
 
 def benchmark_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a twentieth of their words in benchmark windows go."""
     found = winnow.find_spans(docs, table(spark, sf_dir, "benchmark"))
-    bad = found.filter(winnow.contaminated(F.col("n_hit"), F.col("n_words"))).select(F.col("doc_id").alias("_bad"), "_text_hash")
+    bad = found.filter(winnow.contaminated(F.col("n_hit"), F.col("n_words"))).select(F.col("doc_id").alias("__bad"), F.col("_text_hash").alias("__hash"))
     bad = materialize(bad, "contaminated")
     some = broadcast_if(bad, bad.count(), winnow.BROADCAST_ROWS)
-    same = F.col("doc_id").eqNullSafe(F.col("_bad")) & (F.xxhash64("text") == F.col("_text_hash"))
+    same = F.col("doc_id").eqNullSafe(F.col("__bad")) & (F.xxhash64("text") == F.col("__hash"))
     return docs.join(some, same, "left_anti")
 
 
@@ -83,5 +87,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the whole table of documents."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
+        before = tables_written()
         docs = materialize(stage(spark, docs, sf_dir), name)
+        drop_tables(spark, before, keep=docs)  # what the stage wrote for itself
     return docs
