@@ -273,7 +273,7 @@ def score_corpus(docs: DataFrame, vocabulary: str, training: Column, key: str =
                 words.update(tokens(t.as_py()))
         every = list(words.union(*seen))
         block = np.full(len(every), group.column("__block")[0].as_py(), np.int32)
-        return pa.table({"block": pa.array(block), "word": pa.array(every, pa.binary())} | {c: pa.array([seen[k][w] for w in every], pa.int64()) for k, c in enumerate(counted)})
+        return pa.table({"block": pa.array(block), "word": pa.array(every, pa.binary())} | {c: pa.array([n.get(w, 0) for w in every], pa.int64()) for n, c in zip(seen, counted, strict=True)})
 
     kinds = ", ".join(f"{c} long" for c in counted)
     texts = docs.select("__block", "__train", F.col(text).alias("_text"), number.cast("int").alias("_class"))
@@ -341,7 +341,7 @@ def score_corpus(docs: DataFrame, vocabulary: str, training: Column, key: str =
         log_c = np.log10(c + 1.0)
         n_tokens, n_known, base, marginal = [], [], [], []
         for t in rows.column(at_text):
-            at = np.array([place[w] for w in tokens(t.as_py())], np.int64)
+            at = np.fromiter(map(place.__getitem__, tokens(t.as_py())), np.int64)
             n_tokens.append(len(at) + 1)
             n_known.append(int((c[at] > 0).sum()) + (end_c > 0))
             base.append(float(log_c[at].sum()) + math.log10(end_c + 1) - (len(at) + 1) * base_all)
