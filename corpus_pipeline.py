@@ -38,7 +38,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that an earlier line repeats go, and documents that have no other lines."""
     small_batches(spark)
-    left = lines.dedup_lines(docs, counts=("__lines", "__removed")).filter((F.col("__removed") == 0) | (F.trim("text") != ""))
+    left = lines.dedup_lines(docs, counts=("__lines", "__removed"), copy_words=1).filter((F.col("__removed") == 0) | (F.trim("text") != ""))
     length = F.when(F.col("__removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
     return left.withColumn("n_chars", length).select(*own_columns(docs))
 

@@ -76,3 +76,48 @@ def test_filter_takes_all_its_keys(spark):
     took = made.takes(every)
     assert took[::3].all() and took.mean() < 0.45
     assert not filter_of(keys.limit(0), "id", 0).takes(every).any()
+
+
+def whole(rows, floor=6):
+    """What is left if no line with a word is left out of the comparison."""
+    seen, gone = [], set()
+    for i, t in sorted(set(rows)):
+        for j, line in enumerate(t.split("\n")):
+            w = line.encode().lower().split()
+            if w and any(w == x or (max(len(w), len(x)) >= floor and lines.within_one_edit(w, x)) for x in seen):
+                gone.add((i, t, j))
+            seen += [w] if w else []
+    return sorted((i, "\n".join(x for j, x in enumerate(t.split("\n")) if (i, t, j) not in gone)) for i, t in rows)
+
+
+@pytest.mark.parametrize("few", [True, False])
+def test_short_lines_go_as_copies(spark, monkeypatch, few):
+    if not few:
+        monkeypatch.setattr(lines, "BROADCAST_ROWS", -1)
+        monkeypatch.setattr(lines, "BROADCAST_KEYS", -1)
+    rng = random.Random(9)
+    pool = [[f"w{rng.randrange(30)}" for _ in range(n)] for n in (1, 1, 2, 3, 4, 5, 5, 6, 6, 7) for _ in range(3)]
+
+    def line():
+        w = list(rng.choice(pool))
+        if rng.random() < 0.4:
+            at = rng.randrange(len(w))
+            w[at : at + 1] = rng.choice(([], [w[at], "more"], ["other"]))
+        return " ".join(w).upper() if rng.random() < 0.2 else " ".join(w)
+
+    rows = [(i, "\n".join(line() for _ in range(rng.randrange(1, 7)))) for i in range(40)]
+    rows += [(50, "les.\n\n这是一个没有空格的句子。\nles"), (51, "Les.\n \n这是一个没有空格的句子。\nthe"), (52, "q1 q2 q3 q4 q5 q6\nq1 q2 q3 q4 q5\nq1 q2 q3 q4"), (53, "p1 p2 p4 p5 p6\np1 p2 p3 p4 p5 p6\np1 p2 p4 p5")]
+    got = lines.dedup_lines(spark.createDataFrame([(i, t, "x") for i, t in rows], SCHEMA).repartition(3), copy_words=1).collect()
+    left = sorted((r.doc_id, r.text) for r in got)
+    assert left == whole(rows)
+    assert dict(left)[51] == " \nthe" and dict(left)[52] == "q1 q2 q3 q4 q5 q6\nq1 q2 q3 q4" and dict(left)[53] == "p1 p2 p4 p5 p6\np1 p2 p4 p5"
+
+
+def test_query_and_stage_take_short_copies(spark, tmp_path):
+    import corpus_pipeline
+    from threshline.llm import queries
+
+    docs = spark.createDataFrame([(1, "les.\none", 8), (2, "two\nLES.", 8)], "doc_id long, text string, n_chars long")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    assert {r.doc_id: r.n_removed for r in queries.op5_lines(spark, str(tmp_path)).collect()} == {1: 0, 2: 1}
+    assert {r.doc_id: r.text for r in corpus_pipeline.repeated_lines(spark, docs, str(tmp_path)).collect()} == {1: "les.\none", 2: "two"}

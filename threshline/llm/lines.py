@@ -14,10 +14,16 @@ lines whose half some other line has emit their variants; none is lost by that.
 Keys that matter are broadcast while they are counted to be few; beyond that, Bloom
 filters of bounded size thin the rows before the exact joins.
 
-Defined results: lines of fewer than ``MIN_WORDS`` words always stay; null text has
-no lines and stays null; a document all of whose lines go has empty text; rows with
-equal doc_id and text are one document, and each keeps what it keeps; null ids come
-after all others; other columns pass through, but the outputs' names give way.
+Lines of ``copy_words`` words at least take part. Of two lines with fewer than
+``min_words`` words each, the later goes only as an exact copy: an edit is too much of
+them. One word less than ``min_words`` can still be an edit of a line that has as many,
+so such lines emit their own key and no variants; shorter ones emit nothing.
+
+Defined results: lines without words always stay, as do those of fewer than
+``copy_words``, by default ``min_words``; null text has no lines and stays null; a
+document all of whose lines go has empty text; rows with equal doc_id and text are one
+document, and each keeps what it keeps; null ids come after all others; other columns
+pass through, but the outputs' names give way.
 """
 
 from __future__ import annotations
@@ -33,7 +39,7 @@ from pyspark.sql import types as T
 
 from threshline.llm.common import broadcast_if, filter_of, materialize
 
-#: Shorter lines are left alone: headings, list marks, blank lines.
+#: Shorter lines have no near copies among themselves: headings, list marks.
 MIN_WORDS = 6
 BROADCAST_ROWS, BROADCAST_KEYS = 200_000, 1_000_000
 CACHE_WORDS = 100_000
@@ -63,11 +69,12 @@ def line_id(words: list[bytes]) -> bytes:
     return xxhash.xxh3_128_digest(b" ".join(words))
 
 
-def half_keys(words: list[bytes]) -> list[int]:
+def half_keys(words: list[bytes], min_words: int = 0) -> list[int]:
     """Keys of the halves that a line within one edit must share one of: both halves of
-    n words, and of n + 1, as the other line can have a word more."""
+    n words, and of n + 1, as the other line can have a word more. With a word less than
+    ``min_words`` the other has one more, and shorter lines have no other."""
     n, out = len(words), []
-    for k in {n // 2, (n + 1) // 2}:
+    for k in {n // 2, (n + 1) // 2} if n >= min_words else {(n + 1) // 2} if n == min_words - 1 else ():
         for side, part in ((0, words[:k]), (1, words[n - k :])):
             out.append(xxhash.xxh3_64_intdigest(b" ".join(part), seed=2 * k + side) - (1 << 63))
     return out
@@ -108,10 +115,10 @@ def row_keys(doc_id: str, text: str) -> list[Column]:
     return [F.coalesce(F.col(doc_id).cast("long"), F.lit(_LAST)).alias("_id"), F.xxhash64(text).alias("_hash")]
 
 
-def repeated_lines(docs: DataFrame, doc_id: str, text: str, min_words: int) -> DataFrame:
+def repeated_lines(docs: DataFrame, doc_id: str, text: str, min_words: int, copy_words: int) -> DataFrame:
     """(_id, _hash, lines): the numbers of the lines to remove, by document."""
     rows = docs.select(*row_keys(doc_id, text), F.col(text).alias("_text"))
-    found = materialize(rows.mapInArrow(_line_rows(min_words), "_id long, _hash long, line int, lid binary, halves array<long>"), "lines")
+    found = materialize(rows.mapInArrow(_line_rows(min_words, copy_words), "_id long, _hash long, line int, lid binary, halves array<long>"), "lines")
     place = F.struct("_id", "line", "_hash")
     lines = materialize(found.groupBy("lid").agg(F.min(place).alias("first"), F.count("*").alias("copies")), "distinct")
 
@@ -119,8 +126,8 @@ def repeated_lines(docs: DataFrame, doc_id: str, text: str, min_words: int) -> D
     shared = materialize(_of_several(halves), "shared")
     near_half = _joined(found.select("lid", "halves"), shared, _taken_halves, "lid binary, key long", halves).select("lid").distinct()
     chosen = materialize(lines.join(near_half, "lid").select("lid", "first", F.xxhash64("lid").alias("x")), "chosen")
-    texts = materialize(_texts(rows, chosen, min_words), "texts")
-    variants = materialize(texts.mapInArrow(_variant_rows(), "key long, own boolean, lid binary, first struct<_id:long,line:int,_hash:long>"), "variants")
+    texts = materialize(_texts(rows, chosen, copy_words), "texts")
+    variants = materialize(texts.mapInArrow(_variant_rows(min_words), "key long, own boolean, lid binary, first struct<_id:long,line:int,_hash:long>"), "variants")
 
     # Most variants are of one line alone; those go before anything but keys is shuffled.
     met = materialize(_of_several(variants), "met")
@@ -153,7 +160,7 @@ def _joined(rows: DataFrame, keys: DataFrame, thin, schema, plain: DataFrame) ->
     return rows.mapInArrow(thin(some), schema).join(keys, "key")
 
 
-def _texts(rows: DataFrame, chosen: DataFrame, min_words: int) -> DataFrame:
+def _texts(rows: DataFrame, chosen: DataFrame, least: int) -> DataFrame:
     """(lid, first, words) of the chosen lines. Few are read where they are first; for
     many, all lines are thinned by a filter, as any copy of a line has its words."""
     n = chosen.count()
@@ -163,7 +170,7 @@ def _texts(rows: DataFrame, chosen: DataFrame, min_words: int) -> DataFrame:
         found = here.mapInArrow(_wanted_lines(), "lid binary, first struct<_id:long,line:int,_hash:long>, words binary")
         return found.dropDuplicates(["lid"])
     some = rows.sparkSession.sparkContext.broadcast(filter_of(chosen, "x", n))
-    copies = rows.select("_text").mapInArrow(_taken_lines(some, min_words), "lid binary, words binary")
+    copies = rows.select("_text").mapInArrow(_taken_lines(some, least), "lid binary, words binary")
     return copies.join(chosen, "lid").groupBy("lid").agg(F.first("first").alias("first"), F.first("words").alias("words"))
 
 
@@ -173,7 +180,9 @@ def _of_several(keyed: DataFrame) -> DataFrame:
     return ids.groupBy("key").agg(F.min("x").alias("a"), F.max("x").alias("b")).filter("a <> b").select("key")
 
 
-def _line_rows(min_words: int):
+def _line_rows(min_words: int, copy_words: int):
+    least = max(1, copy_words)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = Coder()
         for batch in batches:
@@ -181,8 +190,8 @@ def _line_rows(min_words: int):
             for i, t in enumerate(batch.column(2)):
                 for j, line in enumerate((t.as_py() or "").split("\n")):
                     words = coder.words(line)
-                    if len(words) >= min_words:
-                        owner.append(i), number.append(j), lids.append(line_id(words)), halves.append(half_keys(words))
+                    if len(words) >= least:
+                        owner.append(i), number.append(j), lids.append(line_id(words)), halves.append(half_keys(words, min_words))
             at = pa.array(owner, pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), pa.array(number, pa.int32()), pa.array(lids, pa.binary()), pa.array(halves, pa.list_(pa.int64()))], names=["_id", "_hash", "line", "lid", "halves"])
 
@@ -216,7 +225,7 @@ def _wanted_lines():
     return run
 
 
-def _taken_lines(some, min_words: int):
+def _taken_lines(some, least: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = Coder()
         for batch in batches:
@@ -224,7 +233,7 @@ def _taken_lines(some, min_words: int):
             for t in batch.column(0):
                 for line in (t.as_py() or "").split("\n"):
                     words = coder.words(line)
-                    if len(words) >= min_words:
+                    if len(words) >= least:
                         text = b" ".join(words)
                         found[xxhash.xxh3_128_digest(text)] = text
             lids = list(found)
@@ -244,7 +253,7 @@ def _taken(some):
     return run
 
 
-def _variant_rows():
+def _variant_rows(min_words: int):
     place = pa.struct([("_id", pa.int64()), ("line", pa.int32()), ("_hash", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -252,6 +261,8 @@ def _variant_rows():
         for batch in batches:
             for row in batch.to_pylist():
                 replaced, cut, own = variant_keys(coder.codes(row["words"].split()))
+                if len(replaced) < min_words:
+                    replaced, cut = replaced[:0], cut[:0]
                 n = len(replaced)
                 keys = pa.array(np.concatenate([replaced, cut, [own]]))
                 kinds = pa.array([None] * n + [False] * n + [True], pa.bool_())
@@ -269,11 +280,12 @@ def _verified():
     return run
 
 
-def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS, counts: tuple[str, str] = ("n_lines", "n_lines_removed")) -> DataFrame:
+def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS, counts: tuple[str, str] = ("n_lines", "n_lines_removed"), copy_words: int | None = None) -> DataFrame:
     """``docs`` with ``text`` less its repeated lines, and two ``counts``: of its lines, and
-    of those removed."""
+    of those removed. Lines of ``copy_words`` words at least go as exact copies, or if one of
+    the two has ``min_words`` at least, as near ones."""
     docs = docs.drop(*counts)
-    gone = materialize(repeated_lines(docs, doc_id, text, min_words), "gone")
+    gone = materialize(repeated_lines(docs, doc_id, text, min_words, min_words if copy_words is None else copy_words), "gone")
     removed = gone.agg(F.coalesce(F.sum(F.size("lines")), F.lit(0))).first()[0]
     fields = docs.schema.fields
     names = dict(zip(("_id", "_hash", "lines"), (f"__line_{x}" for x in ("id", "hash", "numbers")), strict=True))

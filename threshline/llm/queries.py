@@ -55,7 +55,7 @@ def op4_suffixtree(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the lines that an earlier line repeats."""
-    left = lines.dedup_lines(documents(spark, sf_dir, "doc_id", "text"))
+    left = lines.dedup_lines(documents(spark, sf_dir, "doc_id", "text"), copy_words=1)
     kept = F.sha2(F.coalesce("text", F.lit("")), 256)
     return left.select("doc_id", "n_lines", F.col("n_lines_removed").alias("n_removed"), kept.alias("kept_sha256"))
 
