@@ -107,3 +107,21 @@ def test_no_benchmark(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     assert [(r.n_words, r.n_hit) for r in winnow.find_spans(docs, none).collect()] == [(3, 0)]
     assert winnow.find_spans(docs.limit(0), none).collect() == []
+
+
+def test_every_row_of_the_query_has_its_result(spark, tmp_path):
+    import duckdb
+
+    from threshline.llm import queries
+
+    item = " ".join(f"w{i}" for i in range(15))
+    docs = [(1, item), (1, item), (1, "other text"), (2, "a b c"), (2, "a b c"), (2, "a b c"), (3, None), (3, None), (None, item + " x"), (None, item + " x"), (4, "")]
+    spark.createDataFrame(docs, "doc_id long, text string").repartition(2).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(7, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    got = queries.op9_winnow(spark, str(tmp_path))
+    c = duckdb.connect()
+    for name in ("documents", "benchmark"):
+        c.sql(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{tmp_path}/{name}.parquet/*.parquet')")
+    want = c.sql(f"SELECT {', '.join(got.columns)} FROM ({queries.ORACLES['op9_winnow']})").fetchall()
+    rows = [tuple(r) for r in got.collect()]
+    assert len(rows) == len(docs) and sorted(rows, key=str) == sorted(want, key=str)
