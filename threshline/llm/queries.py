@@ -85,21 +85,16 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-
 def op9_winnow(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's share of words inside benchmark windows."""
     docs = documents(spark, sf_dir, "doc_id", "text")
     found = winnow.find_spans(docs, table(spark, sf_dir, "benchmark"))
-    counted = found.select(
-        "doc_id", "_text_hash", "n_words", "n_hit",
+    return found.select(
+        "doc_id", "n_words", "n_hit",
         F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         winnow.contaminated(F.col("n_hit"), F.col("n_words")).alias("contaminated"),
     )
-    # Equal rows were counted as one; each gets the result.
-    every = docs.select(F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_hash"))
-    same = F.col("_id").eqNullSafe(F.col("doc_id")) & (F.col("_hash") == F.col("_text_hash"))
-    return every.join(counted, same).drop("_id", "_hash", "_text_hash")
 
 
 def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,17 +1,22 @@
 """Benchmark decontamination by winnowing (operator 9), DataFrame functions only.
 
-Of every ``w`` consecutive k-gram hashes the smallest is kept as a fingerprint.
-``k + w - 1`` is the length of the shortest benchmark window, so two texts that
-share such a span keep a common fingerprint: it is guaranteed to be found. The
-documents' fingerprints meet the benchmark's; documents that share one are
-extended: each of their windows is compared word for word with the benchmark's.
+Benchmark windows of one length ``n`` are a family of their own: of every ``w``
+consecutive k-gram hashes the smallest is kept as a fingerprint, with
+``k + w - 1 = n``, so two texts that share ``n`` words in a row keep a common
+fingerprint of that family: every shared span is found. The documents' fingerprints
+meet the benchmark's family by family; documents that share one are extended, by
+windows of that family's length only, which are compared word for word with the
+benchmark's. A short item so costs windows of its own length and no others.
 
 Only tables counted to stay within ``BROADCAST_ROWS`` are broadcast; beyond it Spark
 joins by shuffling. Hashes only choose what to compare, they never decide.
 
 Defined results: null text has no words; a document without words is clean; items
-without words have no window; items with null id hit words but aren't listed; items
-or documents with equal ids and texts count as one and each row gets its result.
+without words have no window; items with null id hit words but aren't listed; every
+row of the documents gives a row, also those that repeat another; an empty table of
+documents gives an empty table, and without items nothing is hit. Only the id and the
+text are read, so other columns, whatever their names, don't matter. A text is one
+array of words, so a row, however long its text, is the unit of work.
 """
 
 from __future__ import annotations
@@ -56,39 +61,49 @@ def windows(items: DataFrame, item_id: str, text: str, window: int) -> DataFrame
     return w.select("item_id", "n", F.slice("all", F.col("at"), F.col("n")).alias("words")).withColumn("span", F.array_join("words", " "))
 
 
+def fingerprints(df: DataFrame, words: str, n: int, out: str) -> DataFrame:
+    """``df`` with the fingerprints of the family ``n``; null for texts of fewer words.
+
+    Each step is a column of its own, for an expression inside a lambda would be
+    evaluated anew for every element.
+    """
+    k = (n + 1) // 2
+    names = df.columns
+    hashed = df.select(*names, F.when(F.size(words) >= n, F.transform(words, lambda x: F.xxhash64(x))).alias("_h"))
+    gram = hashed.select(*names, grams("_h", k).alias("_g"))
+    return gram.select(*names, winnowed("_g", n - k + 1).alias(out))
+
+
 def find_spans(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = WINDOW) -> DataFrame:
-    """One row per distinct (doc_id, text): doc_id, _text_hash, n_words, n_hit,
-    spans (array of struct<start, n>, ascending), items (array of ids as strings, sorted)."""
+    """One row per row of ``docs``: doc_id, _text_hash, n_words, n_hit, spans (array of
+    struct<start, n>, ascending), items (array of ids as strings, sorted)."""
     asked = materialize(windows(items, item_id, item_text, window), "windows")
-    n_windows, shortest = asked.agg(F.count("*"), F.coalesce(F.min("n"), F.lit(window))).first()
-    k = (shortest + 1) // 2
-    w = shortest - k + 1
-
-    def prints(df: DataFrame, *keep: str) -> DataFrame:
-        """Fingerprints of the column ``words``; each step is a column of its own, for
-        an expression inside a lambda would be evaluated anew for every element."""
-        long_enough = F.size("words") >= shortest
-        hashed = df.select(*keep, F.when(long_enough, F.transform("words", lambda x: F.xxhash64(x))).alias("hashes"))
-        gram = hashed.select(*keep, grams("hashes", k).alias("grams"))
-        return gram.select(*keep, winnowed("grams", w).alias("prints"))
+    lengths = {r.n: r.rows for r in asked.groupBy("n").agg(F.count("*").alias("rows")).collect()}  # at most ``window`` of them
+    n_windows = sum(lengths.values())
 
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.xxhash64(text).alias("_text_hash"))
-    cut = rows.select("doc_id", "_text_hash", words_of(F.col("text")).alias("words"))
-    own = materialize(prints(cut.withColumn("n_words", F.size("words").cast("long")), "doc_id", "_text_hash", "n_words"), "prints")
-
-    # A window's first w grams lie within it, so their smallest is one of its document's fingerprints.
-    heads = prints(asked.select("words"), "words").select(F.get("prints", F.lit(0)).alias("print")).distinct()
-    near = own.select("doc_id", "_text_hash", F.explode("prints").alias("print")).join(broadcast_if(heads, n_windows, BROADCAST_ROWS), "print", "left_semi")
-    near = materialize(near.select("doc_id", "_text_hash").distinct(), "near")
+    own = rows.select("doc_id", "_text_hash", words_of(F.col("text")).alias("words")).withColumn("n_words", F.size("words").cast("long"))
+    for n in lengths:
+        own = fingerprints(own, "words", n, f"prints_{n}")
+    own = materialize(own.drop("words"), "prints")
+
+    # A window's grams are as many as a fingerprint is chosen from, so their smallest is one of its document's.
+    near = None
+    for n, count in lengths.items():
+        heads = fingerprints(asked.filter(F.col("n") == n).select("words"), "words", n, "prints").select(F.get("prints", F.lit(0)).alias("print")).distinct()
+        found = own.select("doc_id", "_text_hash", F.explode(f"prints_{n}").alias("print")).join(broadcast_if(heads, count, BROADCAST_ROWS), "print", "left_semi")
+        found = found.select("doc_id", "_text_hash", F.lit(n).alias("n"))
+        near = found if near is None else near.unionByName(found)
+    if near is None:
+        near = own.select("doc_id", "_text_hash", F.lit(0).alias("n")).limit(0)
+    near = materialize(near.groupBy("doc_id", "_text_hash").agg(F.collect_set("n").alias("ns")), "near")
 
     kinds = asked.groupBy("span", "n").agg(F.collect_set(F.col("item_id").cast("string")).alias("items"))
     same = [F.col("a.doc_id").eqNullSafe(F.col("b.doc_id")), F.col("a._text_hash").eqNullSafe(F.col("b._text_hash"))]
     some = broadcast_if(near, near.count(), BROADCAST_ROWS)
-    close = rows.alias("a").join(some.alias("b"), on=same[0] & same[1], how="left_semi").dropDuplicates(["doc_id", "_text_hash"])
-    close = close.select("doc_id", "_text_hash", words_of(F.col("text")).alias("words"))
-    lengths = [r.n for r in asked.select("n").distinct().collect()]  # at most ``window`` of them
-    starts = close.select("doc_id", "_text_hash", "words", F.explode(F.array(*[F.lit(n) for n in lengths]) if lengths else F.array().cast("array<int>")).alias("n"))
-    starts = starts.filter(F.size("words") >= F.col("n")).select("doc_id", "_text_hash", "words", "n", F.explode(F.sequence(F.lit(1), F.size("words") - F.col("n") + 1)).alias("at"))
+    close = rows.alias("a").join(some.alias("b"), on=same[0] & same[1]).select("a.*", "ns").dropDuplicates(["doc_id", "_text_hash"])
+    starts = close.select("doc_id", "_text_hash", words_of(F.col("text")).alias("words"), F.explode("ns").alias("n"))
+    starts = starts.select("doc_id", "_text_hash", "words", "n", F.explode(F.sequence(F.lit(1), F.size("words") - F.col("n") + 1)).alias("at"))
     spans = starts.select("doc_id", "_text_hash", "n", (F.col("at") - 1).alias("start"), F.array_join(F.slice("words", F.col("at"), F.col("n")), " ").alias("span"))
     hits = spans.join(broadcast_if(kinds, n_windows, BROADCAST_ROWS), ["span", "n"])
     per_doc = hits.groupBy("doc_id", "_text_hash").agg(
@@ -96,8 +111,7 @@ def find_spans(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text:
         F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"),
     )
     per_doc = per_doc.withColumn("n_hit", covered("spans"))
-    every = own.select("doc_id", "_text_hash", "n_words").distinct()
-    out = every.alias("a").join(per_doc.alias("b"), on=same[0] & same[1], how="left")
+    out = own.alias("a").join(per_doc.alias("b"), on=same[0] & same[1], how="left")
     none = F.array().cast("array<string>")
     return out.select(
         "a.doc_id", "a._text_hash", "n_words",
