@@ -2,8 +2,8 @@ import random
 
 import pytest
 
-from threshline.llm import prefixfree, suffixtree
-from threshline.llm.repeats import Finder, Words, anchors, rolling, sliding_minimum
+from threshline.llm import prefixfree, repeats, suffixtree
+from threshline.llm.repeats import Words, anchors, rolling, sliding_minimum
 
 import numpy as np
 
@@ -57,17 +57,19 @@ def compare(spark, drop, texts, length, split, join, **options):
         assert sum(s.last - s.first + 1 for s in r.spans) == r.n_removed
 
 
-@pytest.mark.parametrize("big", [None, 2])
+@pytest.mark.parametrize("big", [None, 1, 3])
 def test_words(spark, monkeypatch, big):
-    if big:  # every group goes the way of groups too large for a task
+    if big:  # groups are split by longer and longer strings, until one window is left
+        monkeypatch.setattr(repeats, "GROUP_ROWS", big)
         monkeypatch.setattr(suffixtree, "SUBTREE_WORDS", 2)
     compare(spark, suffixtree.drop_repeats, corpus(1), 12, words, b" ".join, gram=4)
 
 
-@pytest.mark.parametrize("big", [None, 2])
+@pytest.mark.parametrize("big", [None, 1, 3])
 def test_bytes(spark, monkeypatch, big):
     if big:
-        monkeypatch.setattr(prefixfree, "SORT_BYTES", 2)
+        monkeypatch.setattr(repeats, "GROUP_ROWS", big)
+        monkeypatch.setattr(prefixfree, "PARSE_BYTES", 2)
     compare(spark, prefixfree.drop_repeats, corpus(2), 90, raw, bytes, gram=16)
 
 
@@ -77,11 +79,9 @@ def test_empty_table(spark):
 
 
 def test_chunks_of_a_long_text(spark, monkeypatch):
-    from threshline.llm import repeats
-
     monkeypatch.setattr(repeats, "CHUNK", 50)
     codes = rolling(np.arange(400, dtype=np.uint64) % np.uint64(37), 1)
-    found = [(a, b) for _, first, last in anchors(codes, 20, 5) for a, b in zip(first.tolist(), last.tolist(), strict=True)]
+    found = [(a, b) for _, first, last, _ in anchors(codes, 20, 5) for a, b in zip(first.tolist(), last.tolist(), strict=True)]
     assert [x for a, b in found for x in range(a, b + 1)] == list(range(381))
 
 
@@ -94,4 +94,66 @@ def test_sliding_minimum():
 
 def test_words_of_other_spaces():
     assert Words().units("a\u00a0b c\u2003d") == ["a\u00a0b".encode(), "c\u2003d".encode()]
-    assert Finder(Words, 35, 8, None, 100).big >= 2
+
+
+def repeated_starts(texts, starts, window):
+    seen = {}
+    for t, n in zip(texts, starts, strict=True):
+        for i in range(n):
+            seen[t[i : i + window]] = seen.get(t[i : i + window], 0) + 1
+    return [[seen[t[i : i + window]] > 1 for i in range(n)] for t, n in zip(texts, starts, strict=True)]
+
+
+def related(seed, alphabet, n=30):
+    """Texts that share pieces at any place, some with long runs of one letter."""
+    rng = random.Random(seed)
+    pool = [bytes(rng.choice(alphabet) for _ in range(rng.randrange(20, 200))) for _ in range(6)]
+    return [b"".join(rng.choice(pool)[rng.randrange(10) : rng.randrange(15, 200)] + bytes(rng.choice(alphabet) for _ in range(rng.randrange(4))) for _ in range(rng.randrange(2, 7))) for _ in range(n)]
+
+
+@pytest.mark.parametrize("alphabet", [b"ab", b"a", b"abcdefghijklmnop \x00", bytes(range(256))])
+@pytest.mark.parametrize("divisor", [1, 4, 32, 1 << 40])
+def test_dictionary_and_parse_make_the_corpus_order(monkeypatch, alphabet, divisor):
+    monkeypatch.setattr(prefixfree, "DIVISOR", divisor)
+    for seed in range(4):
+        texts = [t for t in related(seed, alphabet) if len(t) >= 60]
+        for window in (5, 31, 60):
+            starts = [len(t) - window + 1 if i % 4 else 1 for i, t in enumerate(texts)]
+            got = prefixfree.CorpusOrder(window)(texts, starts)
+            assert [g.tolist() for g in got] == repeated_starts(texts, starts, window)
+
+
+def test_phrases_are_prefix_free():
+    parse = prefixfree.Parse([t for t in related(5, b"abcd") if t])
+    phrases = {parse.text[a:b].tobytes() for a, b in zip(parse.cut, parse.end, strict=True)}
+    rests = sorted({p[2 * i :] for p in phrases for i in range(len(p) // 2) if len(p) // 2 - i > prefixfree.TRIGGER})
+    assert len(phrases) < len(parse.cut)
+    assert not any(y.startswith(x) for x, y in zip(rests, rests[1:], strict=False))
+
+
+def test_inner_nodes_are_the_maximal_repeats():
+    rng = random.Random(6)
+    texts = [[rng.randrange(3) for _ in range(rng.randrange(1, 60))] for _ in range(12)]
+    tree = suffixtree.SuffixTree([np.array(t, np.uint64) for t in texts])
+    place = {int(o) + i: tuple(t[i:]) for o, t in zip(tree.offset, texts, strict=True) for i in range(len(t) + 1)}
+    for depth in (1, 3, 6, 100):
+        want = {}
+        for at, rest in place.items():
+            if len(rest) >= depth:
+                want.setdefault(rest[:depth], set()).add(at)
+        first, last, words = tree.nodes(depth)
+        got = {}
+        for a, b, n in zip(first.tolist(), last.tolist(), words.tolist(), strict=True):
+            leaves = tree.leaves[a : b + 1].tolist()
+            assert n >= depth and len({place[x][:n] for x in leaves}) == 1 and len({place[x][: n + 1] for x in leaves}) > 1
+            got[place[leaves[0]][:depth]] = set(leaves)
+        assert got == {k: v for k, v in want.items() if len(v) > 1}
+
+
+def test_a_passage_in_most_rows(spark, monkeypatch):
+    """One anchor in many rows, with other words around it each time."""
+    monkeypatch.setattr(repeats, "GROUP_ROWS", 8)
+    rng = random.Random(7)
+    passage = " ".join(f"p{i}" for i in range(16))
+    texts = [" ".join(f"q{rng.randrange(10**6)}" for _ in range(rng.randrange(30))) + " " + passage + " " + " ".join(f"q{rng.randrange(3)}" for _ in range(rng.randrange(12))) for _ in range(200)]
+    compare(spark, suffixtree.drop_repeats, texts, 12, words, b" ".join, gram=4)

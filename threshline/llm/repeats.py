@@ -1,7 +1,8 @@
 """Finding windows of text that start more than once in a corpus.
 
 What operators 4 and 6 share: content-defined cutting, the spreading of candidate
-pieces over groups, and the way back to the documents. Units are words or bytes.
+pieces over memory-sized groups, and the way back to the documents. How the repeats of
+a group are found is each operator's own. Units are words or bytes.
 
 Every window of ``length`` units has an anchor: the leftmost smallest rolling hash of its
 ``gram``-unit strings. Equal windows have equal anchors at equal places, so a window
@@ -12,14 +13,18 @@ phrases do too). The steps:
 1. count all anchors' hashes; those that occur once can't be in a repeat;
 2. cut the phrases of the others, and gather the dictionary of distinct phrases
    with their counts; a phrase that occurs twice repeats as a whole;
-3. in every anchor's group of distinct phrases find the windows that start in two
-   phrases (the operators' own step);
-4. carry the repeated starts back to the documents and remove what they cover.
-
-No text is compared outside its group. Groups with more phrases than fit a task are
-split by the longest prefix there is, the whole window (its 128-bit hash), and
-counted by Spark with partial sums, so a passage in a third of all rows is no
-task's burden.
+3. deal the suffixes (the phrases' windows) out to groups by the string around the anchor
+   that all of a group's windows share: at first the anchor itself, and for every group
+   of more than ``group_rows`` phrases a longer one, over and over until it fits (or is
+   the whole window, whose members are then one window);
+4. in every group find the windows that start twice (the operator's own step);
+5. carry the repeated starts back to the documents and remove what they cover.
+
+A longer shared string belongs to fewer places of the anchor in the window: windows whose
+anchor is ``lo`` to ``hi`` - 1 units from their start share ``length`` - (``hi`` - ``lo``) + 1
+units, so each lengthening cuts that range into ``PARTS``. No text is compared outside
+its group, and no group is larger than its bound, so a passage in a third of all rows
+is no task's burden.
 """
 
 from __future__ import annotations
@@ -32,8 +37,14 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from threshline.llm.common import materialize
+from threshline.llm.common import broadcast_if, filter_of, materialize
 
+#: Distinct phrases of a group at most; larger groups get a longer shared string.
+GROUP_ROWS = 1_000
+#: Ranges that a group's range of anchor places is cut into.
+PARTS = 4
+#: Rows of one or two longs that are broadcast at most.
+BROADCAST_ROWS = 500_000
 #: Windows of one text looked at together; bounds memory for very long texts.
 CHUNK = 1 << 19
 #: Distinct phrases that a task's dictionary holds before it is sent on.
@@ -113,8 +124,8 @@ def sliding_minimum(x: np.ndarray, w: int) -> np.ndarray:
     return np.minimum(back[:n], ahead[w - 1 : w - 1 + n])
 
 
-def anchors(codes: np.ndarray, length: int, gram: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(hash, first start, last start) of the runs of windows that share an anchor."""
+def anchors(codes: np.ndarray, length: int, gram: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(hash, first start, last start, anchor's place) of the runs of windows that share an anchor."""
     w = length - gram + 1
     for at in range(0, len(codes) - length + 1, CHUNK):
         part = codes[at : at + CHUNK + length - 1]
@@ -123,7 +134,7 @@ def anchors(codes: np.ndarray, length: int, gram: int) -> Iterator[tuple[np.ndar
         place = (sliding_minimum(keys, w) & _PLACE).astype(np.int64)
         first = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
         last = np.concatenate([first[1:], [len(place)]]) - 1
-        yield hashes[place[first]].view(np.int64), first + at, last + at
+        yield hashes[place[first]].view(np.int64), first + at, last + at, place[first] + at
 
 
 def row_keys(doc_id: str, text: str) -> list[Column]:
@@ -131,40 +142,101 @@ def row_keys(doc_id: str, text: str) -> list[Column]:
     return [F.coalesce(F.col(doc_id).cast("long"), F.lit(-(1 << 63))).alias("_id"), F.xxhash64(text).alias("_hash")]
 
 
+def among(rows: DataFrame, keys: DataFrame, on: list[str], n: int, how: str = "left_semi") -> DataFrame:
+    """Rows (not) among ``n`` written keys; a frequent key's rows are no task's burden, as
+    the keys are broadcast or both sides are plain shuffles, which Spark splits."""
+    return rows.join(broadcast_if(keys, n, BROADCAST_ROWS), on, how)
+
+
 class Finder:
-    """Steps 1 to 4 for one kind of unit and one window length.
+    """Steps 1 to 5 for one kind of unit and one window length.
 
-    ``mark_groups`` is step 3: it gets (contents, valid starts in each, group number of
-    each) and returns one boolean array per content, true for repeated starts.
-    ``batch_units`` bounds what it gets at once.
+    ``mark_groups`` is step 4: it gets (contents, valid starts in each) of whole groups
+    and returns one boolean array per content, true for repeated starts. ``batch_units``
+    bounds what it gets at once.
     """
 
-    def __init__(self, unit: type, length: int, gram: int, mark_groups: Callable, batch_units: int):
+    def __init__(self, unit: type, length: int, gram: int, mark_groups: Callable, batch_units: int, group_rows: int | None = None):
         self.unit, self.length, self.gram = unit, length, gram
         self.mark_groups, self.batch_units = mark_groups, batch_units
-        self.big = max(2, batch_units // (2 * length))
+        self.group_rows = group_rows or GROUP_ROWS
 
     def repeated(self, docs: DataFrame, doc_id: str, text: str) -> DataFrame:
         """(_id, _hash, spans): the starts that repeat, as a flat array of first, last."""
         rows = docs.select(*row_keys(doc_id, text), F.col(text).alias("_text"))
         marks = materialize(rows.mapInArrow(self._anchor_rows(), "h long, n int, _id long, _hash long"), "anchors")
-        often = marks.groupBy("h").agg(F.sum("n").alias("n")).filter("n > 1").select("h")
-        mine = marks.join(often, "h").groupBy("_id", "_hash").agg(F.collect_list("h").alias("hs"))
+        often = materialize(marks.groupBy("h").agg(F.sum("n").alias("n")).filter("n > 1").select("h"), "often")
+        n_often = often.count()
+        if n_often > BROADCAST_ROWS:  # thin what is shuffled; the join that follows decides
+            marks = thinned(marks, filter_of(often, "h", n_often))
+        mine = among(marks, often, ["h"], n_often).groupBy("_id", "_hash").agg(F.collect_set("h").alias("hs"))
         cut = rows.join(mine, ["_id", "_hash"]).select("_id", "_hash", "_text", "hs")
-        phrases = materialize(cut.mapInArrow(self._phrase_rows(), "h long, ph binary, n long, content binary, starts int, _id long, _hash long, at int"), "phrases")
+        phrases = materialize(cut.mapInArrow(self._phrase_rows(), "h long, ph binary, n long, content binary, starts int, p int, _id long, _hash long, at int"), "phrases")
 
-        book = phrases.filter("content IS NOT NULL").groupBy("h", "ph").agg(F.sum("n").alias("n"), F.first("content").alias("content"), F.first("starts").alias("starts"))
+        book = phrases.filter("content IS NOT NULL").groupBy("h", "ph")
+        book = book.agg(F.sum("n").alias("n"), F.first("content").alias("content"), F.first("starts").alias("starts"), F.first("p").alias("p"))
         book = materialize(book, "dictionary")
         whole = book.filter("n > 1").select("ph", F.array(F.lit(0), F.col("starts") - 1).alias("spans"))
-        sizes = book.groupBy("h").agg(F.count("*").alias("size"), F.min("n").alias("least")).filter("size > 1 AND least = 1").select("h", "size")
-        open_ = materialize(book.join(sizes, "h"), "groups")
-        small = open_.filter(F.col("size") <= self.big).select("h", "ph", "n", "content", "starts")
-        some = small.repartition("h").sortWithinPartitions("h", "ph").mapInArrow(self._group_rows(), "ph binary, spans array<int>")
-        found = whole.unionByName(some).unionByName(self._big_groups(open_.filter(F.col("size") > self.big)))
+        several = book.groupBy("h").agg(F.count("*").alias("size"), F.min("n").alias("least")).filter("size > 1 AND least = 1").select("h")
+        several = materialize(several, "several")
+        level = among(book, several, ["h"], several.count()).select(F.col("h").alias("k1"), F.lit(0).cast("long").alias("k2"), F.lit(0).alias("lo"), F.lit(self.length - self.gram + 1).alias("hi"), "ph", F.lit(0).alias("base"), "p", "content", "starts", "n")
+        groups, single = self._groups(materialize(level, "groups"))
+        found = materialize(whole.unionByName(self._marked(groups)).unionByName(single), "found")
 
         placed = phrases.filter("content IS NULL").select("ph", "_id", "_hash", "at").join(found, "ph")
         moved = placed.select("_id", "_hash", F.transform("spans", lambda x: x + F.col("at")).alias("spans"))
-        return moved.groupBy("_id", "_hash").agg(F.flatten(F.collect_list("spans")).alias("spans"))
+        return moved.groupBy("_id", "_hash").agg(F.flatten(F.collect_set("spans")).alias("spans"))
+
+    def _groups(self, level: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """(rows of groups that fit, spans of groups of one window): the shared strings
+        are lengthened, where a group is too large, until it fits."""
+        keys, width = ["k1", "k2"], self.length - self.gram + 1
+        fits = None
+        single = level.select("ph", F.array("base", "base").alias("spans")).limit(0)
+        while True:
+            large = materialize(level.groupBy(*keys).count().filter(F.col("count") > self.group_rows).select(*keys), "large")
+            n = large.count()
+            fit = among(level, large, keys, n, "left_anti") if n else level
+            fits = fit if fits is None else fits.unionByName(fit)
+            if not n:
+                return fits, single
+            rest = among(level, large, keys, n)
+            if width == 1:  # the whole window is shared: many phrases have it
+                return fits, rest.filter("n = 1").select("ph", F.array("base", "base").alias("spans"))
+            level = materialize(rest.mapInArrow(self._split_rows(), level.schema), "groups")
+            width = -(-width // PARTS)
+
+    def _split_rows(self):
+        unit, length = self.unit, self.length
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            kind = unit()
+            for batch in batches:
+                out: dict[str, list] = {name: [] for name in batch.schema.names}
+                for row in zip(*(batch.column(i).to_pylist() for i in range(2, 10)), strict=True):
+                    lo, hi, ph, base, p, content, starts, n = row
+                    units, step = kind.unpack(content), -(-(hi - lo) // PARTS)
+                    for low in range(lo, hi, step):
+                        high = min(hi, low + step)
+                        first, last = max(0, p - high + 1), min(starts - 1, p - low)
+                        if first > last:
+                            continue
+                        shared = kind.pack(units, p - low, p + length - high + 1)
+                        key = xxhash.xxh3_128_digest(shared + low.to_bytes(4, "little") + high.to_bytes(4, "little"))
+                        k1, k2 = (int.from_bytes(key[i : i + 8], "little", signed=True) for i in (0, 8))
+                        made = (k1, k2, low, high, ph, base + first, p - first, kind.pack(units, first, last + length), last - first + 1, n)
+                        for name, x in zip(out, made, strict=True):
+                            out[name].append(x)
+                yield pa.RecordBatch.from_pydict(out, schema=batch.schema)
+
+        return run
+
+    def _marked(self, groups: DataFrame) -> DataFrame:
+        """(ph, spans) of the repeated starts, groups spread by their counted units."""
+        units = groups.agg(F.sum(F.col("starts") + self.length)).first()[0] or 0
+        tasks = max(4 * groups.sparkSession.sparkContext.defaultParallelism, -(-units // self.batch_units))
+        dealt = groups.select("k1", "k2", "ph", "base", "content", "starts", "n").repartition(int(tasks), "k1", "k2").sortWithinPartitions("k1", "k2", "ph")
+        return dealt.mapInArrow(self._group_rows(), "ph binary, spans array<int>")
 
     def remove(self, docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
         """(doc_id, n_units, n_removed, spans as array<struct<first, last>> of removed
@@ -184,7 +256,7 @@ class Finder:
             for batch in batches:
                 hashes, counts, owner = [], [], []
                 for i, t in enumerate(batch.column(2)):
-                    found = [h for h, _, _ in anchors(kind.codes(kind.units(t.as_py())), length, gram)]
+                    found = [h for h, _, _, _ in anchors(kind.codes(kind.units(t.as_py())), length, gram)]
                     if found:  # a text's copies of one anchor are one row
                         h, n = np.unique(np.concatenate(found), return_counts=True)
                         hashes.append(h), counts.append(n.astype(np.int32)), owner.append(np.full(len(h), i))
@@ -196,13 +268,13 @@ class Finder:
 
     def _phrase_rows(self):
         unit, length, gram = self.unit, self.length, self.gram
-        names = ["h", "ph", "n", "content", "starts", "_id", "_hash", "at"]
+        names = ["h", "ph", "n", "content", "starts", "p", "_id", "_hash", "at"]
 
         def entries(book: dict) -> pa.RecordBatch:
             n = len(book)
             none = pa.nulls(n, pa.int64())
-            h, count, content, starts = zip(*book.values(), strict=True)
-            return pa.RecordBatch.from_arrays([pa.array(h, pa.int64()), pa.array(list(book), pa.binary()), pa.array(count, pa.int64()), pa.array(content, pa.binary()), pa.array(starts, pa.int32()), none, none, pa.nulls(n, pa.int32())], names=names)
+            h, count, content, starts, p = zip(*book.values(), strict=True)
+            return pa.RecordBatch.from_arrays([pa.array(h, pa.int64()), pa.array(list(book), pa.binary()), pa.array(count, pa.int64()), pa.array(content, pa.binary()), pa.array(starts, pa.int32()), pa.array(p, pa.int32()), none, none, pa.nulls(n, pa.int32())], names=names)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             kind, book = unit(), {}
@@ -211,22 +283,22 @@ class Finder:
                 for i, (t, wanted) in enumerate(zip(batch.column(2), batch.column(3), strict=True)):
                     units = kind.units(t.as_py())
                     wanted = wanted.values.to_numpy()
-                    for h, first, last in anchors(kind.codes(units), length, gram):
-                        use = np.isin(h, wanted)
-                        for x, a, b in zip(h[use].tolist(), first[use].tolist(), last[use].tolist(), strict=True):
+                    for found in anchors(kind.codes(units), length, gram):
+                        use = np.isin(found[0], wanted)
+                        for x, a, b, q in zip(*(f[use].tolist() for f in found), strict=True):
                             content = kind.pack(units, a, b + length)
                             ph = xxhash.xxh3_128_digest(content + x.to_bytes(8, "little", signed=True))
                             if ph in book:
                                 book[ph][1] += 1
                             else:
-                                book[ph] = [x, 1, content, b - a + 1]
+                                book[ph] = [x, 1, content, b - a + 1, q - a]
                                 if len(book) >= DICTIONARY:
                                     yield entries(book)
                                     book = {}
                             hs.append(x), phs.append(ph), owner.append(i), ats.append(a)
                 if hs:
                     n, at = len(hs), pa.array(owner)
-                    yield pa.RecordBatch.from_arrays([pa.array(hs, pa.int64()), pa.array(phs, pa.binary()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary()), pa.nulls(n, pa.int32()), batch.column(0).take(at), batch.column(1).take(at), pa.array(ats, pa.int32())], names=names)
+                    yield pa.RecordBatch.from_arrays([pa.array(hs, pa.int64()), pa.array(phs, pa.binary()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.int32()), batch.column(0).take(at), batch.column(1).take(at), pa.array(ats, pa.int32())], names=names)
             if book:
                 yield entries(book)
 
@@ -236,45 +308,24 @@ class Finder:
         mark, most, length = self.mark_groups, self.batch_units, self.length
 
         def done(rows: list) -> pa.RecordBatch:
-            number = np.cumsum([0, *[x[0] != y[0] for x, y in zip(rows, rows[1:], strict=False)]])
-            masks = mark([r[2] for r in rows], [r[3] for r in rows], number)
-            found = [(r[1], spans_of(m)) for r, m in zip(rows, masks, strict=True) if r[4] == 1 and m.any()]
+            masks = mark([r[4] for r in rows], [r[5] for r in rows])
+            found = [(r[2], (np.array(spans_of(m)) + r[3]).tolist()) for r, m in zip(rows, masks, strict=True) if r[6] == 1 and m.any()]
             return pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.binary()), pa.array([x for _, x in found], pa.list_(pa.int32()))], names=["ph", "spans"])
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             rows, size = [], 0
             for batch in batches:
-                h, ph, n, content, starts = (batch.column(i).to_pylist() for i in range(5))
-                for row in zip(h, ph, content, starts, n, strict=True):
-                    if size >= most and row[0] != rows[-1][0]:
+                for row in zip(*(batch.column(i).to_pylist() for i in range(7)), strict=True):
+                    if size >= most and row[:2] != rows[-1][:2]:
                         yield done(rows)
                         rows, size = [], 0
                     rows.append(row)
-                    size += row[3] + length
+                    size += row[5] + length
             if rows:
                 yield done(rows)
 
         return run
 
-    def _big_groups(self, book: DataFrame) -> DataFrame:
-        """Groups too large for a task: every window is a prefix of its own."""
-        unit, length = self.unit, self.length
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            kind = unit()
-            for batch in batches:
-                ph, content, n = (batch.column(i).to_pylist() for i in range(3))
-                for p, c, count in zip(ph, content, n, strict=True):
-                    codes = kind.codes(kind.unpack(c))
-                    x, y = rolling(codes, length), rolling(codes, length, 2)
-                    m = len(x)
-                    yield pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)), pa.array(y.view(np.int64)), pa.array([p] * m, pa.binary()), pa.array(np.arange(m, dtype=np.int32)), pa.array(np.full(m, count, np.int64))], names=["x", "y", "ph", "at", "n"])
-
-        windows = book.select("ph", "content", "n").mapInArrow(run, "x long, y long, ph binary, at int, n long")
-        often = windows.groupBy("x", "y").agg(F.count("*").alias("k")).filter("k > 1").select("x", "y")
-        hit = windows.filter("n = 1").join(often, ["x", "y"])
-        return hit.groupBy("ph").agg(F.flatten(F.collect_list(F.array("at", "at"))).alias("spans"))
-
     def _kept_rows(self):
         unit, length = self.unit, self.length
 
@@ -307,12 +358,41 @@ def spans_of(mask: np.ndarray) -> list[int]:
     return edge.tolist()
 
 
-def classes_to_depth(rank: np.ndarray, have: int, depth: int) -> np.ndarray:
-    """From classes of ``have``-unit strings at every place to classes of ``depth``-unit
-    strings, by prefix doubling: each round sorts pairs of classes."""
-    while have < depth:
-        step = min(have, depth - have)
-        pair = rank[: len(rank) - step] * (int(rank.max()) + 1) + rank[step:]
-        rank = np.unique(pair, return_inverse=True)[1]
-        have += step
-    return rank
+def thinned(rows: DataFrame, keys) -> DataFrame:
+    """Rows (h first) whose ``h`` a Bloom filter of keys takes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(keys.takes(batch.column(0).to_numpy())))
+
+    return rows.mapInArrow(run, rows.schema)
+
+
+def doubled(rank: np.ndarray, have: int, end: np.ndarray | int, most: int) -> list[tuple[int, np.ndarray]]:
+    """Levels (depth, ranks) of a suffix array by prefix doubling, from ranks of ``have``
+    units up to ``most`` or until no rank is split any more.
+
+    ``end``: where each place's string ends; beyond it nothing is compared, and nothing
+    sorts before everything.
+    """
+    levels, place = [(have, rank)], np.arange(len(rank))
+    classes = int(rank.max()) + 1 if len(rank) else 0
+    while have < most and classes < len(rank):
+        ahead = place + have
+        second = np.where(ahead < end, rank[np.minimum(ahead, len(rank) - 1)] + 1, 0)
+        found, rank = np.unique(rank.astype(np.int64) * (classes + 1) + second, return_inverse=True)
+        have *= 2
+        levels.append((have, rank))
+        if len(found) == classes:
+            break
+        classes = len(found)
+    return levels
+
+
+def common(levels: list[tuple[int, np.ndarray]], a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Units that the strings at the different places a and b share, from the levels of
+    ``doubled`` for single units, if no two places' strings are equal."""
+    shared = np.zeros(len(a), np.int64)
+    for depth, rank in reversed(levels):
+        shared += np.where(rank[a + shared] == rank[b + shared], depth, 0)
+    return shared
