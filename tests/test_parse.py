@@ -52,6 +52,13 @@ def test_entities():
     assert len(parse.entities_in(ANN + ANN.replace("sits", "runs") + '<foo x="1" /><foo x="1" />')) == 3
 
 
+def test_names_of_tags(spark):
+    found = parse.entities_in('<my-tag a="1" /><9x b="2" /><-x c="3" /><é d="4" /><_x e="5" /><A9_b-c f="6" />')
+    assert [(e["tag"], e["attrs"]) for e in found] == [("my-tag", {"a": "1"}), ("A9_b-c", {"f": "6"})]
+    row = spark.createDataFrame([('<my-tag a="1" /><9x b="2" /><stats-2 character="Ann" />',)], "s string").select(N.entities_in(F.col("s")).alias("e")).first()
+    assert [(e.tag, e.cls) for e in row.e] == [("my-tag", "GenericEntity"), ("stats-2", "GenericEntity")]
+
+
 def test_line_numbers():
     assert points("\n" * 6 + f"{PREV}\n{MSG}\n{ANN}")[0]["source_id"] == "f.txt:7"
 

@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from threshline import schema as S
 from threshline.functions.entries import non_blank
 
-_ATTR = r'(?U)(\w+)\s*=\s*"((?:[^"\\]|\\.)*)"'
-_TAG = r"(?U)<(\w+)\s*([^/>]*?)\s*/>"
+_ATTR = "(?U)" + S.ATTR_PATTERN
+_TAG = "(?U)" + S.TAG_PATTERN
 
 
 def attr_names(text: Column) -> Column:

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -89,26 +90,26 @@ def first_attr(attrs: Column, names: Iterable[str], default: Column) -> Column:
 
 
 def send_date(attrs: Column) -> Column:
-    return first_attr(attrs, ["send_date", "timestamp", "time", "date", "datetime", "sent"], F.lit(""))
+    return first_attr(attrs, S.DATE_ATTRS, F.lit(""))
 
 
 def speaker(attrs: Column, fallback: Column) -> Column:
-    return first_attr(attrs, ["from", "name", "speaker", "character", "author"], fallback)
+    return first_attr(attrs, S.SPEAKER_ATTRS, fallback)
 
 
 def truthy(c: Column) -> Column:
-    return F.coalesce(F.lower(strip(c)).isin("1", "true", "yes", "y", "on"), F.lit(False))
+    return F.coalesce(F.lower(strip(c)).isin(S.MARK_WORDS), F.lit(False))
 
 
 def parse_bool(c: Column) -> Column:
     """true, false, or null for anything else."""
     low = F.lower(strip(c))
-    return F.when(low.isin("1", "true", "t", "yes", "y", "on"), True).when(low.isin("0", "false", "f", "no", "n", "off"), False)
+    return F.when(low.isin(S.TRUE_WORDS), True).when(low.isin(S.FALSE_WORDS), False)
 
 
 def roles(attrs: Column) -> Column:
     """struct<is_user, is_system> of a message's attributes."""
-    role = F.lower(first_attr(attrs, ["role", "class", "type"], F.lit("")))
+    role = F.lower(first_attr(attrs, S.ROLE_ATTRS, F.lit("")))
     return F.struct(((role == "user") | truthy(attrs["user"])).alias("is_user"), ((role == "system") | truthy(attrs["system"])).alias("is_system"))
 
 
@@ -152,6 +153,18 @@ def text_length(*choices: Column) -> Column:
     return F.coalesce(*[F.length(non_blank(c)) for c in choices], F.lit(0))
 
 
+def token_length(text: Column, make_encode: Callable[[], Callable[[str], Sequence[int]]]) -> Column:
+    """Tokens of a text by an encoder that is made once per worker's batch series; 0 for null."""
+
+    @F.pandas_udf("int")
+    def counted(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        encode = make_encode()
+        for texts in batches:
+            yield pd.Series([0 if t is None else len(encode(t)) for t in texts], dtype="int32")
+
+    return F.coalesce(counted(non_blank(text)), F.lit(0))
+
+
 def seed_of(key: Column) -> Column:
     """A number of the first eight hex digits of a key."""
     return F.conv(F.substring(key, 1, 8), 16, 10).cast("long")

@@ -10,7 +10,8 @@ What the parser accepts, and keeps on purpose:
 - it must be followed by a message, else it is skipped; an unclosed message likewise;
 - a message directly after a message ends nothing: the state runs to the file's end;
 - a block without state entities is skipped;
-- attributes of a self-closing tag hold neither ``/`` nor ``>``; other tags are text.
+- attributes of a self-closing tag hold neither ``/`` nor ``>``; other tags are text;
+- a tag's name starts with an ASCII letter and may hold hyphens.
 """
 
 from __future__ import annotations
@@ -26,9 +27,9 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from threshline import schema as S
 from threshline.functions import entities as N
 
-_OPEN = re.compile(r"<(previousMessage|message)([^>]*)>")
-_ATTR = re.compile(r'(\w+)\s*=\s*"((?:[^"\\]|\\.)*)"')
-_TAG = re.compile(r"<(\w+)\s*([^/>]*?)\s*/>")
+_OPEN = re.compile(S.ANCHOR_PATTERN)
+_ATTR = re.compile(S.ATTR_PATTERN)
+_TAG = re.compile(S.TAG_PATTERN)
 _ANCHORS = {"previousMessage": "PreviousMessage", "message": "Message"}
 #: Classes whose entities are context of an entity of the class.
 CONTEXT = {"SceneStats": ("CharacterStats",)}

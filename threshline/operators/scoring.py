@@ -8,7 +8,8 @@ needs no model: its logits are a fixed function of the text, for tests and dry r
 from __future__ import annotations
 
 import time
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Collection, Iterator, Sequence
+from dataclasses import dataclass
 from typing import Protocol
 
 import numpy as np
@@ -22,12 +23,14 @@ from threshline import schema as S
 from threshline.functions import entries as E
 
 MASKED = -100
-DELIMITERS = frozenset(" \n\t,;:.!?\"'/|-_=<>()[]{}")
 BATCH_ROWS, BATCH_TOKENS, LEAST_BUDGET = 35, 10_000, 500
 
 
 class Scorer(Protocol):
-    """Made once per worker; ``score`` may raise, the batch is then retried smaller."""
+    """Made once per worker; ``logits`` may raise, the batch is then retried smaller."""
+
+    #: Tokens that end every prompt.
+    end: Sequence[int]
 
     def encode(self, text: str) -> list[int]: ...
 
@@ -42,6 +45,7 @@ class HashScorer:
     """Bytes as tokens; the logits depend on the last three bytes by a hash."""
 
     vocabulary = 256
+    end: Sequence[int] = ()
 
     def encode(self, text: str) -> list[int]:
         return list(text.encode())
@@ -59,12 +63,59 @@ class HashScorer:
         return (mixed * np.uint64(0xFF51AFD7ED558CCD) >> np.uint64(40)).astype(np.float32) / np.float32(1 << 22)
 
 
-def difficulty_metrics(logits: np.ndarray, labels: np.ndarray, decode: Callable[[int], str]) -> list[dict]:
+class CausalScorer:
+    """Any causal language model: a tokenizer's functions, and ``forward``, which turns ids
+    and their mask, both [rows, tokens], into logits of [rows, tokens, vocabulary]."""
+
+    def __init__(self, encode: Callable[[str], list[int]], decode: Callable[[int], str], forward: Callable[[np.ndarray, np.ndarray], np.ndarray], end: Sequence[int] = (), pad: int = 0):
+        self.encode, self.decode, self.forward, self.end, self.pad = encode, decode, forward, end, pad
+
+    def logits(self, batch: np.ndarray, lengths: Sequence[int] | None = None) -> np.ndarray:
+        sizes = np.asarray(lengths if lengths is not None else [batch.shape[1]] * len(batch))
+        mask = np.arange(batch.shape[1]) < sizes[:, None]
+        return self.forward(np.where(mask, batch, self.pad), mask.astype(np.int64))
+
+
+@dataclass(frozen=True)
+class OnnxScorer:
+    """Makes the scorer of an exported causal model: give it, with its paths, as ``make_scorer``.
+
+    The model's inputs are ``input_ids`` and ``attention_mask``, its first output the logits;
+    ``end`` names the tokenizer's closing token.
+    """
+
+    model: str
+    tokenizer: str
+    end: str | None = None
+    providers: tuple[str, ...] = ("CPUExecutionProvider",)
+
+    def __call__(self) -> CausalScorer:
+        import onnxruntime
+        import tokenizers
+
+        tok = tokenizers.Tokenizer.from_file(self.tokenizer)
+        session = onnxruntime.InferenceSession(self.model, providers=list(self.providers))
+        wanted = {x.name for x in session.get_inputs()}
+
+        def forward(ids: np.ndarray, mask: np.ndarray) -> np.ndarray:
+            fed = {"input_ids": ids.astype(np.int64), "attention_mask": mask}
+            return session.run(None, {k: v for k, v in fed.items() if k in wanted})[0]
+
+        end = [] if self.end is None else [tok.token_to_id(self.end)]
+        return CausalScorer(lambda t: tok.encode(t, add_special_tokens=False).ids, lambda i: tok.decode([i], skip_special_tokens=False), forward, end)
+
+
+def delimiter_ids(scorer: Scorer) -> frozenset[int]:
+    """The tokens that encode the block delimiters."""
+    return frozenset(i for d in S.BLOCK_DELIMITERS for i in scorer.encode(d))
+
+
+def difficulty_metrics(logits: np.ndarray, labels: np.ndarray, decode: Callable[[int], str], delimiters: Collection[int] = ()) -> list[dict]:
     """Per row: difficulty, mean and worst loss, and the token with the worst one.
 
     ``labels`` hold ``MASKED`` where a token is not judged; logits at t foretell token t + 1.
-    A token counts fully where the text branches (the first judged one, or after a
-    delimiter), else half. Its value is 1 - (p of the right token - p of the best wrong one).
+    A token counts fully where the text branches (the first judged one, or right after a
+    judged one of ``delimiters``), else half. Its value is 1 - (p of the right token - p of the best wrong one).
     """
     out = []
     for scores, row in zip(logits[:, :-1].astype(np.float64), labels[:, 1:], strict=True):
@@ -80,7 +131,8 @@ def difficulty_metrics(logits: np.ndarray, labels: np.ndarray, decode: Callable[
         wrong = logp.copy()
         wrong[n, right] = -np.inf
         value = 1 - (np.exp(logp[n, right]) - np.exp(wrong.max(axis=1)))
-        branch = np.array([i == 0 or decode(int(labels_before))[-1:] in DELIMITERS for i, labels_before in enumerate([0, *right[:-1]])])
+        opens = np.isin(right[:-1], list(delimiters)) & (np.diff(at) == 1)
+        branch = np.concatenate([[True], opens])
         weight = np.where(branch, 1.0, 0.5)
         average = (value * weight).sum() / max(1.0, weight.sum())
         worst_value = min(10.0, float((value * weight)[branch].max()))
@@ -108,32 +160,47 @@ def plan_batches(lengths: Sequence[int], budget: int, rows: int | None = None) -
 
 
 def score_pairs(scorer: Scorer, pairs: Sequence[tuple[str, str]], budget: int = BATCH_TOKENS, rows: int | None = None) -> list[dict | None]:
-    """Metrics of (prefix, completion) pairs. A batch that fails is tried once more in
-    batches of half the budget; what fails below ``LEAST_BUDGET`` stays unscored."""
-    coded = [(scorer.encode(p), scorer.encode(c)) for p, c in pairs]
+    """Metrics of (prefix, prompt) pairs: the prompt's tokens after as many as its prefix
+    has are judged. A prefix that leaves less than two tokens gives way to the prompt up to
+    its last ``="``, if that leaves more. A batch that fails is tried once more in batches of
+    half the budget; what fails below ``LEAST_BUDGET`` stays unscored."""
+    coded = [_split(scorer, prefix, prompt) for prefix, prompt in pairs]
+    opens = delimiter_ids(scorer)
     out: list[dict | None] = [None] * len(pairs)
     for members in plan_batches([len(p) + len(c) for p, c in coded], budget, rows):
         halves = [members]
         try:
-            found = _score_batch(scorer, [coded[i] for i in members])
+            found = _score_batch(scorer, [coded[i] for i in members], opens)
         except (MemoryError, RuntimeError):
             if budget // 2 < LEAST_BUDGET:
                 continue
             lengths = [len(coded[i][0]) + len(coded[i][1]) for i in members]
             halves = [[members[j] for j in part] for part in plan_batches(lengths, budget // 2, rows)]
-            found = [m for part in halves for m in _score_batch(scorer, [coded[i] for i in part])]
+            found = [m for part in halves for m in _score_batch(scorer, [coded[i] for i in part], opens)]
         for i, m in zip([i for part in halves for i in part], found, strict=True):
             out[i] = m
     return out
 
 
-def _score_batch(scorer: Scorer, coded: list[tuple[list[int], list[int]]]) -> list[dict]:
+def _split(scorer: Scorer, prefix: str, prompt: str) -> tuple[list[int], list[int]]:
+    """A prompt's tokens, cut where judging begins."""
+    ids = [*scorer.encode(prompt), *scorer.end]
+    n = min(len(scorer.encode(prefix)), len(ids))
+    if n >= len(ids) - 1 and '="' in prompt:
+        other = len(scorer.encode(prompt.rpartition('="')[0] + '="'))
+        n = other if other < len(ids) - 1 else n
+    return ids[:n], ids[n:]
+
+
+def _score_batch(scorer: Scorer, coded: list[tuple[list[int], list[int]]], delimiters: Collection[int]) -> list[dict]:
     width = max(2, max(len(p) + len(c) for p, c in coded))
     ids, labels = np.zeros((len(coded), width), np.int64), np.full((len(coded), width), MASKED, np.int64)
     for i, (p, c) in enumerate(coded):
         ids[i, : len(p) + len(c)] = [*p, *c]
         labels[i, len(p) : len(p) + len(c)] = c
-    return difficulty_metrics(scorer.logits(ids), labels, scorer.decode)
+    sizes = [len(p) + len(c) for p, c in coded]
+    logits = scorer.logits(ids, sizes) if isinstance(scorer, CausalScorer) else scorer.logits(ids)
+    return difficulty_metrics(logits, labels, scorer.decode, delimiters)
 
 
 def score(entries: DataFrame, make_scorer: Callable[[], Scorer] = HashScorer, budget: int = BATCH_TOKENS, rows: int | None = None) -> DataFrame:
@@ -141,7 +208,7 @@ def score(entries: DataFrame, make_scorer: Callable[[], Scorer] = HashScorer, bu
     per worker; batches are planned within each Arrow batch, and order is kept."""
     plain = entries.drop("loss_metrics")
     start = E.prefix(F.col("prompt"), F.coalesce("target.attr", F.lit("")))
-    split = plain.withColumns({"_prefix": F.coalesce(start, F.lit("")), "_rest": F.coalesce(F.substring(F.col("prompt"), F.length(start) + 1, F.length("prompt")), F.lit(""))})
+    split = plain.withColumns({"_prefix": F.coalesce(start, F.lit("")), "_whole": F.coalesce(F.col("prompt"), F.lit(""))})
     schema = T.StructType([*plain.schema.fields, T.StructField("loss_metrics", S.LOSS_METRICS)])
     kind = to_arrow_schema(T.StructType([T.StructField("m", S.LOSS_METRICS)])).field(0).type
 

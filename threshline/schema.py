@@ -49,6 +49,20 @@ STATS = [
 ]
 #: The place of a stat that no class knows.
 UNKNOWN_ORDER = 9999
+#: The grammar of annotated texts: anchors, attributes, self-closing tags.
+ANCHOR_PATTERN = r"<(previousMessage|message)([^>]*)>"
+ATTR_PATTERN = r'(\w+)\s*=\s*"((?:[^"\\]|\\.)*)"'
+TAG_PATTERN = r"<([A-Za-z][\w\-]*)\s*([^/>]*?)\s*/>"
+#: Attributes that can hold a message's date, speaker and role, the first one first.
+DATE_ATTRS = ["send_date", "timestamp", "time", "date", "datetime", "sent"]
+SPEAKER_ATTRS = ["from", "name", "speaker", "character", "author"]
+ROLE_ATTRS = ["role", "class", "type"]
+#: Words for true in marks, and for true and false in flags.
+MARK_WORDS = ["1", "true", "yes", "y", "on"]
+TRUE_WORDS = ["1", "true", "t", "yes", "y", "on"]
+FALSE_WORDS = ["0", "false", "f", "no", "n", "off"]
+#: Strings whose tokens open a new block of a value; the token after one counts fully.
+BLOCK_DELIMITERS = [",", ";", " (", "(", " {", "{", " [", "["]
 #: Attribute that names the subject, by tag and class; the first that is there wins.
 TAGS = {"stats": [("CharacterStats", "character"), ("SceneStats", "scene")], "character": [("CharacterEntity", "name")]}
 STATS_CLASSES = ["CharacterStats", "SceneStats"]
