@@ -3,7 +3,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from threshline.operators import batching, cache, dedupe, filters, reports, sampling, scoring
+from threshline.operators import batching, cache, dedupe, filters, passes, reports, sampling, scoring
 from threshline.operators.ranking import global_rank
 from threshline.plans.derive import entries
 from threshline.sources import readers, writers
@@ -52,10 +52,44 @@ def test_stage0_epochs_pad_and_differ(spark):
 def test_token_batches_hold_the_budget(spark):
     rows = some(spark)
     out = batching.token_batches(rows.select("_ord", "prompt"), 500, F.length("prompt"))
+    other = batching.token_batches(rows.select("_ord", "prompt").repartition(32), 500, F.length("prompt"))
+    assert sorted(out.select("_ord", "batch_id").collect()) == sorted(other.select("_ord", "batch_id").collect())
+    none = batching.token_batches(rows.select("_ord", "prompt").limit(0), 500, F.length("prompt"))
+    assert none.collect() == []
     per = out.groupBy("batch_id").agg((F.max(F.length("prompt")) * F.count("*")).alias("t"), F.count("*").alias("n")).collect()
     assert sum(r.n for r in per) == 300 and all(r.t <= 500 or r.n == 1 for r in per)
 
 
+def test_length_cuts_are_those_of_one_walk():
+    rng = np.random.default_rng(5)
+    for _ in range(300):
+        budget, lengths = int(rng.integers(1, 60)), sorted(rng.integers(0, 30, rng.integers(1, 60)).tolist())
+        want, rows = [], 0
+        for n in lengths:
+            rows = 1 if not rows or n * (rows + 1) > budget else rows + 1
+            want.append((want[-1] if want else -1) + (rows == 1))
+        values, counts = np.unique(lengths, return_counts=True)
+        got = []
+        for n, (room, open_, cap) in zip(counts.tolist(), batching.length_cuts(list(zip(values.tolist(), counts.tolist(), strict=True)), budget), strict=True):
+            got += [i // cap if open_ < 0 else open_ if i < room else open_ + 1 + (i - room) // cap for i in range(n)]
+        assert got == want
+
+
+def test_epochs_are_dealt_apart(spark):
+    rows = some(spark, 50).withColumn("epoch", F.expr("pmod(hash(_ord), 2)"))
+    got = batching.deal(rows, 8).groupBy("epoch", "batch_id").count().collect()
+    for e in (0, 1):
+        n = [r["count"] for r in got if r.epoch == e]
+        assert sorted(n)[1:] == [8] * (len(n) - 1)
+
+
+def test_a_run_version_holds_the_passes_options():
+    versions = [cache.run_version([p], {}) for p in (passes.mirror(), passes.mirror(probability=0.5), passes.mirror(seed=1), passes.rename(0.1), passes.rename(0.2), passes.rename(0.2, exclude=["A"]), passes.duplicate_changes("pose", 2), passes.duplicate_changes("pose", 2.5), passes.no_change)]
+    assert len(set(versions)) == len(versions) and cache.run_version([passes.mirror()], {}) == versions[0]
+    a, b = (scoring.OnnxScorer("m", "t", end=e) for e in (None, "</s>"))
+    assert cache.described(a) != cache.described(b) and cache.described(scoring.HashScorer)["name"].endswith("HashScorer")
+
+
 def test_dealing_small_tables(spark):
     assert batching.deal(some(spark, 5), 24).select("batch_id").distinct().count() == 1
     assert batching.deal(some(spark, 50), 24, drop_last=True).count() == 48
@@ -89,12 +123,15 @@ def test_difficulty_metrics_by_hand():
     logits = np.log(np.array([[[0.7, 0.2, 0.1], [0.1, 0.6, 0.3], [0.2, 0.2, 0.6], [1, 1, 1]]]))
     labels = np.array([[-100, 0, 2, 1]])
     (m,) = scoring.difficulty_metrics(logits, labels, lambda t: "abc"[t])
+    (opened,) = scoring.difficulty_metrics(logits, labels, lambda t: "abc"[t], {0})
     loss = [-np.log(0.7), -np.log(0.3), -np.log(0.2)]
     value = [1 - (0.7 - 0.2), 1 - (0.3 - 0.6), 1 - (0.2 - 0.6)]
     average = (value[0] + 0.5 * value[1] + 0.5 * value[2]) / 2
     assert np.isclose(m["mean_loss"], np.mean(loss)) and np.isclose(m["worst_loss"], max(loss))
     assert np.isclose(m["completion_difficulty"], 0.5 * average + 0.5 * value[0])
     assert m["critical_token"] == {"position": 2, "token_id": 1, "decoded_value": "b", "loss": pytest.approx(loss[2]), "pred_token_id": 2, "pred_decoded_value": "c"}
+    every = (value[0] + value[1] + 0.5 * value[2]) / 2.5  # the token after a delimiter counts fully
+    assert np.isclose(opened["completion_difficulty"], 0.5 * every + 0.5 * max(value[:2]))
     (none,) = scoring.difficulty_metrics(logits, np.full((1, 4), -100), str)
     assert none["critical_token"]["position"] == -1
 
@@ -107,17 +144,44 @@ class Small(scoring.HashScorer):
 
 
 def test_batches_that_fail_are_halved_once():
-    pairs = [("a" * 20, "b" * 30)] * 20
+    pairs = [("a" * 20, "a" * 20 + "b" * 30)] * 20
     want = scoring.score_pairs(scoring.HashScorer(), pairs, 1200)
     assert scoring.score_pairs(Small(), pairs, 1200) == want
-    assert scoring.score_pairs(Small(), [("a" * 400, "b" * 400)], 900) == [None]
+    assert scoring.score_pairs(Small(), [("a" * 400, "a" * 400 + "b" * 400)], 900) == [None]
     with pytest.raises(MemoryError):
-        scoring.score_pairs(Small(), [("a" * 400, "b" * 400)], 2000)
+        scoring.score_pairs(Small(), [("a" * 400, "a" * 400 + "b" * 400)], 2000)
     found = scoring.benchmark_budgets(["x" * 50] * 10, [100, 1000], scoring.HashScorer())
     assert scoring.best_budget(found) in (100, 1000) and [r["tokens"] for r in found] == [500, 500]
     assert scoring.best_budget([]) is None
 
 
+def test_delimiters_are_all_tokens_of_the_fixed_strings():
+    assert scoring.delimiter_ids(scoring.HashScorer()) == frozenset(b",; ({[")
+
+
+def test_a_prefix_that_leaves_nothing_gives_way_to_the_last_value():
+    s = scoring.HashScorer()
+    assert scoring._split(s, 'a="b', 'a="bc')[1] == list(b"bc")  # one token was left
+    assert scoring._split(s, 'a="', 'a="bc')[1] == list(b"bc")
+    assert scoring._split(s, 'a="b', 'a="b')[1] == []  # the other prefix leaves no more than one
+    assert scoring._split(s, "plain", "plain")[1] == []
+
+
+def test_any_causal_model_can_score():
+    seen = []
+
+    def forward(ids, mask):
+        seen.append((ids.tolist(), mask.tolist()))
+        return scoring.HashScorer().logits(ids)
+
+    plain, ours = scoring.HashScorer(), scoring.CausalScorer(lambda t: list(t.encode()), lambda i: chr(i), forward, end=[3], pad=7)
+    (m, _) = scoring.score_pairs(ours, [('x="', 'x="abc'), ("", "q")])
+    assert seen[0][0][0] == [*b"q", 3, 7, 7, 7, 7, 7] or seen[0][0][1] == [*b"q", 3, 7, 7, 7, 7, 7]
+    assert sum(map(sum, seen[0][1])) == 9 and m["critical_token"]["position"] >= 2
+    plain.end = [3]
+    assert m == scoring.score_pairs(plain, [('x="', 'x="abc')])[0]
+
+
 def test_scores_do_not_depend_on_partitions(spark):
     rows = some(spark, 60)
     a = scoring.score(rows).select("_ord", "loss_metrics").collect()

@@ -63,6 +63,9 @@ def test_command_line_and_stream(spark, tmp_path):
     assert readers.jsonl(spark, f"{tmp_path}/stage0/train").count() == 15
     jobs.main(["assemble", f"{tmp_path}/entries", f"{tmp_path}/out", "--eval", f"{tmp_path}/entries", "--eval-size", "2", "--batch", "4"])
     assert readers.jsonl(spark, f"{tmp_path}/out/eval").count() == 2
+    jobs.main(["assemble", f"{tmp_path}/entries", f"{tmp_path}/again", "--eval", f"{tmp_path}/entries", "--existing-eval", f"{tmp_path}/out/eval", "--batch", "4", "--engineered", "--clean-synthetic", "--big-eval-size", "2"])
+    ids = [{r.id for r in readers.jsonl(spark, f"{tmp_path}/{d}/eval").collect()} for d in ("out", "again")]
+    assert ids[0] == ids[1] and readers.jsonl(spark, f"{tmp_path}/again/big_eval").count() == 2
     with pytest.raises(ValueError, match="no stat lines"):
         jobs.embeddings(spark, f"{tmp_path}/in/sub")
     q = incremental.prepare_stream(spark, f"{tmp_path}/in", f"{tmp_path}/streamed", f"{tmp_path}/state", jobs.Prepare("eval"), once=True)

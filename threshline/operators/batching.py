@@ -8,11 +8,10 @@ they get narrow rows (keys, attribute, bucket, length), and the rest is joined b
 from __future__ import annotations
 
 from collections import Counter, deque
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,23 +27,24 @@ HARDEST_FIRST = ("high", "medium", "low", "synthetic")
 
 
 def deal(entries: DataFrame, batch: int, seed: int = 1337, drop_last: bool = False) -> DataFrame:
-    """``entries`` with batch_id and pos: strata (bucket, attribute) are dealt in turn.
+    """``entries`` with batch_id and pos: strata (bucket, attribute) are dealt in turn, each
+    epoch (if there are any) apart.
 
-    The rows that fill no whole batch make the last, short one.
+    The rows of an epoch that fill no whole batch make its last, short one.
     """
-    n = entries.count()
-    whole = n // batch
-    order = [F.col("_bucket"), F.col("_attr"), F.col("_key")]
-    rows = entries.withColumns({"_bucket": E.bucket(), "_attr": E.attr(), "_key": E.order_key(F.col("_ord").cast("string"), seed)})
-    ranked = global_rank(rows, *order).withColumn("_i", F.col("rank") - 1)
-    if whole:
-        inside = F.col("_i") < whole * batch
-        ranked = ranked.withColumns({
-            "batch_id": F.when(inside, F.col("_i") % whole).otherwise(F.lit(whole)).cast("int"),
-            "pos": F.when(inside, F.floor(F.col("_i") / whole)).otherwise(F.col("_i") - whole * batch).cast("int"),
-        })
-    else:
-        ranked = ranked.withColumns({"batch_id": F.lit(0), "pos": F.col("_i").cast("int")})
+    epoch = F.col("epoch") if "epoch" in entries.columns else F.lit(0)
+    rows = entries.withColumns({"_epoch": epoch, "_bucket": E.bucket(), "_attr": E.attr(), "_key": E.order_key(F.col("_ord").cast("string"), seed)})
+    order = [F.col(c) for c in ("_epoch", "_bucket", "_attr", "_key")]
+    ranked = global_rank(rows, *order)
+    # One row per epoch: their number is a parameter.
+    sizes = ranked.groupBy(F.col("_epoch").alias("_of")).agg(F.floor(F.count("*") / batch).alias("_whole"), F.min("rank").alias("_first"))
+    ranked = ranked.join(F.broadcast(sizes), F.col("_epoch").eqNullSafe(F.col("_of")))
+    i, whole = F.col("rank") - F.col("_first"), F.col("_whole")
+    inside = i < whole * batch
+    ranked = ranked.withColumns({
+        "batch_id": F.when(inside, i % whole).otherwise(whole).cast("int"),
+        "pos": F.when(inside, F.floor(i / whole)).otherwise(i - whole * batch).cast("int"),
+    })
     return (ranked.filter(F.col("batch_id") < whole) if drop_last else ranked).select(*entries.columns, "batch_id", "pos")
 
 
@@ -71,36 +71,58 @@ def spread_attrs(batches: list[list[int]], ok: list[bool], bucket: list[str]) ->
     return left
 
 
+class Pool:
+    """A bucket's rows, a queue per attribute."""
+
+    def __init__(self) -> None:
+        self.queues: dict[str, deque[tuple[int, int]]] = {}
+        self.size = 0
+
+    def add(self, place: int, row: int, attr: str) -> None:
+        self.queues.setdefault(attr, deque()).append((place, row))
+        self.size += 1
+
+    def take(self, seen: Counter) -> tuple[str, int]:
+        """The next row of the attribute seen least; of several, the one placed first."""
+        attr = min(self.queues, key=lambda a: (seen[a], self.queues[a][0]))
+        _, row = self.queues[attr].popleft()
+        if not self.queues[attr]:
+            del self.queues[attr]
+        self.size -= 1
+        return attr, row
+
+
 def plan_balanced(rows: pd.DataFrame, batch: int) -> list[list[int]]:
     """Row numbers by batch: of every bucket a share as large as it has of what is left,
-    each time the row whose attribute the latest rows have least."""
-    bucket, attr = rows["bucket"].tolist(), rows["attr"].tolist()
-    pools = {b: [] for b in HARDEST_FIRST}
-    for i in rows.sort_values("key", kind="stable").index:
-        pools[bucket[i] if bucket[i] in pools else "low"].append(i)
-    recent: deque = deque(maxlen=RECENT)
+    each time a row of the attribute that the latest ``RECENT`` rows have least."""
+    pools = {b: Pool() for b in HARDEST_FIRST}
+    order = rows.sort_values("key", kind="stable")
+    for place, (i, b, a) in enumerate(zip(order.index, order["bucket"], order["attr"], strict=True)):
+        pools[b if b in pools else "low"].add(place, i, a)
+    recent: deque[str] = deque()
+    seen: Counter = Counter()
     out: list[list[int]] = []
 
-    def pick(pool: list[int], chosen: list[int]) -> None:
-        seen = Counter(recent)
-        tail = range(len(pool) - 1, max(-1, len(pool) - 1 - RECENT), -1)
-        at = min(tail, key=lambda p: seen[attr[pool[p]]])
-        chosen.append(pool.pop(at))
-        recent.append(attr[chosen[-1]])
-
-    while left := sum(map(len, pools.values())):
-        size, chosen = min(batch, left), []
-        names = [b for b in HARDEST_FIRST if pools[b]]
-        quotas = {b: round(size * len(pools[b]) / left) for b in names}
-        quotas[names[-1]] = max(0, size - sum(quotas[b] for b in names[:-1]))
-        for b in names:
-            for _ in range(min(quotas[b], len(pools[b]), size - len(chosen))):
-                pick(pools[b], chosen)
+    def take(pool: Pool) -> int:
+        attr, row = pool.take(seen)
+        recent.append(attr)
+        seen[attr] += 1
+        if len(recent) > RECENT:
+            seen[recent.popleft()] -= 1
+        return row
+
+    while left := sum(p.size for p in pools.values()):
+        size = min(batch, left)
+        filled = [pools[b] for b in HARDEST_FIRST if pools[b].size]
+        shares = [round(size * p.size / left) for p in filled[:-1]]
+        shares.append(max(0, size - sum(shares)))
+        wanted = [p for p, n in zip(filled, shares, strict=True) for _ in range(min(n, p.size))][:size]
+        chosen = [take(p) for p in wanted]
         while len(chosen) < size:
-            pick(next(pools[b] for b in HARDEST_FIRST if pools[b]), chosen)
+            chosen.append(take(next(p for p in filled if p.size)))
         out.append(chosen)
-    spread_attrs(out, rows["flip"].tolist(), bucket)
-    spread_attrs(out, rows["same"].tolist(), bucket)
+    spread_attrs(out, rows["flip"].tolist(), rows["bucket"].tolist())
+    spread_attrs(out, rows["same"].tolist(), rows["bucket"].tolist())
     return out
 
 
@@ -144,7 +166,7 @@ def engineer(entries: DataFrame, batch: int, plan: Callable[..., list[list[int]]
     )
     largest = narrow.groupBy("epoch").count().agg(F.max("count")).first()[0] or 0
     if largest > ENGINEERED_ROWS:
-        raise ValueError(f"an epoch of {largest} rows is too large to engineer; deal it")
+        raise ValueError(f"an epoch of {largest} rows is too large to engineer (at most {ENGINEERED_ROWS}): deal() it, or use more epochs")
 
     def planned(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["key", "_uid"], kind="stable").reset_index(drop=True)
@@ -167,25 +189,41 @@ def stage0_epochs(entries: DataFrame, batch: int, n: int, seed: int = 1337, **op
 
 
 def token_batches(prompts: DataFrame, budget: int, length: Column) -> DataFrame:
-    """``prompts`` with batch_id: consecutive rows by length, cut before the longest length
-    times the rows would pass ``budget``. Each range of lengths is cut by itself, so a
-    range's last batch may be small; a longer prompt is a batch of its own."""
-    rows = prompts.withColumn("_length", length.cast("long"))
-    sorted_ = rows.repartitionByRange("_length").sortWithinPartitions("_length", *[c for c in ("_ord",) if c in rows.columns])
-    fields = sorted_.schema
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number, count = 0, 0
-        for b in batches:
-            ids = []
-            for n in b.column(b.num_columns - 1).to_pylist():
-                if count and (n or 0) * (count + 1) > budget:
-                    number, count = number + 1, 0
-                count += 1
-                ids.append(number)
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(ids, pa.int64())], names=[*b.schema.names, "_local"])
-
-    cut = sorted_.mapInArrow(run, f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in fields)}, _local long")
-    part = F.spark_partition_id().cast("long")
-    return cut.withColumn("batch_id", part * F.lit(1 << 40) + F.col("_local")).drop("_local", "_length")
+    """``prompts`` with batch_id: by length (then ``_ord``, if there is one), cut before the
+    longest length times the rows would pass ``budget``; a longer prompt is a batch alone.
 
+    Rows of one length fill batches of one size, so the cuts follow from how often each
+    length occurs; that table (a row per distinct length, at most the longest prompt's
+    length) is walked on the driver. A row's batch then follows from its global rank, on
+    any number of partitions. A null length counts as 0.
+    """
+    rows = prompts.withColumn("_length", F.coalesce(length.cast("long"), F.lit(0)))
+    if "_ord" in prompts.columns:
+        ties = [F.col("_ord").cast("string")]
+    else:
+        ties = [F.xxhash64(*prompts.columns)] if prompts.columns else []
+    ranked = global_rank(rows, F.col("_length"), *ties)
+    counts = ranked.groupBy("_length").agg(F.count("*").alias("n"), F.min("rank").alias("first")).orderBy("_length").collect()
+    cuts = [(r["_length"], r["first"], *cut) for r, cut in zip(counts, length_cuts([(r["_length"], r["n"]) for r in counts], budget), strict=True)]
+    table = prompts.sparkSession.createDataFrame(cuts, "_length long, _first long, _room long, _open long, _cap long")
+    i = F.col("rank") - F.col("_first")
+    open_, cap = F.col("_open"), F.col("_cap")
+    batch = F.when(open_ < 0, F.floor(i / cap)).when(i < F.col("_room"), open_).otherwise(open_ + 1 + F.floor((i - F.col("_room")) / cap))
+    return ranked.join(F.broadcast(table), "_length").select(*prompts.columns, batch.cast("long").alias("batch_id"))
+
+
+def length_cuts(counts: list[tuple[int, int]], budget: int) -> list[tuple[int, int, int]]:
+    """For ascending (length, rows): how many of the rows still go to the open batch, that
+    batch's number (-1 if none is open yet), and how many fill a batch of their own."""
+    out, open_, held = [], -1, 0
+    for length, n in counts:
+        cap = max(1, budget // length) if length else n + held
+        room = 0 if open_ < 0 else min(n, max(0, cap - held) if held * length + length <= budget or not length else 0)
+        out.append((room, open_, cap))
+        left = n - room
+        if left:
+            more = -(-left // cap)
+            open_, held = open_ + more, left - (more - 1) * cap
+        else:
+            held += room
+    return out

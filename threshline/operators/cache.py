@@ -2,20 +2,34 @@
 
 from __future__ import annotations
 
+import dataclasses
 import hashlib
 import json
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
+from threshline import schema as S
 from threshline.storage import cut_lineage
 
 
-def run_version(passes: Sequence[str], options: dict) -> str:
-    """A run's version: its passes' names and all that changes results."""
-    return hashlib.sha1(json.dumps({"passes": list(passes), "options": options}, sort_keys=True, default=str).encode()).hexdigest()
+def described(made: object) -> dict:
+    """What is called, and with which options: those that a pass notes as its ``options``,
+    or a dataclass's fields."""
+    options = dataclasses.asdict(made) if dataclasses.is_dataclass(made) and not isinstance(made, type) else getattr(made, "options", {})
+    owner = made if hasattr(made, "__qualname__") else type(made)
+    return {"name": f"{owner.__module__}.{owner.__qualname__}", "options": options}
+
+
+def run_version(passes: Sequence[object], options: dict) -> str:
+    """A run's version: its passes with their options, the data format's fixed values, and
+    all else that changes results."""
+    fixed = {k: v for k, v in vars(S).items() if k.isupper() and not isinstance(v, T.DataType)}
+    parts = {"passes": [p if isinstance(p, str) else described(p) for p in passes], "options": options, "fixed": fixed}
+    return hashlib.sha1(json.dumps(parts, sort_keys=True, default=str).encode()).hexdigest()
 
 
 def read(spark: SparkSession, path: str, schema: str) -> DataFrame:

@@ -24,6 +24,12 @@ from threshline.functions.entries import order_key
 Pass = Callable[[DataFrame], DataFrame]
 
 
+def _noted(applied: Pass, **options) -> Pass:
+    """The pass, with the options that a run's version has to hold."""
+    applied.options = options
+    return applied
+
+
 def run_passes(datapoints: DataFrame, passes: Sequence[Pass]) -> DataFrame:
     for one in passes:
         datapoints = datapoints.transform(one)
@@ -124,7 +130,7 @@ def mirror(classes: Sequence[str] | None = None, probability: float = 1.0, seed:
         out = rows.withColumn("previous_state", F.when(F.col("_mirror"), F.transform(a, other)).otherwise(a))
         return out.withColumn("_part", F.col("_part") * 2 + F.col("_mirror").cast("int")).select(*datapoints.columns)
 
-    return applied
+    return _noted(applied, classes=classes and list(classes), probability=probability, seed=seed)
 
 
 def _chance(seed: int) -> Column:
@@ -151,7 +157,7 @@ def duplicate_changes(stat: str, multiplier: float, seed: int = 0) -> Pass:
         more = (_chance(seed) < multiplier % 1).cast("int")
         return _copies(datapoints, F.when(hit, int(multiplier) + more).otherwise(1))
 
-    return applied
+    return _noted(applied, stat=stat, multiplier=multiplier, seed=seed)
 
 
 def _copies(datapoints: DataFrame, n: Column) -> DataFrame:
@@ -191,7 +197,7 @@ def rename(probability: float = 0.30, names: Sequence[str] | None = None, exclud
 
         return datapoints.mapInArrow(run, schema)
 
-    return applied
+    return _noted(applied, probability=probability, names=pool, exclude=sorted(exclude))
 
 
 def rename_row(row: dict, pool: Sequence[str], probability: float, exclude: set[str]) -> dict:

@@ -10,6 +10,7 @@ from threshline.functions import entities as N
 from threshline.functions import entries as E
 from threshline.operators import batching, cache, export, parse, passes, reports, sampling, scoring
 from threshline.plans.derive import BLOCKS_SQL, ENTRIES_SQL, annotated, blocks, entries
+from threshline.operators.ranking import global_rank
 from threshline.plans.entry_queries import rounded
 from threshline.sources import readers
 from threshline.storage import cut_lineage
@@ -50,7 +51,7 @@ def parse_datapoints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _shown(_datapoints(spark, sf_dir))
 
 
-@query("parse_warnings")
+@query("parse_warnings", f"{_B} SELECT file, 'a message is not closed' AS warning FROM spans")
 def parse_warnings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the parser skips in texts whose messages are cut off."""
     broken = annotated(spark, sf_dir).withColumn("value", F.regexp_replace("value", "</message>", ""))
@@ -132,9 +133,24 @@ def pass_mirror(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _shown(passes.mirror()(_datapoints(spark, sf_dir))).select("source_id", "prompt")
 
 
-@query("pass_meta")
+_FULL = ' outfit="o" exposure="e" accessories="a" bodystate="b"'
+
+
+@query(
+    "pass_meta",
+    rf"""{_B}, w AS (SELECT *, CASE WHEN conv_id % 2 = 0 THEN replace(b, 'pose="p1"', 'pose="p0"') ELSE b END AS b1, CASE WHEN conv_id % 2 = 0 THEN replace(c, 'pose="p1"', 'pose="p0"') ELSE c END AS c1
+      FROM (SELECT *, replace(before, ' outfit="o"', '{_FULL}') AS b, replace(cha, ' outfit="o"', '{_FULL}') AS c FROM spans)),
+    m AS (SELECT *, CASE WHEN conv_id % 2 = 0 THEN 'false' ELSE 'true' END AS changed FROM w)
+    SELECT source_id, concat_ws(E'\n', prev, aug, b1, eve, msg, c1) AS prompt, concat(source_id, ':', role) AS id, 'b" />' AS expected_value, NULL::VARCHAR AS attr, role AS original_subject_id FROM m
+    UNION ALL SELECT source_id, concat_ws(E'\n', prev, aug, b1, eve, msg, c1, sce), concat(source_id, ':hall'), concat('i', conv_id % 3, '" />'), NULL, 'hall' FROM m
+    UNION ALL SELECT source_id, concat_ws(E'\n', prev, aug, b1, eve, msg, concat('<meta character="', role, '" updated="', changed, '" />')), concat(source_id, ':', role, ':updated'), changed, 'updated', role FROM m""",
+)
 def pass_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _shown(passes.meta_updated(_datapoints(spark, sf_dir)))
+    """Texts whose characters have all stats, every second of them unchanged."""
+    even = F.regexp_extract("file", r"c(\d+)\.", 1).cast("long") % 2 == 0
+    whole = F.replace("value", F.lit(' outfit="o"'), F.lit(_FULL))
+    texts = annotated(spark, sf_dir).withColumn("value", F.when(even, F.replace(whole, F.lit('pose="p1"'), F.lit('pose="p0"'))).otherwise(whole))
+    return _shown(passes.meta_updated(parse.parse(texts)))
 
 
 @query("pass_rename")
@@ -147,7 +163,19 @@ def pass_chat_train(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _shown(passes.run_passes(_datapoints(spark, sf_dir), passes.CHAT_TRAIN))
 
 
-@query("pass_synthetic")
+_MARKED = f"""{_B}, {_UNWOUND}, n AS (SELECT * REPLACE (CASE WHEN val = old THEN replace(state, concat(attr, '="', val, '"'), concat(attr, '="!!no_change!!"')) ELSE state END AS state), unnest(range(t % 3)) AS copy FROM u)
+    SELECT source_id, {_PROMPT} AS prompt, concat(source_id, ':', subject, ':', attr) AS id, val AS expected_value, attr, subject AS original_subject_id FROM n
+    UNION ALL SELECT source_id, {_PROMPT.replace("before, eve", "eve, before")}, concat(source_id, ':', subject, ':', attr), val, attr, subject FROM n"""
+
+
+@query("pass_chat_train_same_names", _MARKED)
+def pass_chat_train_same_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The training chain with nobody renamed."""
+    chain = [passes.unwind_stats, passes.duplicate, passes.rename(0.05, exclude=("Eve", "user", "assistant", "system")), passes.mirror(), passes.no_change]
+    return _shown(passes.run_passes(_datapoints(spark, sf_dir), chain))
+
+
+@query("pass_synthetic", _MARKED)
 def pass_synthetic(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _shown(passes.run_passes(_datapoints(spark, sf_dir), passes.SYNTHETIC))
 
@@ -246,21 +274,24 @@ def report_batch_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def report_epoch_uniqueness(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three shuffles cut into batches of ten, and how alike they are."""
-    from pyspark.sql import Window
-
     rows = entries(spark, sf_dir).distinct().filter("id IS NOT NULL").withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(2))))
     rows = rows.withColumn("_k", E.order_key(F.col("_ord"), F.col("epoch")))
-    place = F.row_number().over(Window.partitionBy("epoch").orderBy("_k")) - 1
-    return rounded(reports.epoch_uniqueness(rows.select("epoch", "id", F.floor(place / 10).alias("batch_id"))))
+    ranked = global_rank(rows.select("epoch", "id", "_k", "_ord"), F.col("epoch"), F.col("_k"), F.col("_ord"))
+    first = ranked.groupBy("epoch").agg(F.min("rank").alias("_first"))  # a row per epoch
+    ranked = ranked.join(F.broadcast(first), "epoch")
+    return rounded(reports.epoch_uniqueness(ranked.select("epoch", "id", F.floor((F.col("rank") - F.col("_first")) / 10).alias("batch_id"))))
 
 
 def _grouped(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return entries(spark, sf_dir).distinct().withColumn("epoch", (F.substring("_ord", 1, 12).cast("long") % 16).cast("int"))
+    """All entries, as so many epochs side by side that each can be engineered."""
+    rows = entries(spark, sf_dir).distinct()
+    n = max(16, -(-2 * rows.count() // batching.ENGINEERED_ROWS))
+    return rows.withColumn("epoch", F.pmod(F.xxhash64("_ord"), F.lit(n)).cast("int"))
 
 
 @query("batch_balanced")
 def batch_balanced(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Batches engineered by bucket and attribute, sixteen epochs side by side."""
+    """Batches engineered by bucket and attribute."""
     synthetic = F.substring("_ord", 14, 4).cast("int") == 7
     return batching.engineer(_grouped(spark, sf_dir), 24, batching.plan_balanced, synthetic=synthetic).select("_ord", "epoch", "batch_id", "pos")
 
@@ -270,7 +301,17 @@ def batch_by_attr(spark: SparkSession, sf_dir: str) -> DataFrame:
     return batching.engineer(_grouped(spark, sf_dir), 24, batching.plan_by_attr).select("_ord", "epoch", "batch_id", "pos")
 
 
-@query("batch_tokens")
+@query(
+    "batch_tokens",
+    f"""WITH RECURSIVE {ENTRIES_SQL}, x AS (SELECT _ord, len, row_number() OVER (PARTITION BY len ORDER BY _ord) - 1 AS i FROM b),
+    h AS (SELECT len, count(*) AS n, row_number() OVER (ORDER BY len) AS k FROM b GROUP BY len),
+    g AS (
+      SELECT k, len, cap, 0::BIGINT AS room, -1::BIGINT AS open_, ceil(n / cap)::BIGINT - 1 AS last_, n - (ceil(n / cap)::BIGINT - 1) * cap AS held FROM (SELECT *, greatest(1, 10000 // len) AS cap FROM h WHERE k = 1)
+      UNION ALL
+      SELECT k, len, cap, room, open_, open_ + ceil((n - room) / cap)::BIGINT, CASE WHEN n = room THEN held + room ELSE n - room - (ceil((n - room) / cap)::BIGINT - 1) * cap END
+      FROM (SELECT h.k, h.len, h.n, g.last_ AS open_, g.held, greatest(1, 10000 // h.len) AS cap, least(h.n, greatest(0, 10000 // h.len - g.held)) AS room FROM g JOIN h ON h.k = g.k + 1))
+    SELECT _ord, CASE WHEN open_ < 0 THEN i // cap WHEN i < room THEN open_ ELSE open_ + 1 + (i - room) // cap END AS batch_id FROM x JOIN g USING (len)""",
+)
 def batch_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return batching.token_batches(entries(spark, sf_dir).select("_ord", "prompt"), 10_000, F.length("prompt")).select("_ord", "batch_id")
 
@@ -298,7 +339,14 @@ def cache_move(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cache.move_source(parse.to_entries(_datapoints(spark, sf_dir)), "new.txt:1").select("id", "source_id")
 
 
-@query("stub_prompts")
+_CHANCE = "('0x' || left(sha1(concat_ws('#', id, '42', '{}')), 12))::BIGINT::DOUBLE / 281474976710656"
+
+
+@query(
+    "stub_prompts",
+    f"""WITH p AS (SELECT range AS id FROM range(1024)), s AS (SELECT id, floor(exp(ln(8.0::DOUBLE) + {_CHANCE.format(1)} * (ln(1025.0::DOUBLE) - ln(8.0::DOUBLE))))::INTEGER AS words, {_CHANCE.format(2)} AS c FROM p)
+    SELECT id, concat(CASE WHEN c < 0.5 THEN concat('key="v', id, '" ') ELSE '' END, array_to_string(list_transform(range(1, greatest(1, words) + 1), lambda i: concat('w', (id * 31 + i * 7) % 997)), ' ')) AS prompt FROM s""",
+)
 def stub_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.stub_prompts(spark, 1024)
 

@@ -9,7 +9,7 @@ synthetic rows are decontaminated if asked to.
 from __future__ import annotations
 
 import argparse
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,7 +32,7 @@ class Prepare:
     with_loss: bool = True
     budget: int = scoring.BATCH_TOKENS
     cache_path: str | None = None
-    scorer: type = scoring.HashScorer
+    scorer: Callable[[], scoring.Scorer] = scoring.HashScorer
 
 
 def prepare(files: DataFrame, options: Prepare | None = None) -> DataFrame:
@@ -47,7 +47,8 @@ def prepare(files: DataFrame, options: Prepare | None = None) -> DataFrame:
     if not options.cache_path:
         return _make(points, chain, options)
     spark = files.sparkSession
-    version = cache.run_version([p.__qualname__ for p in chain], {"stats": sorted(options.allowed_stats), "loss": options.with_loss, "scorer": options.scorer.__name__})
+    scored = {"scorer": cache.described(options.scorer), "budget": options.budget} if options.with_loss else None
+    version = cache.run_version(chain, {"stats": sorted(options.allowed_stats), "scored": scored})
     points = cut_lineage(points.withColumn("dp_key", passes.content_key()), "points")
     old = cache.read(spark, options.cache_path, CACHE_SCHEMA)
     known = old.filter(F.col("version") == version)
@@ -166,10 +167,18 @@ def main(argv: Sequence[str] | None = None) -> None:
     one.add_argument("--cache")
     one.add_argument("--no-loss", action="store_true")
     one.add_argument("--budget", type=int, default=scoring.BATCH_TOKENS)
+    one.add_argument("--model", help="an exported causal model to score by; needs --tokenizer")
+    one.add_argument("--tokenizer")
+    one.add_argument("--end-token")
     two = sub.add_parser("assemble")
-    for name, value in (("batch", 24), ("batches", 1000), ("regular", 500), ("eval-size", 540), ("epochs", 1), ("seed", 1337)):
-        two.add_argument(f"--{name}", type=int, default=value)
-    two.add_argument("--exclude-percent", type=float, default=0.0)
+    sizes = {"batch": "batch", "batches": "batches", "regular": "regular", "eval-size": "eval_size", "big-eval-size": "big_eval_size", "epochs": "epochs", "low-per-epoch": "low_per_epoch", "seed": "seed"}
+    for name, key in sizes.items():
+        two.add_argument(f"--{name}", type=int, default=getattr(Assembly, key))
+    for name in ("exclude-percent", "exclude-min"):
+        two.add_argument(f"--{name}", type=float, default=0.0)
+    two.add_argument("--clean-synthetic", action="store_true", help="synthetic rows lose the evaluation's ids, too")
+    two.add_argument("--engineered", action="store_true", help="plan batches row by row, epoch by epoch")
+    two.add_argument("--existing-eval", help="an evaluation set that is there already")
     two.add_argument("--synthetic")
     two.add_argument("--eval", required=True)
     zero = sub.add_parser("stage0")
@@ -187,7 +196,8 @@ def main(argv: Sequence[str] | None = None) -> None:
     if a.clean:
         writers.clean(spark, a.output)
     if a.job == "prepare":
-        options = Prepare(a.chain, filters.parse_stats(a.stats), not a.no_loss, a.budget, a.cache)
+        scorer = scoring.OnnxScorer(a.model, a.tokenizer, a.end_token) if a.model else scoring.HashScorer
+        options = Prepare(a.chain, filters.parse_stats(a.stats), not a.no_loss, a.budget, a.cache, scorer)
         writers.entries(prepare(readers.texts(spark, a.input), options), a.output, F.col("_ord"))
     elif a.job == "chats":
         writers.jsonl(chats(spark, a.input), a.output, F.col("_ord"))
@@ -200,7 +210,9 @@ def main(argv: Sequence[str] | None = None) -> None:
             parts = assemble_stage0(train, held, a.batch, a.epochs)
         else:
             synthetic = readers.jsonl(spark, a.synthetic) if a.synthetic else train.limit(0)
-            parts = assemble(train, synthetic, held, Assembly(a.batch, a.batches, a.regular, a.eval_size, epochs=a.epochs, exclude_percent=a.exclude_percent, seed=a.seed))
+            existing = readers.jsonl(spark, a.existing_eval) if a.existing_eval else None
+            given = {key: getattr(a, key) for key in [*sizes.values(), "exclude_percent", "exclude_min", "clean_synthetic", "engineered"]}
+            parts = assemble(train, synthetic, held, Assembly(**given, existing_eval=existing))
         for name, rows in parts.items():
             order = [F.col(c) for c in ("epoch", "batch_id", "pos") if c in rows.columns] or dedupe.order_by_length()
             writers.entries(rows, f"{a.output}/{name}", *order)
