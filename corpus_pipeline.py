@@ -3,6 +3,11 @@
 Every stage works on all rows that the one before kept, and its decisions take
 effect: rows or lines that it rejects are gone from its result. Results are
 written as Parquet and read again by the next stage.
+
+Defined results of every stage: rows with a null id or text, empty and very long texts,
+repeated rows and an empty table are handled as the stage's operator defines it; all
+columns of the input are passed on, whatever their names, in their order; a column that
+the stage doesn't need may be missing.
 """
 
 from __future__ import annotations
@@ -28,7 +33,9 @@ def own_columns(docs: DataFrame) -> list[Column]:
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a learned language stay; those without a letter, or of no likely language, go."""
+    """Documents without a letter go (null and empty texts, too), and those whose best learned
+    language isn't likely beside the others. A text in a language that was not learned
+    mostly resembles some learned one more than the rest, and then stays."""
     small_batches(spark)
     langs, model = langid.fit(docs, ~held_out("doc_id", 4))
     found = langid.predict(docs, langs, model, out="__language", score="__score")
@@ -36,15 +43,18 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that an earlier line repeats go, and documents that have no other lines."""
+    """Lines that an earlier line repeats go, and documents that have no other lines; n_chars,
+    where there is one, follows the text. Documents that lose nothing stay as they are."""
     small_batches(spark)
     left = lines.dedup_lines(docs, counts=("__lines", "__removed"), copy_words=1).filter((F.col("__removed") == 0) | (F.trim("text") != ""))
-    length = F.when(F.col("__removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
-    return left.withColumn("n_chars", length).select(*own_columns(docs))
+    if "n_chars" in docs.columns:
+        left = left.withColumn("n_chars", F.when(F.col("__removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
+    return left.select(*own_columns(docs))
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of every group of near duplicates the document with the smallest id stays."""
+    """Of every group of near duplicates the document with the smallest id stays, in all rows
+    that repeat it; documents with a null id or no words stay."""
     small_batches(spark)
     gone = minhash.near_duplicates(docs).filter(~F.col("kept")).select(F.col("doc_id").alias("__copy"), F.col("text_hash").alias("__hash")).distinct()
     gone = materialize(gone, "copies")
@@ -53,9 +63,9 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def benchmark_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a twentieth of their words in benchmark windows go."""
+    """Documents with a twentieth of their words in benchmark windows go; those without words stay."""
     found = winnow.find_spans(docs, table(spark, sf_dir, "benchmark"))
-    bad = found.filter(winnow.contaminated(F.col("n_hit"), F.col("n_words"))).select(F.col("doc_id").alias("__bad"), F.col("_text_hash").alias("__hash"))
+    bad = found.filter(winnow.contaminated(F.col("n_hit"), F.col("n_words"))).select(F.col("doc_id").alias("__bad"), F.col("_text_hash").alias("__hash")).distinct()
     bad = materialize(bad, "contaminated")
     some = broadcast_if(bad, bad.count(), winnow.BROADCAST_ROWS)
     same = F.col("doc_id").eqNullSafe(F.col("__bad")) & (F.xxhash64("text") == F.col("__hash"))
@@ -63,7 +73,7 @@ def benchmark_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, n_tokens, ids, decoded of every document that is left."""
+    """doc_id, n_tokens, ids, decoded of every row that is left; a null text has no tokens."""
     small_batches(spark)
     texts = docs.select("doc_id", "text")
     lexicon = bpe.train_lexicon(texts, TOKENIZER)
