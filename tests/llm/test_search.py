@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from threshline.llm import topk, urlfilter, winnow
@@ -25,6 +26,28 @@ def test_top_k_against_all_products(spark, monkeypatch):
     assert sorted(map(tuple, got.collect())) == sorted(want)
 
 
+@pytest.mark.parametrize("kind", ["normal", "small integers", "one list tells", "zeros"])
+def test_lists_keep_all_of_the_best(kind):
+    rng = np.random.default_rng(9)
+    for seed in range(20):
+        x = {"normal": lambda: rng.normal(size=(500, 12)) * 1000, "small integers": lambda: rng.integers(-2, 3, (500, 12)), "one list tells": lambda: rng.normal(size=(500, 12)) * [9000] + np.eye(12)[0] * 0, "zeros": lambda: np.zeros((500, 12))}[kind]().astype(np.int64)
+        q = x[seed].copy() if kind != "one list tells" else np.eye(12, dtype=np.int64)[seed % 12] * 700
+        scores = x @ q
+        for floor in (-np.inf, float(np.sort(scores)[-30])):
+            left = topk.Lists(x).read(q, 11, floor)
+            need = np.flatnonzero((scores > np.sort(scores)[-11]) & (scores >= floor))
+            assert len(set(left.tolist())) == len(left) and set(need) <= set(left.tolist())
+            if kind == "one list tells":
+                assert len(left) < 60  # most of the block was never met
+
+
+def test_huge_components_are_refused(spark):
+    for big in (1e18, 1e9):
+        rows = spark.createDataFrame([(0, [big, 1.0]), (1, [big, 0.5])], "vec_id long, embedding array<double>")
+        with pytest.raises(Exception, match="too large for integer scores"):
+            topk.top_k(rows, F.col("vec_id") == 0).collect()
+
+
 def test_top_k_of_few(spark):
     rows = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.5, 0.5])], "vec_id long, embedding array<float>")
     assert [tuple(r) for r in topk.top_k(rows, F.col("vec_id") == 0).collect()] == [(0, 1, 1, 512 * 1024)]
@@ -44,8 +67,9 @@ def judged(url):
 
 
 def test_urls(spark):
+    assert len(urlfilter.candidate_keys("a." * 20_000 + "net", "/de/8", [1, 2], [4, 5])) == 4
     rng = random.Random(3)
-    hosts, paths = ["example.com", "a.Example.COM", "b.net", "x.example.net", "y.org", "com", "notexample.com", "É.org", "", "com.", ".com"], ["/en/7", "/en/70?x", "/en/", "/en", "/de/8#y", "/de/9/z", "/es/", "", "?/en/", "/EN/7"]
+    hosts, paths = ["example.com", "a.Example.COM", "b.net", "x.example.net", "y.org", "com", "notexample.com", "É.org", "", "com.", ".com", "a." * 500 + "net", "x.y.z.example.com", "net"], ["/en/7", "/en/70?x", "/en/", "/en", "/de/8#y", "/de/9/z", "/es/", "", "?/en/", "/EN/7"]
     urls = [f"{s}://{h}{p}" for s in ("http", "x://y") for h in hosts for p in paths] + [None, "", "com/en/", "://", "http://a.com\n/en/7"]
     urls += [rng.choice(urls) for _ in range(50)]
     got = urlfilter.judge(spark.createDataFrame([(i, u, "x") for i, u in enumerate(urls)], "page_id long, url string, rule string"), RULES)

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,43 +9,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from threshline.storage import cut_lineage as materialize
+from threshline.storage import drop_tables, shared_dir, tables_written
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors see: ``spark.checkpoint.dir``, else one of our own (tests)."""
-    at = spark.conf.get("spark.checkpoint.dir", None)
-    if not at:
-        at = "file://" + tempfile.mkdtemp(prefix="threshline-")
-        spark.conf.set("spark.checkpoint.dir", at)
-    return at.rstrip("/")
-
-
-#: Tables that this process has written, by path, the oldest first.
-_WRITTEN: list[str] = []
-
-
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Cut lineage: write ``df`` into the shared folder and read it back.
-
-    A lost executor costs nothing then: the table is in shared storage.
-    """
-    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    _WRITTEN.append(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def tables_written() -> int:
-    return len(_WRITTEN)
-
-
-def drop_tables(spark: SparkSession, since: int, keep: DataFrame) -> None:
-    """Delete what ``materialize`` wrote after its first ``since`` tables, but not the
-    files that ``keep`` reads; for callers whose own result is written."""
-    kept = keep.inputFiles()
-    for path in _WRITTEN[since:]:
-        if not any(f"/{path.rsplit('/', 1)[1]}/" in f for f in kept):
-            target = spark._jvm.org.apache.hadoop.fs.Path(path)
-            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+__all__ = ["drop_tables", "materialize", "shared_dir", "tables_written"]
 
 
 def text_bytes(docs: DataFrame, column: str = "text") -> int:

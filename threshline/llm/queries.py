@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from public_tokenizers import path as tokenizer_file
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from threshline.llm import bpe, langid, lattice, lines, minhash, prefixfree, suffixtree, topk, urlfilter, winnow
-from threshline.llm.common import held_out, small_batches
+from threshline.llm.common import drop_tables, held_out, small_batches, tables_written
 from threshline.session import table
 
 TOKENIZER = tokenizer_file("word_bpe_49k.json")
@@ -102,18 +105,20 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
-QUERIES = {
-    "op1_lattice": op1_lattice,
-    "op2_langid": op2_langid,
-    "op3_minhash": op3_minhash,
-    "op4_suffixtree": op4_suffixtree,
-    "op5_lines": op5_lines,
-    "op6_prefixfree": op6_prefixfree,
-    "op7_url_cascade": op7_url_cascade,
-    "op8_bpe": op8_bpe,
-    "op9_winnow": op9_winnow,
-    "op10_topk": op10_topk,
-}
+def tidy(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """The query, without the written tables that its result doesn't read."""
+
+    @wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        before = tables_written()
+        out = query(spark, sf_dir)
+        drop_tables(spark, before, keep=out)
+        return out
+
+    return run
+
+
+QUERIES = {q.__name__: tidy(q) for q in (op1_lattice, op2_langid, op3_minhash, op4_suffixtree, op5_lines, op6_prefixfree, op7_url_cascade, op8_bpe, op9_winnow, op10_topk)}
 
 _HOST = r"translate(regexp_extract(url, '^(?s:.*?)://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 ORACLES = {

@@ -2,13 +2,14 @@
 
 In every block of candidates each dimension is a list sorted by its contribution
 to the score: by the component, downwards for a positive weight of the query and
-upwards for a negative one. The lists are read in step, deeper level by level; what
-has been read gives each candidate a lower bound (unread components count as the
-list's worst) and an upper bound (as the list's frontier). A query stops reading
-when the candidates whose upper bound reaches the k-th best lower bound are few;
-their final scores are then resolved as integers. Bounds of all queries and
-candidates of a block are matrix products. Blocks that follow start from the
-k-th best score that a task has found so far.
+upwards for a negative one. A query reads its lists in step from their best ends, some
+entries deeper each time, and never looks a candidate up in a list: what it knows of one
+is the sum of the entries that it has met. So a candidate has a lower bound (what was not
+met counts as its list's worst) and an upper bound (as the list's frontier), and all that
+were not met at all have one upper bound, the frontiers' sum. Reading stops when neither
+they nor any but few of those met can come to the k-th best lower bound; the final scores
+of those few are then resolved as integers. Blocks that follow start from the k-th best
+score that a task has found so far.
 
 Equal vectors of a block are one candidate with their k + 1 smallest ids, so a large
 group of copies costs one row. The query set is read in groups of fixed size, each
@@ -16,8 +17,10 @@ broadcast to all candidates; no vector is shuffled, only each task's best k.
 
 Defined results: a vector that is null or empty, or holds a null or non-finite component,
 takes no part; vectors of another length than the query's aren't its candidates; a
-query's own row is every row with its id; repeated query rows give one result; ties
-go to the smaller id; an empty table gives an empty table.
+query's own row is every row with its id; rows with a null id take no part; repeated query
+rows give one result; ties go to the smaller id; an empty table gives an empty table; other
+columns aren't read. Components so large that a score might not fit a long raise an
+``OverflowError`` instead of a wrong score.
 """
 
 from __future__ import annotations
@@ -37,8 +40,10 @@ from threshline.llm.common import materialize
 BLOCK = 4096
 #: Queries broadcast at once.
 QUERY_GROUP = 2048
-#: Shares of the lists read, level by level.
-LEVELS = (0.125, 0.25, 0.5, 0.75)
+#: Entries that are read of each list at first; each further step reads as many as before.
+STEP = 32
+#: Components and scores stay below, so that sums of doubles and longs are right.
+LARGEST = float(1 << 62)
 #: A query stops reading when so many times k candidates are left.
 LEFT = 4
 SCALE = 1024.0
@@ -57,7 +62,10 @@ def to_integers(column: pa.Array, ids: pa.Array) -> dict[int, tuple[np.ndarray,
         rows = np.flatnonzero(whole & (lengths == n))
         m = values[starts[rows][:, None] + np.arange(n)]
         fine = np.isfinite(m).all(axis=1)
-        out[int(n)] = (number[rows][fine], np.floor(SCALE * m[fine]).astype(np.int64))
+        scaled = np.floor(SCALE * m[fine])
+        if scaled.size and np.abs(scaled).max() >= LARGEST:
+            raise OverflowError("a vector's component is too large for integer scores")
+        out[int(n)] = (number[rows][fine], scaled.astype(np.int64))
     return out
 
 
@@ -69,44 +77,49 @@ def distinct_vectors(ids: np.ndarray, x: np.ndarray, keep: int) -> tuple[np.ndar
     return x[new], [part[:keep] for part in np.split(ids, new[1:])] if len(x) else []
 
 
-def read_lists(x: np.ndarray, q: np.ndarray, k: int, floor: np.ndarray) -> list[np.ndarray]:
-    """For each query, the candidates of the block that may be among its k best.
-
-    ``floor``: scores that queries have reached k times elsewhere.
-    """
-    m = len(x)
-    if m <= k * LEFT:
-        return [np.arange(m)] * len(q)
-    xf, qf = x.astype(np.float64), q.astype(np.float64)
-    up, down = np.maximum(qf, 0), np.minimum(qf, 0)
-    order = np.argsort(x, axis=0, kind="stable")
-    rank = np.empty_like(order)
-    np.put_along_axis(rank, order, np.broadcast_to(np.arange(m)[:, None], order.shape), axis=0)
-    low, high = xf.min(axis=0), xf.max(axis=0)
-    slack = 1e-9 * (np.abs(qf) @ np.maximum(np.abs(low), np.abs(high))) + 1e-6
-    out: list[np.ndarray | None] = [None] * len(q)
-    active = np.arange(len(q))
-    for share in (*LEVELS, 1.0):
-        if not len(active):
-            break
-        depth = max(k, math.ceil(share * m))
-        if depth >= m:
-            best = worst = qf[active] @ xf.T
-        else:
-            above, below = rank >= m - depth, rank < depth  # read from the top, from the bottom
-            first, last = np.take_along_axis(xf, order[m - depth][None], 0)[0], np.take_along_axis(xf, order[depth - 1][None], 0)[0]
-            a, b = up[active], down[active]
-            # read components count as they are, others as the frontier or as the list's worst
-            best = a @ np.where(above, xf, first).T + b @ np.where(below, xf, last).T
-            worst = a @ np.where(above, xf, low).T + b @ np.where(below, xf, high).T
-        reach = np.maximum(np.partition(worst, m - k, axis=1)[:, m - k], floor[active])
-        may = best >= (reach - slack[active])[:, None]
-        left = may.sum(axis=1)
-        stop = (left <= k * LEFT) | (depth >= m)
-        for i in np.flatnonzero(stop):
-            out[active[i]] = np.flatnonzero(may[i])
-        active = active[~stop]
-    return [x if x is not None else np.zeros(0, int) for x in out]
+class Lists:
+    """A block's candidates, sorted by each dimension."""
+
+    def __init__(self, x: np.ndarray):
+        self.x = x.astype(np.float64)
+        self.order = np.argsort(x, axis=0, kind="stable")
+        self.values = np.take_along_axis(self.x, self.order, axis=0)
+
+    def read(self, q: np.ndarray, k: int, floor: float) -> np.ndarray:
+        """The candidates that may be among the query's ``k`` best; ``floor``: a score that
+        it has reached k times elsewhere."""
+        m = len(self.x)
+        used = np.flatnonzero(q)
+        if m <= k * LEFT or not len(used):
+            return np.arange(m)
+        weight = q[used].astype(np.float64)
+        down = weight > 0  # read from the largest component on
+        worst = np.where(down, self.values[0, used], self.values[-1, used]) * weight
+        slack = 1e-9 * float((np.abs(weight) * np.maximum(np.abs(self.values[0, used]), np.abs(self.values[-1, used]))).sum()) + 1e-6
+        lower = np.full(m, worst.sum())
+        met = np.zeros((m, len(used)), bool)
+        seen = np.zeros(m, bool)
+        alive = np.zeros(0, np.int64)
+        depth = 0
+        while depth < m:
+            until = min(m, max(STEP, k, 2 * depth))
+            rows = np.where(down, m - 1 - np.arange(depth, until)[:, None], np.arange(depth, until)[:, None])
+            who = self.order[rows, used]
+            gained = self.values[rows, used] * weight - worst
+            lower += np.bincount(who.ravel(), gained.ravel(), minlength=m)
+            met[who, np.arange(len(used))] = True
+            fresh = np.unique(who[~seen[who]])
+            seen[fresh] = True
+            depth = until
+            frontier = self.values[rows[-1], used] * weight
+            known = np.concatenate([alive, fresh])
+            bar = max(floor, np.partition(lower[known], len(known) - k)[len(known) - k]) if len(known) >= k else floor
+            # unmet entries of those met: the frontier in place of the worst
+            upper = lower[known] + (~met[known]) @ (frontier - worst)
+            alive = known[upper >= bar - slack]
+            if frontier.sum() < bar - slack and len(alive) <= k * LEFT:
+                break
+        return alive if seen.all() or frontier.sum() < bar - slack else np.concatenate([alive, np.flatnonzero(~seen)])
 
 
 def block_best(ids: np.ndarray, x: np.ndarray, qids: np.ndarray, q: np.ndarray, k: int, best: list[tuple[np.ndarray, np.ndarray]]) -> None:
@@ -114,8 +127,11 @@ def block_best(ids: np.ndarray, x: np.ndarray, qids: np.ndarray, q: np.ndarray,
     rows, owners = distinct_vectors(ids, x, k + 1)
     if not len(rows):
         return
-    floor = np.array([s[k - 1] if len(s) >= k else -np.inf for s, _ in best], np.float64)
-    for i, left in enumerate(read_lists(rows, q, k + 1, floor)):
+    if len(q) and float(np.abs(rows).max()) * float(np.abs(q).max()) * q.shape[1] >= LARGEST:
+        raise OverflowError("vectors' components are too large for integer scores")
+    lists = Lists(rows)
+    for i, (known, _) in enumerate(best):
+        left = lists.read(q[i], k + 1, float(known[k - 1]) if len(known) >= k else -math.inf)
         score = rows[left] @ q[i]
         found = np.concatenate([owners[j] for j in left]) if len(left) else np.zeros(0, np.int64)
         scores = np.repeat(score, [len(owners[j]) for j in left])

@@ -1,8 +1,8 @@
 """URL rules by a Bloom filter cascade (operator 7).
 
 A url's keys are every (host or parent domain, path prefix) that some rule could
-equal: all its domain suffixes times the lengths of path prefixes among the
-rules. Over this complete universe of the corpus's keys the cascade makes Bloom
+equal: its domain suffixes of as many labels as some rule has, times the lengths of path
+prefixes among the rules. Over this complete universe of the corpus's keys the cascade makes Bloom
 membership exact: level 1 holds the listed keys, level 2 the keys of the universe
 that level 1 takes wrongly, level 3 the listed keys that level 2 takes wrongly, and
 so on until a level takes none wrongly. A key is listed if the first level that
@@ -11,7 +11,8 @@ The verdict is then read off broadcast bits; no join of the pages is needed.
 
 Defined results: a null url, or one without ``://``, has empty host and path, fits
 no rule and is allowed; repeated rows each give a row; an empty table gives an
-empty table. The longest rule wins (host and path together; a host cannot fit two
+empty table; other columns pass through, but columns named like the outputs give way to
+them. Very long urls have no more keys than short ones. The longest rule wins (host and path together; a host cannot fit two
 rules of one length); among equal rules of both kinds, block wins.
 """
 
@@ -102,8 +103,8 @@ def build_cascade(listed: DataFrame, universe: DataFrame) -> Cascade:
         if not n and levels:
             break
         level = Bloom.sized(n, RATES[min(i, 1)])
-        for r in _bits(keys, level, i).toLocalIterator():
-            level.words[r.word] = np.uint64(r.bits & 0xFFFFFFFFFFFFFFFF)
+        got = _bits(keys, level, i).toArrow()  # a row per word of bits
+        level.words[got["word"].to_numpy()] = got["bits"].to_numpy().view(np.uint64)
         levels.append(level)
     else:
         raise ValueError("the cascade does not converge: raise MAX_BITS")
@@ -148,10 +149,12 @@ def path_of(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, r"(?s)^.*?://[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
-def candidate_keys(host: str, path: str, lengths: list[int]) -> list[str]:
-    """Every key of a url that a rule could equal, the longest first."""
-    parts = host.split(".")
-    hosts = [".".join(parts[i:]) for i in range(len(parts))]
+def candidate_keys(host: str, path: str, labels: list[int], lengths: list[int]) -> list[str]:
+    """Every key of a url that a rule of so many ``labels`` and path ``lengths`` could
+    equal, the longest first."""
+    parts = host.rsplit(".", max(labels, default=1))
+    n = host.count(".") + 1
+    hosts = [".".join(parts[-i:]) if i < n else host for i in labels if i <= n]
     keys = {h + path[:n] for h in hosts for n in lengths if len(path) >= n}
     return sorted(keys, key=lambda k: (-len(k), k))
 
@@ -166,8 +169,8 @@ def judge(pages: DataFrame, rules: list[tuple[str, str, str]], url: str = "url")
     spark = pages.sparkSession
     kept = pages.drop("host", "path", "rule", "verdict")
     parts = kept.withColumns({"host": host_of(F.col(url)), "path": path_of(F.col(url))})
-    lengths = sorted({len(p) for _, _, p in rules})
-    universe = parts.select("host", "path").mapInArrow(_key_rows(lengths), "key string")
+    shapes = sorted({h.count(".") + 1 for _, h, _ in rules}), sorted({len(p) for _, _, p in rules})
+    universe = parts.select("host", "path").mapInArrow(_key_rows(*shapes), "key string")
     cascades = {}
     for kind in ("block", "allow"):
         listed = spark.createDataFrame([(h + p,) for k, h, p in rules if k == kind], "key string")
@@ -180,7 +183,7 @@ def judge(pages: DataFrame, rules: list[tuple[str, str, str]], url: str = "url")
         for batch in batches:
             keys, owner = [], []
             for i, (h, p) in enumerate(zip(batch.column(at[0]).to_pylist(), batch.column(at[1]).to_pylist(), strict=True)):
-                mine = candidate_keys(h, p, lengths) if h else []
+                mine = candidate_keys(h, p, *shapes) if h else []
                 keys += mine
                 owner += [i] * len(mine)
             block, allow = made["block"].listed(keys), made["allow"].listed(keys)
@@ -193,13 +196,13 @@ def judge(pages: DataFrame, rules: list[tuple[str, str, str]], url: str = "url")
     return parts.mapInArrow(run, T.StructType([*parts.schema.fields, T.StructField("rule", T.StringType()), T.StructField("verdict", T.StringType())]))
 
 
-def _key_rows(lengths: list[int]):
+def _key_rows(labels: list[int], lengths: list[int]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys: set[str] = set()
             for h, p in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 if h:
-                    keys.update(candidate_keys(h, p, lengths))
+                    keys.update(candidate_keys(h, p, labels, lengths))
             yield pa.RecordBatch.from_pydict({"key": pa.array(sorted(keys), pa.string())})
 
     return run
