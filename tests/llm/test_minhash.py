@@ -61,6 +61,18 @@ def test_chunks_of_a_bucket(spark, monkeypatch):
     base = [f"w{rng.randrange(10**6)}" for _ in range(120)]
     rows = [(i, " ".join(edited(rng, base, 5)), "x") for i in range(90)]
     check(spark, rows, 3, 85)
+    monkeypatch.setattr(minhash, "CHUNK_SHINGLES", 500)
+    check(spark, [(i, t, e) for i, t, e in rows if i % 2], 3, 85)
+
+
+def test_rows_of_one_id_with_several_texts(spark):
+    rng = random.Random(8)
+    texts = [[f"w{rng.randrange(10**6)}" for _ in range(60)] for _ in range(8)]
+    rows = [(5, " ".join(t), "x") for t in texts[:4]]  # four texts that only their id links
+    rows += [(10 + i, " ".join(edited(rng, t, 1)), "x") for i, t in enumerate(texts)]  # a near copy of each
+    rows += [(3, " ".join(texts[4]), "x"), (3, " ".join(texts[5]), "x"), (4, " ".join(texts[5]), "x"), (4, " ".join(texts[6]), "x")]
+    rng.shuffle(rows)
+    check(spark, rows, 3, 85)
 
 
 def test_edges(spark):

@@ -9,25 +9,28 @@ threshold is confirmed on the full sets, which are made from the texts anew.
 
 Equal sets are one class, represented by its smallest doc_id, so copies are never
 paired. In a band's bucket every class is first paired with the smallest one (a
-star), then with its middle one; classes of one component need no further pair. Only
-where a bucket still holds several components, the members that may be linked across
-them are compared on their full sets in one place, which gives no pairs but the links
-that join components. A link at the threshold is in no common
-band with probability below 1e-9 for 80 percent and above.
+star), then in chunks with each chunk's middle one; classes of one component need no
+further pair. Only where a bucket still holds several components, the members outside its
+largest one are compared with all, chunk against chunk: first their bits, then the full sets
+of those that may be linked, which gives no pairs but the links that join components. A
+bucket is never gathered: chunks have a bounded number of members and of shingles. A link at
+the threshold is in no common band with probability below 1e-9 for 80 percent and above.
 
 Defined results: null or blank text has an empty set and is linked with nothing;
 rows with equal doc_id are one document, whose texts count as linked; rows with
-null doc_id are kept and linked with nothing; an empty table gives an empty table.
+null doc_id are kept and linked with nothing; an empty table gives an empty table; very
+long texts are compared whole; only the id and the text are read, so other columns,
+whatever their names, don't matter.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from threshline.llm.common import broadcast_if, materialize
@@ -38,9 +41,11 @@ BANDS, ROWS, BITS = 40, 4, 2
 MARGIN = 0.24
 #: Members confirmed against one copy of a leader's text.
 MEMBERS = 64
-#: Members of a bucket that are compared with each other in memory; a larger bucket is
-#: compared chunk against chunk.
-CHUNK = 512
+#: Members of a bucket, and their shingles, that are compared with as many others in memory; a
+#: larger bucket is compared chunk against chunk.
+CHUNK, CHUNK_SHINGLES = 512, 1_000_000
+#: Ids of classes whose first document has another text, too, begin here.
+SPARE = 1 << 62
 BROADCAST_ROWS = 500_000
 CACHE_WORDS = 100_000
 _SEEDS = np.random.default_rng(20240229)
@@ -180,81 +185,95 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), -1)
 
 
-def medoids(members: DataFrame, percent: int) -> DataFrame:
-    """Likely pairs of each bucket's middle member and members of other components: the
-    middle is the member nearest to the bits that most members have."""
+def _chunks(members: str, weight: str) -> Column:
+    """How many chunks so many members with so many shingles make."""
+    return F.greatest(F.lit(1), F.ceil(F.col(members) / CHUNK), F.ceil(F.col(weight) / CHUNK_SHINGLES)).cast("long")
 
-    def pairs(nodes: list, roots: list, sigs: list, _) -> list[tuple[int, int]]:
+
+def medoids(opened: DataFrame, stats: DataFrame, sides: DataFrame, percent: int) -> DataFrame:
+    """Likely pairs of the middle member of each chunk of a bucket and the chunk's members of
+    other components: the middle is the member nearest to the bits that most members have."""
+
+    def pairs(_: tuple, rows: list[tuple]) -> list[tuple[int, int]]:
+        nodes, roots, sigs = zip(*rows, strict=True)
+        if len(set(roots)) < 2:
+            return []
         s = np.frombuffer(b"".join(sigs), np.uint8).reshape(len(nodes), -1)
         common = np.packbits(np.unpackbits(s, axis=1).mean(axis=0) >= 0.5)
         m = int(estimate(s, common[None]).argmax())
         near = np.flatnonzero(estimate(s, s[m][None]) >= percent / 100 - MARGIN)
         return [(min(nodes[m], nodes[i]), max(nodes[m], nodes[i])) for i in near if roots[i] != roots[m]]
 
-    return _per_bucket(members, pairs, "a long, b long").distinct()
+    chunk = F.pmod(F.xxhash64("node"), _chunks("n", "weight"))
+    members = _with(opened, stats, "key").select("key", chunk.alias("chunk"), "node", "root").join(sides.select("node", "planes"), "node")
+    return _per_group(members.select("key", "chunk", "node", "root", "planes"), 2, pairs, "a long, b long").distinct()
 
 
-def units(members: DataFrame, percent: int) -> DataFrame:
+def units(opened: DataFrame, stats: DataFrame, sides: DataFrame, percent: int) -> DataFrame:
     """(unit, node): members to compare in full, by pairs of chunks of a bucket.
 
+    A chunk of members outside the bucket's largest component meets a chunk of all members.
     Only members with a likely partner in another component come, and a pair's partners
     come for the first band that they share, not for each.
     """
 
-    def wanted(nodes: list, roots: list, sigs: list, row: tuple) -> list[tuple[int, int]]:
-        key, keys = row
-        r = np.array(roots)
-        # Members of the largest component come last: its own pairs are never looked at.
-        names, sizes = np.unique(r, return_counts=True)
-        largest = r == names[sizes.argmax()]
-        order = np.argsort(largest, kind="stable")
-        minor, r, n = int((~largest).sum()), r[order], np.array(nodes)[order]
-        s = np.frombuffer(b"".join(sigs), np.uint8).reshape(len(r), -1)[order]
-        k = np.frombuffer(b"".join(keys), np.uint32).reshape(len(r), -1)[order]
+    def wanted(key: tuple, rows: list[tuple]) -> list[tuple[int, int]]:
+        left, nodes, roots, sigs, keys = zip(*rows, strict=True)
+        left, r = np.array(left), np.array(roots)
+        s = np.frombuffer(b"".join(sigs), np.uint8).reshape(len(r), -1)
+        k = np.frombuffer(b"".join(keys), np.uint32).reshape(len(r), -1)
         here = int(np.flatnonzero((k == k[0]).all(axis=0))[0])
-        out = []
-        for i in range(0, minor, CHUNK):
-            for j in range(i, len(r), CHUNK):
-                used: set[int] = set()
-                for at in range(i, min(i + CHUNK, minor), 64):
-                    rows = slice(at, min(at + 64, i + CHUNK, minor))
-                    near = estimate(s[rows, None], s[None, j : j + CHUNK]) >= percent / 100 - MARGIN
-                    x, y = np.nonzero(near & (r[rows, None] != r[None, j : j + CHUNK]))
-                    x, y = x + at, y + j
-                    first = ~(k[x, :here] == k[y, :here]).any(axis=1)
-                    used.update(x[first].tolist(), y[first].tolist())
-                unit = xxhash.xxh3_64_intdigest(f"{key}/{i}/{j}") - (1 << 63)
-                out += [(unit, x) for x in n[sorted(used)].tolist()]
-        return out
-
-    return _per_bucket(members, wanted, "unit long, node long", keys=True)
-
-
-def _per_bucket(members: DataFrame, found, schema: str, keys: bool = False) -> DataFrame:
-    """Run ``found`` on each bucket that holds several components. What a bucket holds in
+        i, j = np.flatnonzero(left), np.flatnonzero(~left)
+        used: set[int] = set()
+        for at in range(0, len(i), 64):
+            part = i[at : at + 64]
+            near = estimate(s[part, None], s[None, j]) >= percent / 100 - MARGIN
+            x, y = np.nonzero(near & (r[part, None] != r[None, j]))
+            x, y = part[x], j[y]
+            first = ~(k[x, :here] == k[y, :here]).any(axis=1)
+            used.update(x[first].tolist(), y[first].tolist())
+        unit = xxhash.xxh3_64_intdigest(repr(key)) - (1 << 63)
+        return [(unit, n) for n in {nodes[x] for x in used}]
+
+    placed = _with(opened, stats, "key").withColumn("minor", F.col("root") != F.col("largest"))
+    a, b = _chunks("n_minor", "weight_minor"), _chunks("n", "weight")
+    own = lambda salt, n: F.pmod(F.xxhash64(F.lit(salt), F.col("node")), n)
+    left = placed.filter("minor").select("key", own(1, a).alias("a"), F.explode(F.sequence(F.lit(0), b - 1)).alias("b"), F.lit(True).alias("left"), "node", "root")
+    right = placed.select("key", F.explode(F.sequence(F.lit(0), a - 1)).alias("a"), own(2, b).alias("b"), F.lit(False).alias("left"), "node", "root")
+    members = left.unionByName(right).join(sides.select("node", "planes", "short"), "node")
+    return _per_group(members.select("key", "a", "b", "left", "node", "root", "planes", "short"), 3, wanted, "unit long, node long")
+
+
+def _per_group(members: DataFrame, n_keys: int, found: Callable[[tuple, list[tuple]], list[tuple[int, int]]], schema: str) -> DataFrame:
+    """Run ``found`` on each group by the first ``n_keys`` columns. What a group holds in
     memory is signatures, not texts."""
     names = [x.split()[0] for x in schema.split(", ")]
-    columns = ["key", "node", "root", "planes", *(["short"] if keys else [])]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, held = None, []
 
         def done() -> pa.RecordBatch:
-            several = len({h[1] for h in held}) > 1
-            out = found([h[0] for h in held], [h[1] for h in held], [h[2] for h in held], (key, [h[3] for h in held])) if several else []
+            out = found(key, held)
             return pa.RecordBatch.from_pydict({n: pa.array([o[i] for o in out], pa.int64()) for i, n in enumerate(names)})
 
         for batch in batches:
-            for k, *row in zip(*(batch.column(i).to_pylist() for i in range(batch.num_columns)), *([[None] * batch.num_rows] if not keys else []), strict=True):
-                if k != key:
+            for row in zip(*(batch.column(i).to_pylist() for i in range(batch.num_columns)), strict=True):
+                if row[:n_keys] != key:
                     if held:
                         yield done()
-                    key, held = k, []
-                held.append(row)
+                    key, held = row[:n_keys], []
+                held.append(row[n_keys:])
         if held:
             yield done()
 
-    return members.select(*columns).repartition("key").sortWithinPartitions("key", "node").mapInArrow(run, schema)
+    keys = members.columns[:n_keys]
+    return members.repartition(*keys).sortWithinPartitions(*keys, "node").mapInArrow(run, schema)
+
+
+def _with(rows: DataFrame, table: DataFrame, key: str) -> DataFrame:
+    """Rows with a written table's columns: it is broadcast if counted small, else both
+    sides are plain shuffles, which Spark splits at a frequent key."""
+    return rows.join(broadcast_if(table, table.count(), BROADCAST_ROWS), key)
 
 
 def shingle_sets(texts: DataFrame, k: int) -> DataFrame:
@@ -326,11 +345,22 @@ def confirm_units(units: DataFrame, percent: int) -> DataFrame:
     return stream.mapInArrow(run, "a long, b long")
 
 
-def _open(members: DataFrame, roots: DataFrame) -> DataFrame:
-    """(key, node, root) of the buckets that hold several components."""
+def _open(members: DataFrame, roots: DataFrame, sizes: DataFrame) -> tuple[DataFrame, DataFrame, int]:
+    """(key, node, root) of the buckets that hold several components, a row for each such
+    bucket (key, n, weight, largest, n_minor, weight_minor), and their number.
+
+    ``sizes``: (node, n_shingles).
+    """
     placed = members.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
-    split = placed.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y").select("key")
-    return placed.join(split, "key")
+    several = placed.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y").select("key")
+    opened = materialize(_with(placed, materialize(several, "several"), "key"), "opened")
+    parts = opened.join(sizes, "node").groupBy("key", "root").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("weight"))
+    stats = parts.groupBy("key").agg(
+        F.sum("n").alias("n"), F.sum("weight").alias("weight"), F.max_by(F.struct("root", "n", "weight"), F.struct("n", -F.col("root"))).alias("most")
+    )
+    stats = stats.select("key", "n", "weight", F.col("most.root").alias("largest"), (F.col("n") - F.col("most.n")).alias("n_minor"), (F.col("weight") - F.col("most.weight")).alias("weight_minor"))
+    stats = materialize(stats, "buckets_open")
+    return opened, stats, stats.count()
 
 
 def _links_of(roots: DataFrame) -> DataFrame:
@@ -342,46 +372,71 @@ def _short_keys(bands: str):
     return F.unhex(F.array_join(F.transform(bands, lambda b: F.lpad(F.hex(b.bitwiseAND(F.lit(0xFFFFFFFF))), 8, "0")), ""))
 
 
+def _classes(full: DataFrame) -> DataFrame:
+    """A row per distinct set: print, doc_id (the smallest), text_hash, n_shingles, bands,
+    planes, and node, the number that stands for it.
+
+    The node is the doc_id; where a document with several texts is the first of several
+    sets, those but one get numbers of their own, larger than any id.
+    """
+    classes = full.groupBy("print").agg(
+        F.min(F.struct("doc_id", "text_hash")).alias("first"), F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands"), F.first("planes").alias("planes")
+    )
+    classes = materialize(classes.select("print", "first.*", "n_shingles", "bands", "planes"), "classes")
+    shared = classes.groupBy("doc_id").agg(F.count("*").alias("n"), F.min("print").alias("sole")).filter("n > 1").select("doc_id", "sole")
+    shared = materialize(shared, "shared_ids")
+    n = shared.count()
+    if not n:
+        return classes.withColumn("node", F.col("doc_id"))
+    spare = F.lit(SPARE) + F.pmod(F.xxhash64("print"), F.lit(SPARE))
+    marked = classes.join(broadcast_if(shared, n, BROADCAST_ROWS), "doc_id", "left")
+    return marked.withColumn("node", F.when(F.coalesce(F.col("sole") != F.col("print"), F.lit(False)), spare).otherwise(F.col("doc_id"))).drop("sole")
+
+
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: doc_id, text_hash, n_shingles, component_id, kept."""
     sets = materialize(signatures(docs, k, doc_id, text), "sets")
     full = sets.filter("print IS NOT NULL AND doc_id IS NOT NULL")
-    classes = full.groupBy("print").agg(F.min(F.struct("doc_id", "text_hash")).alias("first"), F.first("bands").alias("bands"), F.first("planes").alias("planes"))
-    classes = materialize(classes.select("print", F.col("first.doc_id").alias("node"), F.col("first.text_hash").alias("text_hash"), "bands", "planes"), "classes")
+    classes = _classes(full)
 
     keys = classes.select(F.explode("bands").alias("key"), "node")
     shared = keys.groupBy("key").agg(F.min("node").alias("leader"), F.count("*").alias("size")).filter("size > 1")
-    buckets = materialize(keys.join(shared, "key"), "buckets")
+    buckets = materialize(_with(keys, materialize(shared, "shared"), "key"), "buckets")
 
     # Classes whose documents share a doc_id are linked without a test.
-    same = full.groupBy("doc_id").agg(F.min("print").alias("x"), F.max("print").alias("y")).filter("x <> y")
-    firsts = classes.select("print", "node")
-    same = same.join(firsts.select(F.col("print").alias("x"), F.col("node").alias("a")), "x").join(firsts.select(F.col("print").alias("y"), F.col("node").alias("b")), "y").select("a", "b")
+    several = full.groupBy("doc_id").agg(F.min("print").alias("x"), F.max("print").alias("y")).filter("x <> y").select("doc_id", "x")
+    several = materialize(several, "several_texts")
+    nodes = classes.select("print", "node")
+    same = _with(full.select("doc_id", "print"), several, "doc_id").filter("x <> print").select("x", "print").distinct()
+    same = same.join(nodes.select(F.col("print").alias("x"), F.col("node").alias("a")), "x").join(nodes.withColumnRenamed("node", "b"), "print").select("a", "b")
 
     star = buckets.filter("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
-    planes_of = classes.select("node", "planes").dropDuplicates(["node"])
-    star = materialize(likely(star, planes_of, percent), "star")
+    star = materialize(likely(star, classes, percent), "star")
 
     members = star.select(F.col("a").alias("node")).unionByName(star.select(F.col("b").alias("node")))
     rest = buckets.filter("size > 2").select("node")
-    wanted = members.unionByName(rest).distinct().join(classes.select("node", "text_hash"), "node")
-    wanted = materialize(wanted.groupBy("node").agg(F.min("text_hash").alias("text_hash")), "wanted")
+    wanted = materialize(members.unionByName(rest).distinct().join(classes.select("node", "doc_id", "text_hash"), "node"), "wanted")
     some = broadcast_if(wanted, wanted.count(), BROADCAST_ROWS)
-    rows = docs.select(F.col(doc_id).cast("long").alias("node"), F.col(text).alias("text")).withColumn("text_hash", F.xxhash64("text"))
-    texts = materialize(rows.join(some, ["node", "text_hash"]).dropDuplicates(["node"]).select("node", "text"), "texts")
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).withColumn("text_hash", F.xxhash64("text"))
+    texts = materialize(rows.join(some, ["doc_id", "text_hash"]).dropDuplicates(["node"]).select("node", "text"), "texts")
 
     links = materialize(confirm(star, texts, k, percent).unionByName(same), "confirmed")
     roots = components(links)
     # Buckets of three and more that still hold several components: first a star around
-    # their middle, then all pairs of components, compared where they are.
+    # each chunk's middle, then the other components against all, chunk by chunk.
     large = materialize(buckets.filter("size > 2").select("key", "node"), "large")
-    middle = materialize(medoids(_open(large, roots).join(planes_of, "node"), percent).join(star, ["a", "b"], "left_anti"), "medoids")
-    roots = components(confirm(middle, texts, k, percent).unionByName(_links_of(roots)))
-    short = classes.select("node", "planes", _short_keys("bands").alias("short")).dropDuplicates(["node"])
-    compared = materialize(units(_open(large, roots).join(short, "node"), percent), "units")
-    sets_of = shingle_sets(texts.join(compared.select("node").distinct(), "node", "left_semi"), k)
-    whole = compared.join(materialize(sets_of, "full"), "node").join(roots, "node", "left").select("unit", "node", F.coalesce("root", "node").alias("root"), "shingles")
-    roots = components(materialize(confirm_units(whole, percent), "more").unionByName(_links_of(roots)))
+    sizes = classes.select("node", "n_shingles")
+    opened, stats, n = _open(large, roots, sizes)
+    if n:
+        sides = classes.select("node", "planes", _short_keys("bands").alias("short"))
+        middle = materialize(medoids(opened, stats, sides, percent).join(star, ["a", "b"], "left_anti"), "medoids")
+        roots = components(confirm(middle, texts, k, percent).unionByName(_links_of(roots)))
+        opened, stats, n = _open(opened.select("key", "node"), roots, sizes)
+    if n:
+        compared = materialize(units(opened, stats, sides, percent), "units")
+        sets_of = shingle_sets(texts.join(compared.select("node").distinct(), "node", "left_semi"), k)
+        whole = compared.join(materialize(sets_of, "full"), "node").join(roots, "node", "left").select("unit", "node", F.coalesce("root", "node").alias("root"), "shingles")
+        roots = components(materialize(confirm_units(whole, percent), "more").unionByName(_links_of(roots)))
 
     placed = classes.select("print", "node").join(roots, "node", "left").select("print", F.coalesce("root", "node").alias("component"))
     out = sets.select("doc_id", "text_hash", "n_shingles", "print").join(placed, "print", "left")
