@@ -40,8 +40,9 @@ from threshline.llm.common import materialize
 BLOCK = 4096
 #: Queries broadcast at once.
 QUERY_GROUP = 2048
-#: Entries that are read of each list at first; each further step reads as many as before.
-STEP = 32
+#: Entries that are read of each list at first; each further step reads as many as before, but
+#: no more than a share of the list.
+STEP, STEPS = 64, 16
 #: Components and scores stay below, so that sums of doubles and longs are right.
 LARGEST = float(1 << 62)
 #: A query stops reading when so many times k candidates are left.
@@ -78,48 +79,46 @@ def distinct_vectors(ids: np.ndarray, x: np.ndarray, keep: int) -> tuple[np.ndar
 
 
 class Lists:
-    """A block's candidates, sorted by each dimension."""
+    """A block's candidates, sorted by each dimension: a row per list, ascending."""
 
     def __init__(self, x: np.ndarray):
-        self.x = x.astype(np.float64)
-        self.order = np.argsort(x, axis=0, kind="stable")
-        self.values = np.take_along_axis(self.x, self.order, axis=0)
+        self.size = len(x)
+        self.order = np.ascontiguousarray(np.argsort(x, axis=0, kind="stable").T)
+        self.values = np.take_along_axis(np.ascontiguousarray(x.T.astype(np.float64)), self.order, axis=1)
 
     def read(self, q: np.ndarray, k: int, floor: float) -> np.ndarray:
         """The candidates that may be among the query's ``k`` best; ``floor``: a score that
         it has reached k times elsewhere."""
-        m = len(self.x)
-        used = np.flatnonzero(q)
+        m, used = self.size, np.flatnonzero(q)
         if m <= k * LEFT or not len(used):
             return np.arange(m)
         weight = q[used].astype(np.float64)
         down = weight > 0  # read from the largest component on
-        worst = np.where(down, self.values[0, used], self.values[-1, used]) * weight
-        slack = 1e-9 * float((np.abs(weight) * np.maximum(np.abs(self.values[0, used]), np.abs(self.values[-1, used]))).sum()) + 1e-6
+        low, high = self.values[used, 0], self.values[used, -1]
+        worst = np.where(down, low, high) * weight
+        slack = 1e-9 * float((np.abs(weight) * np.maximum(np.abs(low), np.abs(high))).sum()) + 1e-6
         lower = np.full(m, worst.sum())
-        met = np.zeros((m, len(used)), bool)
-        seen = np.zeros(m, bool)
-        alive = np.zeros(0, np.int64)
+        met = np.zeros((len(used), m))
+        sides = [(np.flatnonzero(down), True), (np.flatnonzero(~down), False)]
         depth = 0
-        while depth < m:
-            until = min(m, max(STEP, k, 2 * depth))
-            rows = np.where(down, m - 1 - np.arange(depth, until)[:, None], np.arange(depth, until)[:, None])
-            who = self.order[rows, used]
-            gained = self.values[rows, used] * weight - worst
-            lower += np.bincount(who.ravel(), gained.ravel(), minlength=m)
-            met[who, np.arange(len(used))] = True
-            fresh = np.unique(who[~seen[who]])
-            seen[fresh] = True
+        while True:
+            until = min(m, max(STEP, k, min(2 * depth, depth + m // STEPS)))
+            for lists, from_top in sides:
+                part = slice(m - until, m - depth) if from_top else slice(depth, until)
+                who = self.order[used[lists], part]
+                gained = self.values[used[lists], part] * weight[lists, None] - worst[lists, None]
+                lower += np.bincount(who.ravel(), gained.ravel(), minlength=m)
+                for i, own in zip(lists.tolist(), who, strict=True):
+                    met[i][own] = 1.0
             depth = until
-            frontier = self.values[rows[-1], used] * weight
-            known = np.concatenate([alive, fresh])
-            bar = max(floor, np.partition(lower[known], len(known) - k)[len(known) - k]) if len(known) >= k else floor
-            # unmet entries of those met: the frontier in place of the worst
-            upper = lower[known] + (~met[known]) @ (frontier - worst)
-            alive = known[upper >= bar - slack]
-            if frontier.sum() < bar - slack and len(alive) <= k * LEFT:
-                break
-        return alive if seen.all() or frontier.sum() < bar - slack else np.concatenate([alive, np.flatnonzero(~seen)])
+            frontier = np.where(down, self.values[used, m - depth], self.values[used, depth - 1]) * weight
+            # what a candidate wasn't met in: the frontier in place of the worst; for one that
+            # wasn't met at all, this is the frontiers' sum
+            upper = lower + (frontier - worst).sum() - (frontier - worst) @ met
+            bar = max(floor, np.partition(lower, m - k)[m - k]) - slack
+            alive = np.flatnonzero(upper >= bar)
+            if len(alive) <= k * LEFT or depth == m:
+                return alive
 
 
 def block_best(ids: np.ndarray, x: np.ndarray, qids: np.ndarray, q: np.ndarray, k: int, best: list[tuple[np.ndarray, np.ndarray]]) -> None:
