@@ -42,9 +42,11 @@ def test_query(spark, name):
         assert plain(got) == plain(want)
 
 
-def test_held_out_scores_beat_the_baseline_and_languages_are_found(spark):
+def test_held_out_scores_near_the_baseline_and_languages_are_found(spark):
+    """With the little training text of sf0.01 the model is a little below the baseline, which
+    gives every unseen word the same share and spells none; README has larger figures."""
     scores = queries.op1_lattice(spark, "/root/testdata/sf0.01").filter("held_out").toPandas()
-    assert scores.score.sum() / scores.base_score.sum() < 1.05
+    assert scores.score.sum() > 1.015 * scores.base_score.sum()  # both are negative: at most 1.5 percent worse
     docs = table(spark, "/root/testdata/sf0.01", "documents").select("doc_id", "lang")
     found = queries.op2_langid(spark, "/root/testdata/sf0.01").filter("held_out").join(docs, "doc_id").toPandas()
     assert (found.lang_pred == found.lang).mean() > 0.97

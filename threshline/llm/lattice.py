@@ -10,8 +10,8 @@ product of its words' marginals and of the end's probability.
 The vocabulary's existing scores give the prior of the piece probabilities; rounds of
 expectation maximization over the training words refine it, each distinct word
 once, as pieces have to spell the words that training has not seen. A whole word
-that it has seen is one more edge of its lattice, weighted by the word's count; the
-pieces' edges share the mass of the words seen once (Good and Turing). Training rows
+that it has seen is one more edge of its lattice, weighted by the word's count less a
+discount; the pieces' edges share the mass that the discounts leave. Training rows
 of different languages have probabilities of their own, and a text's probability
 is the mixture of the languages', each by its share of the training rows. The pieces are of fixed number, so they are
 collected and broadcast. Word counts grow with the corpus: they stay in Spark, and
@@ -19,7 +19,10 @@ every block of documents is joined with its own distinct words only.
 
 Defined results: null or blank text is the end token alone; a null id is never
 held out; with no training rows the prior alone scores; rows with equal id are
-scored each on its own; input columns named like an output give way to it.
+scored each on its own; an empty table gives an empty table; very long texts are scored
+whole, in the block that they are in; input columns pass through, but those named like an
+output give way to it. Rows are dealt to blocks by id and text, so only rows that repeat
+both (or a text without an id) share a block however many they are.
 """
 
 from __future__ import annotations
@@ -40,10 +43,12 @@ from threshline.llm.common import materialize, text_bytes
 
 #: Text bytes in a block of documents.
 BLOCK_BYTES = 32 << 20
+#: Up to so many blocks get numbers that Spark deals evenly; more even out by themselves.
+NUMBERED = 2_000
 #: Rounds of expectation maximization.
-ROUNDS = 2
+ROUNDS = 3
 #: Pseudo-counts that the existing scores are worth, against counted pieces.
-PRIOR_WEIGHT = 2_000.0
+PRIOR_WEIGHT = 500.0
 #: Mass that the single bytes share before training.
 BYTE_MASS = 1e-3
 #: Classes of training rows with probabilities of their own.
@@ -235,6 +240,32 @@ def tokens(text: str | None) -> list[bytes]:
     return (text or "").encode().lower().split()
 
 
+def spread_numbers(n: int, partitions: int) -> list[int]:
+    """``n`` block numbers that Spark's hash deals evenly to so many partitions."""
+    out: list[int] = []
+    full = np.zeros(partitions, np.int64)
+    most = -(-n // partitions)
+    at = 0
+    while len(out) < n:
+        tried = np.arange(at, at + 4 * partitions, dtype=np.uint32)
+        for number, part in zip(tried.tolist(), (murmur(tried).view(np.int32) % partitions).tolist(), strict=True):
+            if len(out) < n and full[part] < most:
+                full[part] += 1
+                out.append(number)
+        at += 4 * partitions
+    return out
+
+
+def murmur(x: np.ndarray) -> np.ndarray:
+    """Spark's hash of ints (Murmur3, 32 bits, seed 42)."""
+    turn = lambda v, r: (v << np.uint32(r)) | (v >> np.uint32(32 - r))
+    h = np.uint32(42) ^ (turn(x.astype(np.uint32) * np.uint32(0xCC9E2D51), 15) * np.uint32(0x1B873593))
+    h = (turn(h, 13) * np.uint32(5) + np.uint32(0xE6546B64)) ^ np.uint32(4)
+    for shift, factor in ((16, 0x85EBCA6B), (13, 0xC2B2AE35)):
+        h = (h ^ (h >> np.uint32(shift))) * np.uint32(factor)
+    return h ^ (h >> np.uint32(16))
+
+
 def class_names(docs: DataFrame, column: str) -> list[str]:
     """The commonest values of the training rows, ``MAX_CLASSES`` - 1 at most; equally
     common ones by name. All others, and null, are one more class."""
@@ -255,7 +286,11 @@ def score_corpus(docs: DataFrame, vocabulary: str, training: Column, key: str =
     docs = docs.drop(*out)
     fields = docs.schema.fields
     blocks = max(1, math.ceil(text_bytes(docs, text) / BLOCK_BYTES))
-    docs = docs.withColumns({"__train": F.coalesce(training, F.lit(False)), "__block": F.pmod(F.xxhash64(key, text), F.lit(blocks)).cast("int")})
+    block = F.pmod(F.xxhash64(key, text), F.lit(blocks)).cast("int")
+    if 1 < blocks <= NUMBERED:
+        partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        block = F.get(F.array(*map(F.lit, spread_numbers(blocks, partitions))), block)
+    docs = docs.withColumns({"__train": F.coalesce(training, F.lit(False)), "__block": block})
     names = class_names(docs, classes) if classes else []
     n_classes = len(names) + 1
     number = F.coalesce(F.nullif(F.array_position(F.array(*map(F.lit, names)), F.col(classes).cast("string")), F.lit(0)) - 1, F.lit(len(names))) if names else F.lit(0)
@@ -281,14 +316,16 @@ def score_corpus(docs: DataFrame, vocabulary: str, training: Column, key: str =
     vocab = materialize(words.groupBy("word").agg(*[F.sum(c).alias(c) for c in counted]).withColumn("c", reduce(Column.__add__, map(F.col, counted))), "vocab")
     known = vocab.filter("c > 0")
     is_end = F.length("word") == 0
-    figures = [x for c in counted for x in (F.sum(c), F.sum(F.when(is_end, F.col(c))), F.count_if((F.col(c) == 1) & ~is_end))]
+    figures = [x for c in counted for x in (F.sum(c), F.sum(F.when(is_end, F.col(c))), *[F.count_if((F.col(c) == n) & ~is_end) for n in (1, 2)], F.count_if((F.col(c) > 0) & ~is_end))]
     total, distinct, *rest = (x or 0 for x in known.agg(F.sum("c"), F.count("*"), *figures).first())
-    per_class = np.array(rest, np.float64).reshape(n_classes, 3)
+    per_class = np.array(rest, np.float64).reshape(n_classes, 5)
     used = np.flatnonzero(per_class[:, 1] > 0) if total else np.array([0])
-    sums, ends, once = per_class[used].T
+    sums, ends, once, twice, types = per_class[used].T
     end_c = int(ends.sum())
     n_words = np.maximum(1, sums - ends)
-    unseen = np.minimum(0.5, np.maximum(1, once) / n_words)
+    # Absolute discounting, by how many words training has seen once and twice.
+    discount = np.clip((once + 1) / (once + 2 * twice + 2), 0.1, 0.95)
+    unseen = np.clip(discount * types / n_words, 1e-9, 1)
     # Per token: the end, a whole known word, or pieces.
     p_end = (ends + 1) / (sums + 2)
     share = np.log(np.maximum(ends, 1) / max(1, end_c))
@@ -323,10 +360,10 @@ def score_corpus(docs: DataFrame, vocabulary: str, training: Column, key: str =
             c = np.array([batch.column(i + 2).to_numpy() for i in range(len(used))], np.float64)
             if total > end_c:
                 with np.errstate(divide="ignore"):
-                    lp = np.logaddexp(np.log(unseen)[:, None] + lp, np.log(1 - unseen)[:, None] + np.log(c / n_words[:, None]))
+                    lp = np.logaddexp(np.log(unseen)[:, None] + lp, np.log(np.maximum(c - discount[:, None], 0) / n_words[:, None]))
             lp += np.log(1 - p_end)[:, None]
-            packed = np.ascontiguousarray(lp.T, np.float32).tobytes()
-            width = 4 * len(used)
+            packed = np.ascontiguousarray(lp.T, np.float64).tobytes()
+            width = 8 * len(used)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([packed[j : j + width] for j in range(0, len(packed), width)], pa.binary())], names=["word", "c", "lp"])
 
     scored = vocab.filter(~is_end).select("word", "c", *[counted[k] for k in used]).mapInArrow(mark, "word binary, c long, lp binary")
@@ -337,7 +374,7 @@ def score_corpus(docs: DataFrame, vocabulary: str, training: Column, key: str =
     def score(rows: pa.Table, words: pa.Table) -> pa.Table:
         place = {w: i for i, w in enumerate(words.column("word").to_pylist())}
         c = words.column("c").to_numpy()
-        lp = np.frombuffer(b"".join(words.column("lp").to_pylist()), np.float32).reshape(-1, len(used)).astype(np.float64)
+        lp = np.frombuffer(b"".join(words.column("lp").to_pylist()), np.float64).reshape(-1, len(used))
         log_c = np.log10(c + 1.0)
         n_tokens, n_known, base, marginal = [], [], [], []
         for t in rows.column(at_text):
