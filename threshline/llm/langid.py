@@ -11,7 +11,8 @@ Defined results: null text, or text without a letter, is ``und`` with score 0.0;
 rows with null language are not learned from; a corpus without a training row
 makes every prediction ``und`` with 0.0; equal posteriors go to the language
 that sorts first; other columns pass through, but columns named like the outputs
-give way to them.
+give way to them. Very long texts are read whole, chunk by chunk; an empty table gives
+an empty table.
 """
 
 from __future__ import annotations
@@ -109,23 +110,50 @@ def predict(docs: DataFrame, langs: list[str], model: np.ndarray, text: str = "t
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         langs, model = shared.value
         for batch in batches:
-            names, scores = [], []
-            for t in batch.column(at):
-                t = t.as_py()
-                if not langs or t is None or not _LETTER.search(t):
-                    names.append(UNDETERMINED), scores.append(0.0)
-                    continue
-                n = np.zeros(BUCKETS, np.int64)
-                for f in features(t):
-                    if len(f) > BUCKETS // 4:
-                        n += np.bincount(f, minlength=BUCKETS)
-                    else:
-                        np.add.at(n, f, 1)
-                used = np.flatnonzero(n)  # the text's sparse row of the batch
-                joint = model[BUCKETS] + n[used] @ model[used]
-                odds = np.exp(joint - joint.max())
-                best = int(joint.argmax())
-                names.append(langs[best]), scores.append(float(odds[best] / odds.sum()))
+            names, scores = [UNDETERMINED] * batch.num_rows, np.zeros(batch.num_rows)
+            for rows, owner, bucket, n in _sparse_rows(batch.column(at) if langs else []):
+                # the sparse rows times the matrix: each row's counts weigh its buckets' lines
+                joint = np.tile(model[BUCKETS], (len(rows), 1))
+                for k in range(len(langs)):
+                    joint[:, k] += np.bincount(owner, n * model[bucket, k], minlength=len(rows))
+                odds = np.exp(joint - joint.max(axis=1, keepdims=True))
+                best = joint.argmax(axis=1)
+                scores[rows] = odds[np.arange(len(rows)), best] / odds.sum(axis=1)
+                for i, b in zip(rows, best.tolist(), strict=True):
+                    names[i] = langs[b]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(names, pa.string()), pa.array(scores, pa.float64())], names=[*batch.schema.names, out, score])
 
     return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(out, T.StringType()), T.StructField(score, T.DoubleType())]))
+
+
+def _sparse_rows(texts: pa.Array) -> Iterator[tuple[list[int], np.ndarray, np.ndarray, np.ndarray]]:
+    """Texts with a letter as sparse count rows, ``CHUNK`` features or a little more at a
+    time: (their places, and for each count that isn't zero its row, bucket and value)."""
+    rows: list[int] = []
+    found: list[np.ndarray] = []
+    held = 0
+
+    def made() -> tuple[list[int], np.ndarray, np.ndarray, np.ndarray]:
+        cell, n = np.unique(np.concatenate(found), return_counts=True)
+        return rows, cell // BUCKETS, cell % BUCKETS, n
+
+    for i, t in enumerate(texts):
+        t = t.as_py()
+        if t is None or not _LETTER.search(t):
+            continue
+        if len(t) > CHUNK:  # counted by itself, chunk by chunk
+            n = np.zeros(BUCKETS, np.int64)
+            for f in features(t):
+                n += np.bincount(f, minlength=BUCKETS)
+            used = np.flatnonzero(n)
+            yield [i], np.zeros(len(used), np.int64), used, n[used]
+            continue
+        for f in features(t):
+            found.append(f + np.int64(len(rows) * BUCKETS))
+            held += len(f)
+        rows.append(i)
+        if held >= CHUNK:
+            yield made()
+            rows, found, held = [], [], 0
+    if rows:
+        yield made()
