@@ -21,7 +21,8 @@ so such lines emit their own key and no variants; shorter ones emit nothing.
 
 Defined results: lines without words always stay, as do those of fewer than
 ``copy_words``, by default ``min_words``; null text has no lines and stays null; a
-document all of whose lines go has empty text; rows with equal doc_id and text are one
+document all of whose lines go has empty text; an empty table gives an empty table; very
+long texts and lines are read whole; rows with equal doc_id and text are one
 document, and each keeps what it keeps; null ids come after all others; other columns
 pass through, but the outputs' names give way.
 """
@@ -43,6 +44,8 @@ from threshline.llm.common import broadcast_if, filter_of, materialize
 MIN_WORDS = 6
 BROADCAST_ROWS, BROADCAST_KEYS = 200_000, 1_000_000
 CACHE_WORDS = 100_000
+#: Variants of lines that are sent on together.
+VARIANTS = 1 << 16
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _LAST = (1 << 63) - 1
 
@@ -254,19 +257,25 @@ def _taken(some):
 
 
 def _variant_rows(min_words: int):
-    place = pa.struct([("_id", pa.int64()), ("line", pa.int32()), ("_hash", pa.int64())])
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = Coder()
         for batch in batches:
-            for row in batch.to_pylist():
-                replaced, cut, own = variant_keys(coder.codes(row["words"].split()))
+            keys, own, owner, held = [], [], [], 0
+            for i, words in enumerate(batch.column(2).to_pylist()):
+                replaced, cut, whole = variant_keys(coder.codes(words.split()))
                 if len(replaced) < min_words:
                     replaced, cut = replaced[:0], cut[:0]
                 n = len(replaced)
-                keys = pa.array(np.concatenate([replaced, cut, [own]]))
-                kinds = pa.array([None] * n + [False] * n + [True], pa.bool_())
-                yield pa.RecordBatch.from_arrays([keys, kinds, pa.array([row["lid"]] * len(keys), pa.binary()), pa.array([row["first"]] * len(keys), place)], names=["key", "own", "lid", "first"])
+                keys += [replaced, cut, [whole]]
+                own += [np.zeros(n, np.int8), np.ones(n, np.int8), [2]]
+                owner.append(np.full(2 * n + 1, i))
+                held += 2 * n + 1
+                if held >= VARIANTS or i == batch.num_rows - 1:
+                    kind = np.concatenate(own)
+                    at = pa.array(np.concatenate(owner))
+                    columns = [pa.array(np.concatenate(keys)), pa.array(kind == 2, mask=kind == 0), batch.column(0).take(at), batch.column(1).take(at)]
+                    yield pa.RecordBatch.from_arrays(columns, names=["key", "own", "lid", "first"])
+                    keys, own, owner, held = [], [], [], 0
 
     return run
 
