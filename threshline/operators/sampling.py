@@ -17,9 +17,16 @@ from threshline.operators.ranking import global_rank
 from threshline.storage import cut_lineage
 
 #: Quotas of the configured jobs.
+#: Attributes whose tables are broadcast; more are joined by shuffling.
+BROADCAST_ATTRS = 100_000
 TRAIN_BATCH, TRAIN_BATCHES, REGULAR_BATCHES, EVAL_SIZE = 24, 1000, 500, 540
 
 
+def if_few(small: DataFrame, rows: int) -> DataFrame:
+    """A table to broadcast, if its counted rows are few."""
+    return F.broadcast(small) if rows <= BROADCAST_ATTRS else small
+
+
 def shuffled(seed: int) -> Column:
     return E.order_key(F.col("_ord"), seed)
 
@@ -45,7 +52,8 @@ def sample_attrs(pool: DataFrame, quotas: DataFrame, correct: float, no_change:
     a share of correct ones; what one part lacks, the other gives."""
     rows = pool.withColumns({"_attr": E.attr(), "_flip": E.is_flip(), "_same": E.is_no_change()})
     sizes = rows.groupBy("_attr").agg(*[F.count_if((F.col("_same") == s) & (F.col("_flip") == f)).alias(f"n{int(s)}{int(f)}") for s in (False, True) for f in (False, True)])
-    plan = sizes.join(F.broadcast(quotas.select(F.col("attr").alias("_attr"), "quota")), "_attr")
+    most, attrs = quotas.agg(F.coalesce(F.max("quota"), F.lit(0)), F.count("*")).first()
+    plan = sizes.join(if_few(quotas.select(F.col("attr").alias("_attr"), "quota"), attrs), "_attr")
 
     def half_even(c: Column) -> Column:
         return F.bround(c, 0).cast("long")
@@ -61,10 +69,9 @@ def sample_attrs(pool: DataFrame, quotas: DataFrame, correct: float, no_change:
         plan = plan.withColumn(f"c{side}", F.least(right, want - F.col(f"f{side}")))
     plan = plan.select("_attr", "c0", "f0", "c1", "f1")
 
-    most = quotas.agg(F.coalesce(F.max("quota"), F.lit(0))).first()[0]
     place = F.row_number().over(Window.partitionBy("_attr", "_same", "_flip").orderBy(shuffled(seed)))
     # The literal bound lets Spark cut every stratum in each task, before it is shuffled.
-    ranked = rows.withColumn("_place", place).filter(F.col("_place") <= int(most)).join(F.broadcast(plan), "_attr")
+    ranked = rows.withColumn("_place", place).filter(F.col("_place") <= int(most)).join(if_few(plan, attrs), "_attr")
     quota = F.when(F.col("_same"), F.when(F.col("_flip"), F.col("f1")).otherwise(F.col("c1"))).otherwise(F.when(F.col("_flip"), F.col("f0")).otherwise(F.col("c0")))
     return ranked.filter(F.col("_place") <= quota).select(*pool.columns)
 

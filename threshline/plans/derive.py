@@ -65,9 +65,11 @@ def event_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_CLEAN = "regexp_replace(coalesce(text, ''), '[^0-9A-Za-z .]', ''{g})"
+#: Messages' texts as they are, but for the marks of tags.
+_CLEAN = "replace(replace(coalesce(text, ''), '<', ''), '>', '')"
 _TURNS = """SELECT conv_id, role, {clean} AS body, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS t FROM conversations"""
-_BLOCKS = """SELECT conv_id, t, role, concat('c', cast(conv_id AS VARCHAR(20)), '.txt') AS file,
+_LINES = "length({0}) - length(replace({0}, chr(10), ''))"
+_BLOCKS = f"""SELECT conv_id, t, role, 7 + {_LINES.format("lag(body) OVER w")} + {_LINES.format("body")} AS n_lines, concat('c', cast(conv_id AS VARCHAR(20)), '.txt') AS file,
   concat('<previousMessage from="', lag(role) OVER w, '">', lag(body) OVER w, '</previousMessage>') AS prev,
   concat('<augment duplicate="', cast(t % 3 AS VARCHAR(20)), '" />') AS aug,
   concat('<stats character="', role, '" pose="p', cast((t - 1) % 2 AS VARCHAR(20)), '" location="l', cast(conv_id % 5 AS VARCHAR(20)), '" outfit="o" />') AS before,
@@ -77,19 +79,16 @@ _BLOCKS = """SELECT conv_id, t, role, concat('c', cast(conv_id AS VARCHAR(20)),
   concat('fixtures="f', cast(t AS VARCHAR(20)), '"') AS fix, concat('items="i', cast(conv_id % 3 AS VARCHAR(20)), '"') AS items
   FROM turns WINDOW w AS (PARTITION BY conv_id ORDER BY t)"""
 _SPANS = """SELECT *, concat('<stats character="', role, '" ', pose, ' ', loc, ' outfit="o" />') AS cha, concat('<stats scene="hall" ', fix, ' ', items, ' />') AS sce,
-  concat(file, ':', cast(7 * (t - 2) + 1 AS VARCHAR(20))) AS source_id FROM blocks WHERE t > 1"""
-
-
-def _with(g: str) -> str:
-    return f"turns AS ({_TURNS.format(clean=_CLEAN.format(g=g))}), blocks AS ({_BLOCKS}), spans AS ({_SPANS})"
+  concat(file, ':', cast(cast(coalesce(sum(n_lines) OVER (PARTITION BY conv_id ORDER BY t ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) + 1 AS VARCHAR(20))) AS source_id FROM blocks WHERE t > 1"""
 
 
+_WITH = f"turns AS ({_TURNS.format(clean=_CLEAN)}), blocks AS ({_BLOCKS}), spans AS ({_SPANS})"
 #: One row per block of annotated dialogue, its parts as columns.
-BLOCKS_SQL = _with(", 'g'")
+BLOCKS_SQL = _WITH
 
 
 def blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(f"WITH {_with('').replace('FROM conversations', 'FROM {conversations}')} SELECT * FROM spans", conversations=table(spark, sf_dir, "conversations"))
+    return spark.sql(f"WITH {_WITH.replace('FROM conversations', 'FROM {conversations}')} SELECT * FROM spans", conversations=table(spark, sf_dir, "conversations"))
 
 
 def annotated(spark: SparkSession, sf_dir: str) -> DataFrame:

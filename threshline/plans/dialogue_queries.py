@@ -170,8 +170,8 @@ _MARKED = f"""{_B}, {_UNWOUND}, n AS (SELECT * REPLACE (CASE WHEN val = old THEN
 
 @query("pass_chat_train_same_names", _MARKED)
 def pass_chat_train_same_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The training chain with nobody renamed."""
-    chain = [passes.unwind_stats, passes.duplicate, passes.rename(0.05, exclude=("Eve", "user", "assistant", "system")), passes.mirror(), passes.no_change]
+    """The training chain but for the renaming."""
+    chain = [passes.unwind_stats, passes.duplicate, passes.mirror(), passes.no_change]
     return _shown(passes.run_passes(_datapoints(spark, sf_dir), chain))
 
 
@@ -190,7 +190,7 @@ def export_last_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return export.last_stats(_datapoints(spark, sf_dir))
 
 
-@query("export_chats", f"{_B} SELECT source_id, role AS name, false AS is_user, false AS is_system, '' AS send_date, body_of AS mes, concat_ws(',', least('Eve', role) || '.png', greatest('Eve', role) || '.png') AS present FROM (SELECT *, regexp_extract(msg, '>(.*)</message>', 1) AS body_of FROM spans)")
+@query("export_chats", f"{_B} SELECT source_id, role AS name, false AS is_user, false AS is_system, '' AS send_date, body_of AS mes, concat_ws(',', least('Eve', role) || '.png', greatest('Eve', role) || '.png') AS present FROM (SELECT *, regexp_extract(msg, '(?s)>(.*)</message>', 1) AS body_of FROM spans)")
 def export_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A chat message per block."""
     return export.chats(_datapoints(spark, sf_dir)).select("source_id", "name", "is_user", "is_system", "send_date", "mes", F.array_join("present", ",").alias("present"))

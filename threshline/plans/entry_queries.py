@@ -324,6 +324,15 @@ def _quotas(e: DataFrame, total: int = 500) -> DataFrame:
     return sampling.allocate(e.groupBy(E.attr().alias("attr")).agg(F.count("*").alias("n")), total)
 
 
+_SYNTHETIC = ", sy AS (SELECT *, CAST(left(_ord, 12) AS BIGINT) % 700 = 1 AS syn FROM k)"
+
+
+def _apart(e: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """All entries, as a pool and as synthetic ones."""
+    rows, synthetic = e.distinct(), F.substring("_ord", 1, 12).cast("long") % 700 == 1
+    return rows.filter(~synthetic), rows.filter(synthetic)
+
+
 @query("sample_quotas", _POOL + _QUOTAS + " SELECT attr, n, quota FROM quotas")
 def sample_quotas(e: DataFrame) -> DataFrame:
     return _quotas(e.distinct())
@@ -370,22 +379,23 @@ def sample_pad(e: DataFrame) -> DataFrame:
 
 @query(
     "sample_epochs",
-    _POOL + """, x AS (SELECT _ord, bucket, epoch, sha1(concat_ws('#', _ord, CAST(epoch + 1337 AS VARCHAR))) AS key FROM u, (SELECT unnest(range(3)) AS epoch)),
-    r AS (SELECT *, row_number() OVER (PARTITION BY epoch ORDER BY key) AS n FROM x WHERE bucket NOT IN ('high', 'medium'))
-    SELECT _ord, CAST(epoch AS INTEGER) AS epoch FROM x WHERE bucket IN ('high', 'medium') UNION ALL SELECT _ord, CAST(epoch AS INTEGER) AS epoch FROM r WHERE n <= 200""",
+    _POOL + _SYNTHETIC + """, x AS (SELECT _ord, bucket, epoch, syn, sha1(concat_ws('#', _ord, CAST(epoch + 1337 AS VARCHAR))) AS key FROM sy, (SELECT unnest(range(3)) AS epoch)),
+    r AS (SELECT *, row_number() OVER (PARTITION BY epoch ORDER BY key) AS n FROM x WHERE bucket NOT IN ('high', 'medium') AND NOT syn)
+    SELECT _ord, CAST(epoch AS INTEGER) AS epoch FROM x WHERE bucket IN ('high', 'medium') OR syn UNION ALL SELECT _ord, CAST(epoch AS INTEGER) AS epoch FROM r WHERE n <= 200""",
 )
 def sample_epochs(e: DataFrame) -> DataFrame:
-    return sampling.epochs(e.distinct(), e.limit(0), 3, 200).select("_ord", "epoch")
+    return sampling.epochs(*_apart(e), 3, 200).select("_ord", "epoch")
 
 
 @query(
     "sample_split",
-    _POOL + """, r AS (SELECT _ord, key, row_number() OVER (ORDER BY CASE bucket WHEN 'high' THEN 2 WHEN 'medium' THEN 1 ELSE 0 END DESC, d DESC, len DESC, _ord) AS n FROM k),
-    q AS (SELECT _ord, row_number() OVER (ORDER BY key) AS n FROM r WHERE n > 960)
-    SELECT _ord, 'train' AS part FROM r WHERE n <= 960 UNION ALL SELECT _ord, 'regular' AS part FROM q WHERE n <= 240""",
+    _POOL + _SYNTHETIC + """, lim AS (SELECT greatest(0, 960 - count(*) FILTER (WHERE syn)) AS most FROM sy),
+    r AS (SELECT _ord, key, row_number() OVER (ORDER BY CASE bucket WHEN 'high' THEN 2 WHEN 'medium' THEN 1 ELSE 0 END DESC, d DESC, len DESC, _ord) AS n FROM sy WHERE NOT syn),
+    q AS (SELECT _ord, row_number() OVER (ORDER BY key) AS n FROM r, lim WHERE n > most)
+    SELECT _ord, 'train' AS part FROM r, lim WHERE n <= most UNION ALL SELECT _ord, 'regular' AS part FROM q WHERE n <= 240""",
 )
 def sample_split(e: DataFrame) -> DataFrame:
-    train, regular = sampling.split_training(e.distinct(), e.limit(0), 24, 40, 10)
+    train, regular = sampling.split_training(*_apart(e), 24, 40, 10)
     return train.select("_ord", F.lit("train").alias("part")).unionByName(regular.select("_ord", F.lit("regular").alias("part")))
 
 
