@@ -9,8 +9,7 @@ threshold is confirmed on the full sets, which are made from the texts anew.
 
 Equal sets are one class, represented by its smallest doc_id, so copies are never
 paired. In a band's bucket every class is first paired with the smallest one (a
-star), then in chunks with each chunk's middle one; classes of one component need no
-further pair. Only where a bucket still holds several components, the members outside its
+star), then with its middle one; classes of one component need no further pair. Only where a bucket still holds several components, the members outside its
 largest one are compared with all, chunk against chunk: first their bits, then the full sets
 of those that may be linked, which gives no pairs but the links that join components. A
 bucket is never gathered: chunks have a bounded number of members and of shingles. A link at
@@ -43,7 +42,7 @@ MARGIN = 0.24
 MEMBERS = 64
 #: Members of a bucket, and their shingles, that are compared with as many others in memory; a
 #: larger bucket is compared chunk against chunk.
-CHUNK, CHUNK_SHINGLES = 512, 1_000_000
+CHUNK, CHUNK_SHINGLES = 1024, 1_000_000
 #: Ids of classes whose first document has another text, too, begin here.
 SPARE = 1 << 62
 BROADCAST_ROWS = 500_000
@@ -170,6 +169,11 @@ def likely(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """The pairs that their bit planes don't refute."""
     side = classes.select("node", "planes")
     joined = pairs.join(side.select(F.col("node").alias("a"), F.col("planes").alias("x")), "a").join(side.select(F.col("node").alias("b"), F.col("planes").alias("y")), "b")
+    return joined.select("a", "b", "x", "y").mapInArrow(_unrefuted(percent), "a long, b long")
+
+
+def _unrefuted(percent: int):
+    """From (a, b, planes of a, planes of b) the pairs that may be similar enough."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -178,7 +182,7 @@ def likely(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
                 batch = batch.filter(pa.array(estimate(x, y) >= percent / 100 - MARGIN))
             yield batch.select([0, 1])
 
-    return joined.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+    return run
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -191,22 +195,36 @@ def _chunks(members: str, weight: str) -> Column:
 
 
 def medoids(opened: DataFrame, stats: DataFrame, sides: DataFrame, percent: int) -> DataFrame:
-    """Likely pairs of the middle member of each chunk of a bucket and the chunk's members of
-    other components: the middle is the member nearest to the bits that most members have."""
-
-    def pairs(_: tuple, rows: list[tuple]) -> list[tuple[int, int]]:
-        nodes, roots, sigs = zip(*rows, strict=True)
-        if len(set(roots)) < 2:
-            return []
-        s = np.frombuffer(b"".join(sigs), np.uint8).reshape(len(nodes), -1)
-        common = np.packbits(np.unpackbits(s, axis=1).mean(axis=0) >= 0.5)
-        m = int(estimate(s, common[None]).argmax())
-        near = np.flatnonzero(estimate(s, s[m][None]) >= percent / 100 - MARGIN)
-        return [(min(nodes[m], nodes[i]), max(nodes[m], nodes[i])) for i in near if roots[i] != roots[m]]
-
+    """Likely pairs of the middle member of each bucket and its members of other components:
+    the middle is the member nearest to the bits that most members have. Bits are counted
+    chunk by chunk, so a bucket is never gathered."""
+    rows = materialize(opened.join(sides.select("node", "planes"), "node"), "planes")
     chunk = F.pmod(F.xxhash64("node"), _chunks("n", "weight"))
-    members = _with(opened, stats, "key").select("key", chunk.alias("chunk"), "node", "root").join(sides.select("node", "planes"), "node")
-    return _per_group(members.select("key", "chunk", "node", "root", "planes"), 2, pairs, "a long, b long").distinct()
+    dealt = _with(rows, stats, "key").select("key", chunk.alias("chunk"), "node", "planes")
+
+    def count(key: tuple, members: list[tuple]) -> list[tuple]:
+        s = np.frombuffer(b"".join(m[1] for m in members), np.uint8).reshape(len(members), -1)
+        return [(key[0], len(members), np.unpackbits(s, axis=1).sum(axis=0, dtype=np.int64).tobytes())]
+
+    def add(parts: pa.Table) -> pa.Table:
+        n = sum(parts["n"].to_pylist())
+        bits = sum(np.frombuffer(x, np.int64) for x in parts["bits"].to_pylist())
+        return pa.table({"key": parts["key"].slice(0, 1), "common": pa.array([np.packbits(2 * bits >= n).tobytes()], pa.binary())})
+
+    counted = _per_group(dealt, 2, count, "key long, n long, bits binary")
+    common = materialize(counted.groupBy("key").applyInArrow(add, "key long, common binary"), "common")  # a row per bucket
+
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                like = estimate(_matrix(batch.column("planes")), _matrix(batch.column("common")))
+                yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("key", "node", "root", "planes")), pa.array(like)], names=["key", "node", "root", "planes", "like"])
+
+    judged = _with(rows, common, "key").mapInArrow(near, "key long, node long, root long, planes binary, like double")
+    middle = judged.groupBy("key").agg(F.max_by(F.struct(F.col("node").alias("m"), F.col("root").alias("m_root"), F.col("planes").alias("x")), F.struct("like", -F.col("node"))).alias("middle"))
+    middle = materialize(middle.select("key", "middle.*"), "middle")
+    pairs = _with(rows, middle, "key").filter("root <> m_root").select(F.least("m", "node").alias("a"), F.greatest("m", "node").alias("b"), "x", F.col("planes").alias("y"))
+    return pairs.mapInArrow(_unrefuted(percent), "a long, b long").distinct()
 
 
 def units(opened: DataFrame, stats: DataFrame, sides: DataFrame, percent: int) -> DataFrame:
@@ -244,17 +262,18 @@ def units(opened: DataFrame, stats: DataFrame, sides: DataFrame, percent: int) -
     return _per_group(members.select("key", "a", "b", "left", "node", "root", "planes", "short"), 3, wanted, "unit long, node long")
 
 
-def _per_group(members: DataFrame, n_keys: int, found: Callable[[tuple, list[tuple]], list[tuple[int, int]]], schema: str) -> DataFrame:
+def _per_group(members: DataFrame, n_keys: int, found: Callable[[tuple, list[tuple]], list[tuple]], schema: str) -> DataFrame:
     """Run ``found`` on each group by the first ``n_keys`` columns. What a group holds in
     memory is signatures, not texts."""
-    names = [x.split()[0] for x in schema.split(", ")]
+    kinds = {"long": pa.int64(), "binary": pa.binary()}
+    fields = pa.schema([(x.split()[0], kinds[x.split()[1]]) for x in schema.split(", ")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, held = None, []
 
         def done() -> pa.RecordBatch:
             out = found(key, held)
-            return pa.RecordBatch.from_pydict({n: pa.array([o[i] for o in out], pa.int64()) for i, n in enumerate(names)})
+            return pa.RecordBatch.from_pydict({f.name: pa.array([o[i] for o in out], f.type) for i, f in enumerate(fields)})
 
         for batch in batches:
             for row in zip(*(batch.column(i).to_pylist() for i in range(batch.num_columns)), strict=True):
@@ -423,7 +442,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, doc_id: str
     links = materialize(confirm(star, texts, k, percent).unionByName(same), "confirmed")
     roots = components(links)
     # Buckets of three and more that still hold several components: first a star around
-    # each chunk's middle, then the other components against all, chunk by chunk.
+    # their middle, then the other components against all, chunk by chunk.
     large = materialize(buckets.filter("size > 2").select("key", "node"), "large")
     sizes = classes.select("node", "n_shingles")
     opened, stats, n = _open(large, roots, sizes)
