@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from threshline.operators import batching, cache, dedupe, filters, passes, reports, sampling, scoring
-from threshline.operators.ranking import global_rank
+from threshline.operators.ranking import global_rank, percentiles
 from threshline.plans.derive import entries
 from threshline.sources import readers, writers
 
@@ -113,6 +113,14 @@ def test_global_rank_is_a_rank(spark):
     assert [r.rank for r in global_rank(rows, F.desc("v")).orderBy(F.desc("v")).collect()] == list(range(1, 1001))
 
 
+def test_percentiles(spark):
+    rng = np.random.default_rng(2)
+    for x in (rng.normal(size=501), rng.integers(0, 5, 64).astype(float), np.array([3.0])):
+        n, got = percentiles(spark.createDataFrame([(float(v),) for v in x] + [(None,)], "v double").repartition(5), [0, 0.1, 1 / 3, 0.5, 0.99, 1])
+        assert n == len(x) and np.allclose(got, np.quantile(x, [0, 0.1, 1 / 3, 0.5, 0.99, 1]))
+    assert percentiles(spark.createDataFrame([], "v double"), [0.5]) == (0, [None])
+
+
 def test_histogram_edges(spark):
     rows = spark.createDataFrame([(1.0,), (1.0,), (float("nan"),), (None,), (float("inf"),)], "v double")
     assert [(r.bin, r.n, r.tail) for r in reports.histogram(rows, F.col("v")).collect()] == [(0, 2, 0)]

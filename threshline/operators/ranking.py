@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import math
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -26,6 +29,34 @@ def global_rank(df: DataFrame, *order: Column, name: str = "rank") -> DataFrame:
     return ranked.withColumn(name, (F.col("_before") + inside + 1).cast("long")).select(*df.columns, name)
 
 
+def percentiles(values: DataFrame, shares: Sequence[float]) -> tuple[int, list[float | None]]:
+    """How many doubles the one column of ``values`` holds, and their exact percentiles,
+    between neighbours by distance; null if there are none.
+
+    Distinct values are counted, sorted by ranges and summed up range by range, so neither
+    the values nor their counts meet in one task; two values a share come to the driver.
+    """
+    name = values.columns[0]
+    counts = values.filter(F.col(name).isNotNull()).groupBy(F.col(name).alias("v")).agg(F.count("*").alias("n"))
+    placed = cut_lineage(counts.orderBy("v").withColumn("_p", F.spark_partition_id()), "values")
+    ranges = placed.groupBy("_p").agg(F.sum("n").alias("_n")).orderBy("_p").collect()  # a row per range
+    total = sum(r["_n"] for r in ranges)
+    if not total:
+        return 0, [None] * len(shares)
+    spots = [p * (total - 1) for p in shares]
+    wanted = sorted({i for s in spots for i in (math.floor(s), math.ceil(s))})
+    upto, first = {}, 0
+    for r in ranges:
+        upto[r["_p"]] = first
+        first += r["_n"]
+    starts = values.sparkSession.createDataFrame(list(upto.items()), "_p int, _first long")
+    inside = F.coalesce(F.sum("n").over(Window.partitionBy("_p").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ranked = placed.withColumn("_i", inside).join(F.broadcast(starts), "_p").withColumn("_i", F.col("_i") + F.col("_first"))
+    held = F.filter(F.array(*map(F.lit, wanted)), lambda i: (i >= F.col("_i")) & (i < F.col("_i") + F.col("n")))
+    found = {r.i: r.v for r in ranked.select("v", F.explode(held).alias("i")).collect()}
+    return total, [found[math.floor(s)] if s == math.floor(s) else (math.ceil(s) - s) * found[math.floor(s)] + (s - math.floor(s)) * found[math.ceil(s)] for s in spots]
+
+
 def first_per(df: DataFrame, keys: list[str], *order: Column) -> DataFrame:
     """One row per key, the first in ``order``; partial sums leave each task, so that a
     key with a third of all rows is no task's burden."""

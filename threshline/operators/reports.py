@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from threshline import schema as S
 from threshline.functions import entries as E
+from threshline.operators.ranking import percentiles
 
 
 def percent(part: Column, whole: Column) -> Column:
@@ -57,7 +58,8 @@ def file_contributions(selected: DataFrame, pool: DataFrame, evaluation: DataFra
 def median_loss(entries: DataFrame, least: float = S.EVAL_MIN_DIFFICULTY) -> DataFrame:
     """The exact median difficulty of ``least`` or more; 0.0 if there is none."""
     d = E.difficulty()
-    return entries.filter(d >= least).agg(F.coalesce(F.median(d), F.lit(0.0)).alias("median_loss"))
+    _, (median,) = percentiles(entries.filter(d >= least).select(d.alias("d")), [0.5])
+    return entries.sparkSession.createDataFrame([(0.0 if median is None else median,)], "median_loss double")
 
 
 def attr_counts(entries: DataFrame) -> DataFrame:
@@ -155,7 +157,7 @@ def histogram(entries: DataFrame, value: Column, clip: bool = True, bins: int |
     The bins follow the number of values, so they are of bounded number.
     """
     rows = entries.filter(E.finite(value)).select(value.cast("double").alias("v"))
-    n, low, high, top = rows.agg(F.count("*"), F.min("v"), F.max("v"), F.percentile("v", 0.99)).first()
+    n, (low, top, high) = percentiles(rows, [0.0, 0.99, 1.0])
     if not n:
         return entries.sparkSession.createDataFrame([], "bin int, low double, high double, n long, tail long")
     upper = top if clip and top > low else high
@@ -169,7 +171,8 @@ def histogram(entries: DataFrame, value: Column, clip: bool = True, bins: int |
 def quantiles(entries: DataFrame, value: Column) -> DataFrame:
     """p10, p33.3, p66.7 and p90 of finite values, and whether bins want a log scale."""
     rows = entries.filter(E.finite(value)).select(value.cast("double").alias("v"))
-    return rows.agg(F.count("*").alias("n"), *[F.percentile("v", p).alias(name) for name, p in (("p10", 0.1), ("p33", 1 / 3), ("p67", 2 / 3), ("p90", 0.9))])
+    n, found = percentiles(rows, [0.1, 1 / 3, 2 / 3, 0.9])
+    return entries.sparkSession.createDataFrame([(n, *found)], "n long, p10 double, p33 double, p67 double, p90 double")
 
 
 def wants_log_scale(bins: DataFrame) -> DataFrame:
@@ -181,7 +184,9 @@ def length_report(longest: DataFrame, count: int = 10) -> tuple[DataFrame, DataF
     """(the ``count`` longest prompts by source; mean and percentiles over sources)."""
     top = longest.orderBy(F.desc("prompt_length"), "_ord").limit(count).select("source", "id", "prompt_length")
     n = F.col("prompt_length")
-    return top, longest.agg(F.count("*").alias("sources"), F.avg(n).alias("mean"), *[F.percentile(n, p).alias(name) for name, p in (("p50", 0.5), ("p90", 0.9), ("p95", 0.95))])
+    _, found = percentiles(longest.select(n.cast("double")), [0.5, 0.9, 0.95])
+    named = [F.lit(x).cast("double").alias(name) for name, x in zip(("p50", "p90", "p95"), found, strict=True)]
+    return top, longest.agg(F.count("*").alias("sources"), F.avg(n).alias("mean"), *named)
 
 
 def epoch_uniqueness(epochs: DataFrame) -> DataFrame:
