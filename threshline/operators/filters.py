@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from threshline.functions import entries as E
-from threshline.operators.ranking import global_rank
+from threshline.operators.ranking import literal, values_at
 
 #: Ids broadcast at most; beyond it both sides are shuffled by id.
 BROADCAST_IDS = 1_000_000
@@ -24,13 +24,20 @@ def drop_hardest(entries: DataFrame, percent: float, min_difficulty: float = 0.0
     percent = min(100.0, max(0.0, percent))
     d = E.difficulty()
     eligible = (d >= min_difficulty) & ~F.isnan(d)
-    n = entries.filter(eligible).count()
-    cut = -int(-(n * percent) // 100)
-    if cut <= 0:
+    hard = entries.filter(eligible)
+    cut_of = lambda n: -int(-(n * percent) // 100)
+    total, found = values_at(hard.select(d.alias("d")), lambda n: [n - cut_of(n)])
+    if not found:
         return entries
-    ranked = global_rank(entries.filter(eligible).select("_ord", d.alias("_d")), F.desc("_d"), F.asc("_ord"))
-    gone = ranked.filter(F.col("rank") <= cut).select("_ord")
-    return entries.join(gone, "_ord", "left_anti")
+    ((least, smaller, equal),) = found.values()
+    gone = d > least
+    ties = cut_of(total) - (total - smaller - equal)
+    if ties == equal:
+        gone = d >= least
+    else:
+        _, last = values_at(hard.filter(d == least).select("_ord"), lambda _: [ties - 1])
+        gone = gone | ((d == least) & (F.col("_ord") <= literal(last[ties - 1][0], entries.schema["_ord"].dataType)))
+    return entries.filter(~F.coalesce(eligible & gone, F.lit(False)))
 
 
 def loss_buckets(entries: DataFrame) -> DataFrame:
