@@ -3,6 +3,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from threshline.functions import entries as E
 from threshline.operators import batching, cache, dedupe, filters, passes, reports, sampling, scoring
 from threshline.operators.ranking import global_rank, percentiles
 from threshline.plans.derive import entries
@@ -121,6 +122,26 @@ def test_percentiles(spark):
     assert percentiles(spark.createDataFrame([], "v double"), [0.5]) == (0, [None])
 
 
+def byte_encoder():
+    return lambda t: list(t.encode())
+
+
+def test_lengths_in_tokens(spark):
+    rows = spark.createDataFrame([("é a",), ("",), (None,)], "expected_value string")
+    n = E.token_length(F.col("expected_value"), byte_encoder)
+    assert [r.n for r in rows.select(n.alias("n")).collect()] == [4, 0, 0]
+    got = reports.completion_lengths(rows, n).first()
+    assert (got.total, got.largest, got.missing) == (4, 4, 2)
+
+
+def test_flat_folders(spark, tmp_path):
+    (tmp_path / "sub").mkdir()
+    for name in ("a.jsonl", "b.jsonl", "c.txt", "sub/d.jsonl"):
+        (tmp_path / name).write_text("{}\n")
+    found = spark.read.text(readers.flat_glob(str(tmp_path), ".jsonl"))
+    assert found.count() == 2
+
+
 def test_histogram_edges(spark):
     rows = spark.createDataFrame([(1.0,), (1.0,), (float("nan"),), (None,), (float("inf"),)], "v double")
     assert [(r.bin, r.n, r.tail) for r in reports.histogram(rows, F.col("v")).collect()] == [(0, 2, 0)]
