@@ -338,17 +338,19 @@ def sample_quotas(e: DataFrame) -> DataFrame:
     return _quotas(e.distinct())
 
 
+_STRATA = """, cells AS (SELECT attr, count(*) FILTER (WHERE NOT same AND NOT flip) AS n00, count(*) FILTER (WHERE NOT same AND flip) AS n01, count(*) FILTER (WHERE same AND NOT flip) AS n10, count(*) FILTER (WHERE same AND flip) AS n11 FROM u GROUP BY attr),
+p1 AS (SELECT c.*, q.quota, least(n10 + n11, CAST(round_even(q.quota * 0.25, 0) AS BIGINT)) AS t1 FROM cells c JOIN quotas q USING (attr)),
+p2 AS (SELECT *, least(n00 + n01, quota - t1) AS t0 FROM p1),
+p3 AS (SELECT * EXCLUDE (t1), least(n10 + n11, quota - t0) AS t1 FROM p2),
+p4 AS (SELECT *, least(n01, t0 - least(n00, CAST(round_even(t0 * 0.5, 0) AS BIGINT))) AS f0, least(n11, t1 - least(n10, CAST(round_even(t1 * 0.5, 0) AS BIGINT))) AS f1 FROM p3),
+p5 AS (SELECT attr, f0, f1, least(n00, t0 - f0) AS c0, least(n10, t1 - f1) AS c1 FROM p4),
+r AS (SELECT _ord, attr, same, flip, row_number() OVER (PARTITION BY attr, same, flip ORDER BY key) AS place FROM k),
+picked AS (SELECT _ord, attr FROM r JOIN p5 USING (attr) WHERE place <= CASE WHEN same THEN CASE WHEN flip THEN f1 ELSE c1 END ELSE CASE WHEN flip THEN f0 ELSE c0 END END)"""
+
+
 @query(
     "sample_attrs",
-    _POOL + _QUOTAS + """,
-    cells AS (SELECT attr, count(*) FILTER (WHERE NOT same AND NOT flip) AS n00, count(*) FILTER (WHERE NOT same AND flip) AS n01, count(*) FILTER (WHERE same AND NOT flip) AS n10, count(*) FILTER (WHERE same AND flip) AS n11 FROM u GROUP BY attr),
-    p1 AS (SELECT c.*, q.quota, least(n10 + n11, CAST(round_even(q.quota * 0.25, 0) AS BIGINT)) AS t1 FROM cells c JOIN quotas q USING (attr)),
-    p2 AS (SELECT *, least(n00 + n01, quota - t1) AS t0 FROM p1),
-    p3 AS (SELECT * EXCLUDE (t1), least(n10 + n11, quota - t0) AS t1 FROM p2),
-    p4 AS (SELECT *, least(n01, t0 - least(n00, CAST(round_even(t0 * 0.5, 0) AS BIGINT))) AS f0, least(n11, t1 - least(n10, CAST(round_even(t1 * 0.5, 0) AS BIGINT))) AS f1 FROM p3),
-    p5 AS (SELECT attr, f0, f1, least(n00, t0 - f0) AS c0, least(n10, t1 - f1) AS c1 FROM p4),
-    r AS (SELECT _ord, attr, same, flip, row_number() OVER (PARTITION BY attr, same, flip ORDER BY key) AS place FROM k)
-    SELECT _ord, attr FROM r JOIN p5 USING (attr) WHERE place <= CASE WHEN same THEN CASE WHEN flip THEN f1 ELSE c1 END ELSE CASE WHEN flip THEN f0 ELSE c0 END END""",
+    _POOL + _QUOTAS + _STRATA + " SELECT _ord, attr FROM picked",
 )
 def sample_attrs(e: DataFrame) -> DataFrame:
     pool = e.distinct()
@@ -399,7 +401,24 @@ def sample_split(e: DataFrame) -> DataFrame:
     return train.select("_ord", F.lit("train").alias("part")).unionByName(regular.select("_ord", F.lit("regular").alias("part")))
 
 
-@query("sample_balanced_eval")
+_EVAL_POOL = """, every AS (SELECT DISTINCT * FROM b),
+hard AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY _ord) AS i FROM every WHERE bucket = 'high' AND CAST(left(_ord, 12) AS BIGINT) % 500 = 0),
+seeds AS (SELECT * EXCLUDE (i) FROM hard WHERE id IS NULL OR i = 1), want AS (SELECT greatest(0, 540 - count(*)) AS w FROM seeds),
+others AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY _ord) AS i FROM every WHERE bucket = 'medium' AND (id IS NULL OR id NOT IN (SELECT id FROM seeds WHERE id IS NOT NULL))),
+u AS (SELECT * EXCLUDE (i) FROM others WHERE id IS NULL OR i = 1), k AS (SELECT *, sha1(concat_ws('#', _ord, '1337')) AS key FROM u)"""
+_EVAL_QUOTAS = """, z AS (SELECT attr, count(*) AS n FROM u GROUP BY attr), y AS (SELECT *, sum(n) OVER () AS total, least((SELECT w FROM want), sum(n) OVER ()) AS goal FROM z),
+sh AS (SELECT attr, n, goal, n * goal // total AS share, n * goal % total AS rest FROM y),
+ql AS (SELECT attr, n, share, row_number() OVER (ORDER BY rest DESC, attr DESC) AS place, goal - sum(share) OVER () AS lft FROM sh),
+quotas AS (SELECT attr, n, CAST(least(n, share + CASE WHEN place <= lft THEN 1 ELSE 0 END) AS BIGINT) AS quota FROM ql)"""
+
+
+@query(
+    "sample_balanced_eval",
+    _EVAL_POOL + _EVAL_QUOTAS + _STRATA + """,
+    more AS (SELECT _ord, attr, row_number() OVER (ORDER BY key) AS place FROM k WHERE _ord NOT IN (SELECT _ord FROM picked))
+    SELECT _ord, attr FROM (SELECT _ord, attr FROM seeds ORDER BY _ord LIMIT 540) UNION ALL SELECT _ord, attr FROM picked
+    UNION ALL SELECT _ord, attr FROM more WHERE place <= (SELECT w FROM want) - (SELECT count(*) FROM picked)""",
+)
 def sample_balanced_eval(e: DataFrame) -> DataFrame:
     pool = e.distinct()
     seeds = pool.filter((E.bucket() == "high") & (F.substring("_ord", 1, 12).cast("long") % 500 == 0))
