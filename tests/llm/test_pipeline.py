@@ -94,3 +94,17 @@ def test_columns_with_names_of_the_stages_own(spark, tmp_path):
     last = seen["benchmark"]
     assert last.columns == ["doc_id", "text", "lang", "source", "n_chars", *extra]
     assert all(r[name] == name for r in last.collect() for name in extra)
+
+
+def test_stages_without_columns_that_they_do_not_need(spark, tmp_path):
+    rows = [(1, "the same line of eight words is here\nand another line that has quite different words in it", "en"), (2, "the same line of eight words is here", "en"), (None, None, None), (3, "", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    stages = dict(corpus_pipeline.STAGES)
+    got = stages["lines"](spark, docs, str(tmp_path))
+    assert got.columns == docs.columns and {r.doc_id for r in got.collect()} == {1, None, 3}
+    for name in ("near_copies", "benchmark"):
+        out = stages[name](spark, docs.select("doc_id", "text"), str(tmp_path))
+        assert out.columns == ["doc_id", "text"] and out.count() == 4
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs.limit(0), str(tmp_path)).collect() == []
