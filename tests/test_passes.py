@@ -73,3 +73,16 @@ def test_chains_on_the_same_input(spark):
     assert made(spark, before, after, *passes.SYNTHETIC).count() == 4
     assert made(spark, before, after).select(passes.content_key().alias("k")).distinct().count() == 1
     assert made(spark, before, after).filter(F.col("target").isNotNull()).count() == 0
+
+
+def test_fractions_of_copies_follow_the_content(spark):
+    texts = [(f'{PREV}\n<stats character="Ann" pose="p{i}" />\n{MSG}\n<stats character="Ann" pose="q{i}" />', f"f{i}.txt") for i in range(200)]
+    points = parse.parse(spark.createDataFrame(texts, "value string, file string"))
+
+    def counts(rows):
+        out = passes.run_passes(rows, [passes.unwind_stats, passes.duplicate_changes("pose", 2.25, seed=3)])
+        return {r.source_id: r["count"] for r in out.groupBy("source_id").count().collect()}
+
+    got = counts(points)
+    assert len(got) == 200 and set(got.values()) == {2, 3} and 20 <= sum(n == 3 for n in got.values()) <= 85
+    assert got == counts(points.repartition(7))
