@@ -59,6 +59,8 @@ def compare(spark, drop, texts, length, split, join, **options):
 
 @pytest.mark.parametrize("big", [None, 1, 3])
 def test_words(spark, monkeypatch, big):
+    if big == 1:  # too many keys to broadcast: a filter thins rows before the joins
+        monkeypatch.setattr(repeats, "BROADCAST_ROWS", 0)
     if big:  # groups are split by longer and longer strings, until one window is left
         monkeypatch.setattr(repeats, "GROUP_ROWS", big)
         monkeypatch.setattr(suffixtree, "SUBTREE_WORDS", 2)

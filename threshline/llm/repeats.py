@@ -360,10 +360,11 @@ def spans_of(mask: np.ndarray) -> list[int]:
 
 def thinned(rows: DataFrame, keys) -> DataFrame:
     """Rows (h first) whose ``h`` a Bloom filter of keys takes."""
+    shared = rows.sparkSession.sparkContext.broadcast(keys)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield batch.filter(pa.array(keys.takes(batch.column(0).to_numpy())))
+            yield batch.filter(pa.array(shared.value.takes(batch.column(0).to_numpy())))
 
     return rows.mapInArrow(run, rows.schema)
 
