@@ -63,7 +63,7 @@ def test_words(spark, monkeypatch, big):
         monkeypatch.setattr(repeats, "BROADCAST_ROWS", 0)
     if big:  # groups are split by longer and longer strings, until one window is left
         monkeypatch.setattr(repeats, "GROUP_ROWS", big)
-        monkeypatch.setattr(suffixtree, "SUBTREE_WORDS", 2)
+        monkeypatch.setattr(suffixtree, "SUBTREE_WORDS", 2_000)
     compare(spark, suffixtree.drop_repeats, corpus(1), 12, words, b" ".join, gram=4)
 
 
@@ -71,7 +71,7 @@ def test_words(spark, monkeypatch, big):
 def test_bytes(spark, monkeypatch, big):
     if big:
         monkeypatch.setattr(repeats, "GROUP_ROWS", big)
-        monkeypatch.setattr(prefixfree, "PARSE_BYTES", 2)
+        monkeypatch.setattr(prefixfree, "PARSE_BYTES", 20_000)
     compare(spark, prefixfree.drop_repeats, corpus(2), 90, raw, bytes, gram=16)
 
 
