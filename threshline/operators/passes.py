@@ -208,12 +208,16 @@ def rename_row(row: dict, pool: Sequence[str], probability: float, exclude: set[
         return row
     content = json.dumps([row[k] for k in ("previous_message", "message", "previous_state", "state_context", "state")], sort_keys=True)
     rng = random.Random(hashlib.sha1(content.encode()).hexdigest())
-    free: list[str] = []
+    drawn: set[int] = set()
 
     def draw() -> str:
-        if not free:
-            free.extend(rng.sample(list(pool), len(pool)))
-        return free.pop()
+        """A name of the pool; none twice before all are drawn."""
+        if len(drawn) == len(pool):
+            drawn.clear()
+        while (i := rng.randrange(len(pool))) in drawn:
+            pass
+        drawn.add(i)
+        return pool[i]
 
     base: dict[str, str] = {}
     full: dict[str, str] = {}
