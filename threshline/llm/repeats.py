@@ -369,24 +369,38 @@ def thinned(rows: DataFrame, keys) -> DataFrame:
     return rows.mapInArrow(run, rows.schema)
 
 
-def doubled(rank: np.ndarray, have: int, end: np.ndarray | int, most: int) -> list[tuple[int, np.ndarray]]:
-    """Levels (depth, ranks) of a suffix array by prefix doubling, from ranks of ``have``
-    units up to ``most`` or until no rank is split any more.
+def doubled(dense: np.ndarray, have: int, end: np.ndarray | int, most: int) -> list[tuple[int, np.ndarray]]:
+    """Levels (depth, ranks) of a suffix array by prefix doubling, from dense ranks of ``have``
+    units up to ``most``, or until every place is told from all others or compared whole.
 
-    ``end``: where each place's string ends; beyond it nothing is compared, and nothing
-    sorts before everything.
+    A place's rank is how many places sort before its class. ``end``: where each place's
+    string ends; beyond it nothing is compared, and nothing sorts before everything. Only
+    places of classes that may still be split are sorted again.
     """
-    levels, place = [(have, rank)], np.arange(len(rank))
-    classes = int(rank.max()) + 1 if len(rank) else 0
-    while have < most and classes < len(rank):
+    n = len(dense)
+    sizes = np.bincount(dense)
+    rank = (np.cumsum(sizes) - sizes)[dense]
+    ends = np.broadcast_to(end, n)
+    levels = [(have, rank)]
+    goes_on = np.bincount(dense, np.arange(n) + have < ends) > 0  # some string of the class
+    place = np.flatnonzero(((sizes > 1) & goes_on)[dense])
+    while have < most and len(place):
         ahead = place + have
-        second = np.where(ahead < end, rank[np.minimum(ahead, len(rank) - 1)] + 1, 0)
-        found, rank = np.unique(rank.astype(np.int64) * (classes + 1) + second, return_inverse=True)
+        key = rank[place] * (n + 1) + np.where(ahead < ends[place], rank[np.minimum(ahead, n - 1)] + 1, 0)
+        order = np.argsort(key, kind="stable")
+        key, here = key[order], place[order]
+        old = rank[here]
+        new_class, new_group = (np.concatenate([[True], x[1:] != x[:-1]]) for x in (old, key))
+        first = np.flatnonzero(new_group)
+        group = np.cumsum(new_group) - 1
+        class_first = np.flatnonzero(new_class)[np.cumsum(new_class) - 1]
+        rank = rank.copy()
+        rank[here] = old + first[group] - class_first
         have *= 2
         levels.append((have, rank))
-        if len(found) == classes:
-            break
-        classes = len(found)
+        several = np.diff(np.append(first, len(here))) > 1
+        goes_on = np.add.reduceat((here + have < ends[here]).astype(np.int64), first) > 0
+        place = np.sort(here[(several & goes_on)[group]])
     return levels
 
 
