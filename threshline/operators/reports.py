@@ -189,6 +189,14 @@ def length_report(longest: DataFrame, count: int = 10) -> tuple[DataFrame, DataF
     return top, longest.agg(F.count("*").alias("sources"), F.avg(n).alias("mean"), *named)
 
 
+def neighbours(epochs: DataFrame) -> DataFrame:
+    """(epoch, p, q): the distinct pairs p < q of ids that share a batch of an epoch."""
+    rows = epochs.select("epoch", "batch_id", "id").distinct()
+    x, y = rows.alias("x"), rows.alias("y")
+    inside = (F.col("x.epoch") == F.col("y.epoch")) & (F.col("x.batch_id") == F.col("y.batch_id")) & (F.col("x.id") < F.col("y.id"))
+    return x.join(y, inside).select(F.col("x.epoch").alias("epoch"), F.col("x.id").alias("p"), F.col("y.id").alias("q")).distinct()
+
+
 def epoch_uniqueness(epochs: DataFrame) -> DataFrame:
     """How alike two epochs are, on average over pairs i < j: percent of ids in the same
     batch, and percent of neighbour pairs (two ids of a batch) of epoch i in j.
@@ -201,10 +209,7 @@ def epoch_uniqueness(epochs: DataFrame) -> DataFrame:
     both = a.join(b, (F.col("a.id") == F.col("b.id")) & (F.col("a.epoch") < F.col("b.epoch")))
     same = both.groupBy(F.col("a.epoch").alias("i"), F.col("b.epoch").alias("j")).agg(percent(F.count_if(F.col("a.batch_id") == F.col("b.batch_id")), F.count("*")).alias("same_pct"))
 
-    rows = epochs.select("epoch", "batch_id", "id").distinct()
-    x, y = rows.alias("x"), rows.alias("y")
-    inside = (F.col("x.epoch") == F.col("y.epoch")) & (F.col("x.batch_id") == F.col("y.batch_id")) & (F.col("x.id") < F.col("y.id"))
-    pairs = x.join(y, inside).select(F.col("x.epoch").alias("epoch"), F.col("x.id").alias("p"), F.col("y.id").alias("q")).distinct()
+    pairs = neighbours(epochs)
     n_pairs = pairs.groupBy("epoch").agg(F.count("*").alias("pairs"))
     p, q = pairs.alias("p1"), pairs.alias("p2")
     met = p.join(q, (F.col("p1.p") == F.col("p2.p")) & (F.col("p1.q") == F.col("p2.q")) & (F.col("p1.epoch") < F.col("p2.epoch")))

@@ -8,9 +8,8 @@ from pyspark.sql import functions as F
 from threshline import schema as S
 from threshline.functions import entities as N
 from threshline.functions import entries as E
-from threshline.operators import batching, cache, export, parse, passes, reports, sampling, scoring
+from threshline.operators import batching, cache, export, parse, passes, reports, sampling, scoring, shuffles
 from threshline.plans.derive import BLOCKS_SQL, ENTRIES_SQL, annotated, blocks, entries
-from threshline.operators.ranking import global_rank
 from threshline.plans.entry_queries import rounded
 from threshline.sources import readers
 from threshline.storage import cut_lineage
@@ -274,12 +273,7 @@ def report_batch_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def report_epoch_uniqueness(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three shuffles cut into batches of ten, and how alike they are."""
-    rows = entries(spark, sf_dir).distinct().filter("id IS NOT NULL").withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(2))))
-    rows = rows.withColumn("_k", E.order_key(F.col("_ord"), F.col("epoch")))
-    ranked = global_rank(rows.select("epoch", "id", "_k", "_ord"), F.col("epoch"), F.col("_k"), F.col("_ord"))
-    first = ranked.groupBy("epoch").agg(F.min("rank").alias("_first"))  # a row per epoch
-    ranked = ranked.join(F.broadcast(first), "epoch")
-    return rounded(reports.epoch_uniqueness(ranked.select("epoch", "id", F.floor((F.col("rank") - F.col("_first")) / 10).alias("batch_id"))))
+    return rounded(shuffles.shuffle_uniqueness(entries(spark, sf_dir), 3, 10))
 
 
 def _grouped(spark: SparkSession, sf_dir: str) -> DataFrame:
