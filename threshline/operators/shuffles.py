@@ -145,18 +145,17 @@ def _find_groups(spark: SparkSession, by_id: DataFrame, n: int, size: int) -> tu
         s = np.sort(np.concatenate([np.frombuffer(x.as_buffer(), np.uint32) for x in table["keys"]]))
         at = np.arange(-int(starts[e, piece]) % step, len(s), step)
         at = at[(at == 0) | (s[at] != s[at - 1])]
-        return pa.table({"e": pa.array([e], pa.int32()), "place": pa.array([((starts[e, piece] + at) // step).tobytes()], pa.binary()), "keys": pa.array([s[at].tobytes()], pa.binary())})
-
-    found = by_id.mapInArrow(cut, "e int, piece int, keys binary").groupBy("e", "piece").applyInArrow(begin, "e int, place binary, keys binary")
-    places, firsts = [[np.empty(0, np.int64)] for _ in range(n)], [[np.empty(0, np.uint32)] for _ in range(n)]
-    for r in cut_lineage(found, "groups").collect():
-        places[r.e].append(np.frombuffer(r.place, np.int64))
-        firsts[r.e].append(np.frombuffer(r["keys"], np.uint32))
-    places, firsts = [np.concatenate(p) for p in places], [np.concatenate(f) for f in firsts]
-    common = reduce(np.intersect1d, places)
-    order = [np.argsort(p) for p in places]
-    first = [f[o][np.searchsorted(p[o], common)] for p, f, o in zip(places, firsts, order, strict=True)]
-    return Groups(first, common * span), rows
+        return pa.table({"e": pa.array([e], pa.int32()), "piece": pa.array([piece], pa.int32()), "place": pa.array([((starts[e, piece] + at) // step).astype(np.int32).tobytes()], pa.binary()), "keys": pa.array([s[at].tobytes()], pa.binary())})
+
+    found = by_id.mapInArrow(cut, "e int, piece int, keys binary").groupBy("e", "piece").applyInArrow(begin, "e int, piece int, place binary, keys binary")
+    found, places, firsts = cut_lineage(found, "groups"), [], []
+    for e in range(n):  # a shuffle at a time, for the driver's memory
+        blobs = sorted(found.filter(F.col("e") == e).collect(), key=lambda r: r.piece)
+        places.append(np.frombuffer(b"".join(r.place for r in blobs), np.int32))
+        firsts.append(np.frombuffer(b"".join(r["keys"] for r in blobs), np.uint32))
+    common = reduce(lambda a, b: np.intersect1d(a, b, assume_unique=True), places)
+    first = [f[np.searchsorted(p, common)] for p, f in zip(places, firsts, strict=True)]
+    return Groups(first, common.astype(np.int64) * span), rows
 
 
 def _cells(sizes: np.ndarray, at: np.ndarray, n: int, width: int) -> Iterator[tuple[int, int, np.ndarray]]:
